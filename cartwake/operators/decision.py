@@ -82,11 +82,11 @@ def parse_requests(lines: DataFrame, column: str = "value") -> DataFrame:
     must convert to its type, and only a window may be null.
     """
     text = F.col(column)
-    keys = F.json_object_keys(column)
     flat = {n: t for n, (t, _) in REQUEST_FIELDS.items() if not t.startswith(("map", "struct"))}
     nested = {n: t for n, (t, _) in REQUEST_FIELDS.items() if n not in flat}
     as_text = F.from_json(text, ", ".join(f"{n} string" for n in REQUEST_FIELDS))
-    rows = lines.withColumns({"_keys": keys, "_t": as_text})
+    once = F.array(F.struct(F.json_object_keys(text).alias("_keys"), as_text.alias("_t")))
+    rows = lines.select(text.alias("_text"), F.inline(once))
     parsed = {n: F.col(f"_t.{n}").try_cast(t) for n, t in flat.items()}
     parsed |= {n: F.from_json(F.col(f"_t.{n}"), t) for n, t in nested.items()}
     rows = rows.withColumns({f"_p_{n}": c for n, c in parsed.items()})
@@ -106,7 +106,7 @@ def parse_requests(lines: DataFrame, column: str = "value") -> DataFrame:
         F.concat(F.lit("Invalid fields: "), F.array_join(wrong_fields, ", ")),
     )
     return rows.select(
-        text.alias("value"),
+        F.col("_text").alias("value"),
         error.alias("error"),
         *[_typed(F.col(f"_p_{n}"), t, d).alias(n) for n, (t, d) in REQUEST_FIELDS.items()],
     )

@@ -13,11 +13,19 @@ ARRIVAL = SessionLayout(order=("event_id",))
 
 
 def parse_events(lines: DataFrame, column: str = "value") -> DataFrame:
-    """JSON text to the superset row type.  The text itself is kept."""
-    parsed = F.from_json(F.col(column), S.RAW_EVENT)
-    return lines.withColumn("_e", parsed).select(
-        F.col(column).alias("value"), *[F.col(f"_e.{n}") for n in S.RAW_EVENT.names]
+    """JSON text to the superset row type, with the text and its ``keys`` kept.
+
+    The parsed value goes through ``inline`` so that each text is parsed once;
+    a plain projection would be merged into its consumers and parse per field.
+    """
+    text = F.col(column)
+    once = F.array(
+        F.struct(
+            F.from_json(text, S.RAW_EVENT).alias("event"),
+            F.json_object_keys(text).alias("keys"),
+        )
     )
+    return lines.select(text.alias("value"), F.inline(once)).select("value", "keys", "event.*")
 
 
 def _required(kind: Column, accept_selected_method: bool) -> Column:
@@ -45,7 +53,7 @@ def validate(events: DataFrame, accept_selected_method: bool = False) -> DataFra
     place of the ``payment_method`` key that purchases are required to have.
     """
     kind = F.col("event_type")
-    keys = F.json_object_keys("value")
+    keys = F.col("keys")
     needed = _required(kind, accept_selected_method)
     missing = F.array_except(needed, keys)
     quoted = F.transform(missing, lambda k: F.concat(F.lit("'"), k, F.lit("'")))
@@ -66,7 +74,7 @@ def validate(events: DataFrame, accept_selected_method: bool = False) -> DataFra
 
 
 def accepted(validated: DataFrame) -> DataFrame:
-    return validated.filter(F.col("error").isNull()).drop("error")
+    return validated.filter(F.col("error").isNull()).drop("error", "keys")
 
 
 def rejected(validated: DataFrame) -> DataFrame:
