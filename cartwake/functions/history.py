@@ -70,28 +70,26 @@ def _count(a: Column, where) -> Column:
     return F.size(F.filter(a, where)).cast("bigint")
 
 
-def _stats(values: Column) -> tuple[Column, Column, Column]:
-    """Mean, maximum and sample deviation of an array, zero where undefined."""
-    n, zero = F.size(values), F.lit(0.0)
-    mean = _total(values, lambda v: v, zero) / n
-    square = F.aggregate(
-        values,
-        F.struct(zero.alias("s"), zero.alias("q"), F.lit(0.0).alias("k")),
-        # Welford's update keeps the deviation stable in one pass.
-        lambda a, v: F.struct(
-            (a["s"] + (v - a["s"]) / (a["k"] + 1)).alias("s"),
-            (a["q"] + (v - a["s"]) * (v - (a["s"] + (v - a["s"]) / (a["k"] + 1)))).alias("q"),
-            (a["k"] + 1).alias("k"),
-        ),
-        lambda a: a["q"],
-    )
+def _stats(values: str) -> tuple[Column, Column, Column]:
+    """Mean, maximum and sample deviation of an array column, zero where undefined.
+
+    ``<values>_mean`` holds its mean (see ``_mean``).
+    """
+    a, mean = F.col(values), F.col(f"{values}_mean")
+    n, zero = F.size(a), F.lit(0.0)
+    squares = F.aggregate(a, zero, lambda acc, v: acc + (v - mean) * (v - mean))
     return (
         F.when(n > 0, mean).otherwise(zero),
-        F.when(n > 0, F.array_max(values)).otherwise(zero),
-        F.when(n > 1, F.sqrt(square / (n - 1))).otherwise(zero),
+        F.when(n > 0, F.array_max(a)).otherwise(zero),
+        F.when(n > 1, F.sqrt(squares / (n - 1))).otherwise(zero),
     )
 
 
+def _mean(values: str) -> Column:
+    a = F.col(values)
+    return F.try_divide(F.aggregate(a, F.lit(0.0), lambda acc, v: acc + v), F.size(a))
+
+
 def _dwell_ms(pairs: Column) -> Column:
     no_start = F.lit(None).cast("bigint")
 
@@ -116,12 +114,15 @@ def _dwell_ms(pairs: Column) -> Column:
     return F.aggregate(pairs, first, step, lambda a: a["total"] + length(a["start"], a["last"]))
 
 
-def _window(seconds: int, h: Column, pairs: Column) -> Column:
-    edge = F.element_at(h, -1)["us"] - seconds * X.MICROS
-    inside = F.filter(h, lambda e: e["us"] >= edge)
-    moved = F.filter(pairs, lambda p: p["p_us"] >= edge)
+def _since(a: Column, field: str, edge: Column) -> Column:
+    return F.filter(a, lambda e: e[field] >= edge)
+
+
+def _window(seconds: int) -> Column:
+    """Measures of a trailing window, from its heartbeats and pairs."""
+    inside, moved = F.col(f"_in_{seconds}"), F.col(f"_moved_{seconds}")
     n = F.size(inside)
-    avg, top, std = _stats(F.transform(moved, lambda p: p["v"]))
+    avg, top, std = _stats(f"_v_{seconds}")
     clicks = F.element_at(inside, -1)["clicks"] - F.element_at(inside, 1)["clicks"]
     return F.when(
         n >= 2,
@@ -162,8 +163,24 @@ def add_history_features(
         ),
     )
     changes = F.col("_changes")
-    v_avg, v_max, v_std = _stats(F.transform(pairs, lambda p: p["v"]))
-    a_avg, a_max, _ = _stats(F.transform(changes, lambda c: c["acc"]))
+    # Arrays that several measures share become columns, so each is made once.
+    shared = {
+        "_v": F.transform(pairs, lambda p: p["v"]),
+        "_acc": F.transform(changes, lambda c: c["acc"]),
+    }
+    newest = F.element_at(h, -1)["us"]
+    for s in S.WINDOWS_S:
+        edge = newest - s * X.MICROS
+        shared[f"_in_{s}"] = _since(h, "us", edge)
+        shared[f"_moved_{s}"] = _since(pairs, "p_us", edge)
+    rows = rows.withColumns(shared)
+    rows = rows.withColumns(
+        {f"_v_{s}": F.transform(f"_moved_{s}", lambda p: p["v"]) for s in S.WINDOWS_S}
+    )
+    averaged = ["_v", "_acc", *[f"_v_{s}" for s in S.WINDOWS_S]]
+    rows = rows.withColumns({f"{c}_mean": _mean(c) for c in averaged})
+    v_avg, v_max, v_std = _stats("_v")
+    a_avg, a_max, _ = _stats("_acc")
     first, last, prev = F.element_at(h, 1), F.element_at(h, -1), F.element_at(h, -2)
 
     page, method = F.col("page"), F.col("payment_method_selected")
@@ -209,9 +226,8 @@ def add_history_features(
             X.truncated_ms(hesitation), F.lit(0).cast("bigint")
         ),
         "payment_method_switches": switched.cast("bigint"),
-        **{f"window_{s}s": _window(s, h, pairs) for s in S.WINDOWS_S},
+        **{f"window_{s}s": _window(s) for s in S.WINDOWS_S},
     }
     known = h.isNotNull()
-    return rows.withColumns({n: F.when(known, c) for n, c in features.items()}).drop(
-        "_pairs", "_changes"
-    )
+    helpers = ["_pairs", "_changes", *shared, *averaged, *[f"{c}_mean" for c in averaged]]
+    return rows.withColumns({n: F.when(known, c) for n, c in features.items()}).drop(*helpers)

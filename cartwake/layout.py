@@ -48,7 +48,7 @@ def bucket_index(value: Column, cuts: Column, steps: int) -> Column:
 class SessionLayout:
     """Where the rows of each session go.  ``cuts`` names the hot sessions."""
 
-    cuts: tuple[tuple[str | None, tuple[int, ...]], ...] = ()
+    cuts: tuple[tuple[str | None, tuple[float, ...]], ...] = ()
     key: str = "session_id"
     order: tuple[str, ...] = ("ts_us", "event_id")
 
@@ -62,11 +62,16 @@ class SessionLayout:
         if not self.hot or SEG in df.columns:
             return df
         steps = max(len(c) for _, c in self.cuts).bit_length()
+        real = any(isinstance(v, float) for _, c in self.cuts for v in c)
+        kind = "double" if real else "bigint"
         table = df.sparkSession.createDataFrame(
-            [(k, list(c)) for k, c in self.cuts], "_hot_key string, _cuts array<bigint>"
+            [(None if k is None else str(k), list(c)) for k, c in self.cuts],
+            f"_hot_key string, _cuts array<{kind}>",
         ).withColumn("_is_hot", F.lit(True))
         joined = df.join(
-            F.broadcast(table), F.col(self.key).eqNullSafe(F.col("_hot_key")) , "left"
+            F.broadcast(table),
+            F.col(self.key).cast("string").eqNullSafe(F.col("_hot_key")),
+            "left",
         )
         seg = F.when(
             F.col("_is_hot"),

@@ -148,13 +148,13 @@ def model_row(requests: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 def backfill(
     df: DataFrame, columns: list[str] | None = None, keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Numeric ``columns`` in order as doubles; absent or null ones are zero."""
+    """``columns`` in order as doubles; absent, null or unreadable ones are zero."""
     names = columns or S.MODEL_NUMERIC
     have = set(df.columns)
     return df.select(
         *keep,
         *[
-            (F.coalesce(F.col(n).cast("double"), F.lit(0.0)) if n in have else F.lit(0.0)).alias(n)
+            (F.coalesce(F.col(n).try_cast("double"), F.lit(0.0)) if n in have else F.lit(0.0)).alias(n)
             for n in names
         ],
     )

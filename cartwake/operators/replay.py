@@ -101,19 +101,11 @@ def enrich(
 _NEVER = -(1 << 62)
 
 
-def _picks(pos: np.ndarray, free_from: int, span: int) -> tuple[np.ndarray, int]:
-    """Offers made at sorted candidate positions, and where the next may start."""
-    chosen = []
-    i = int(np.searchsorted(pos, free_from))
-    while i < len(pos):
-        chosen.append(i)
-        free_from = int(pos[i]) + span
-        i = int(np.searchsorted(pos, free_from))
-    return np.array(chosen, dtype=np.int64), free_from
-
-
 def offers_shown(
-    candidates: DataFrame, layout: SessionLayout = PLAIN, items: int = S.HISTORY_ITEMS
+    candidates: DataFrame,
+    layout: SessionLayout = PLAIN,
+    items: int = S.HISTORY_ITEMS,
+    last_shown: DataFrame | None = None,
 ) -> DataFrame:
     """Which candidate events show an offer: ``session_id, event_id``.
 
@@ -130,13 +122,22 @@ def offers_shown(
     if layout.hot:
         rows = layout.split(candidates).select("session_id", "event_id", "position", SEG)
         rows = _with_entries(rows, items)
+    elif last_shown is not None:
+        before = last_shown.select("session_id", (F.col("position") + items).alias("_entry"))
+        rows = rows.join(before, "session_id", "left").withColumn(
+            "_entry", F.coalesce("_entry", F.lit(_NEVER).cast("bigint"))
+        )
     else:
         rows = rows.withColumn("_entry", F.lit(_NEVER).cast("bigint"))
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("position", ignore_index=True)
         pos = pdf["position"].to_numpy(dtype=np.int64)
-        chosen, _ = _picks(pos, int(pdf["_entry"].iloc[0]), items)
+        chosen = []
+        i = int(np.searchsorted(pos, int(pdf["_entry"].iloc[0])))
+        while i < len(pos):
+            chosen.append(i)
+            i = int(np.searchsorted(pos, int(pos[i]) + items))
         return pdf.loc[chosen, ["session_id", "event_id"]]
 
     return rows.groupBy("session_id", SEG).applyInPandas(walk, schema)
@@ -144,7 +145,7 @@ def offers_shown(
 
 def _with_entries(rows: DataFrame, items: int) -> DataFrame:
     """Add ``_entry``: the first free position when each hot segment begins."""
-    span = items
+    span, seg, never = items, SEG, _NEVER
 
     def table(pdf: pd.DataFrame) -> pd.DataFrame:
         pos = np.sort(pdf["position"].to_numpy(dtype=np.int64))
@@ -152,7 +153,7 @@ def _with_entries(rows: DataFrame, items: int) -> DataFrame:
         # exits[k]: first free position after the segment when entered with
         # everything before `low + k` blocked.
         after = np.empty(len(pos) + 1, dtype=np.int64)
-        after[-1] = _NEVER
+        after[-1] = never
         jump = np.searchsorted(pos, pos + span)
         for i in range(len(pos) - 1, -1, -1):
             nxt = int(jump[i])
@@ -162,22 +163,22 @@ def _with_entries(rows: DataFrame, items: int) -> DataFrame:
         return pd.DataFrame(
             {
                 "session_id": [pdf["session_id"].iloc[0]],
-                SEG: [int(pdf[SEG].iloc[0])],
+                seg: [int(pdf[seg].iloc[0])],
                 "low": [low],
                 "exits": [exits],
             }
         )
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(SEG, ignore_index=True)
-        free, entries = _NEVER, []
+        pdf = pdf.sort_values(seg, ignore_index=True)
+        free, entries = never, []
         for low, exits in zip(pdf["low"], pdf["exits"]):
             entries.append(free)
-            k = min(max(free - int(low), 0), span - 1) if free > _NEVER else 0
-            out = int(exits[k]) if free - int(low) < span else _NEVER
-            free = free if out == _NEVER else out
+            k = min(max(free - int(low), 0), span - 1) if free > never else 0
+            out = int(exits[k]) if free - int(low) < span else never
+            free = free if out == never else out
         return pd.DataFrame(
-            {"_ek": pdf["session_id"], "_es": pdf[SEG], "_entry": entries}
+            {"_ek": pdf["session_id"], "_es": pdf[seg], "_entry": entries}
         )
 
     hot = rows.filter(F.col(SEG) > 0)
@@ -210,20 +211,31 @@ def decisions(
     keep = ("event_id", "ts_us", "status", "position")
     rows = with_positions(df, layout)
     rows = enrich(rows, layout, warmup=warmup, items=items)
-    asked = payload(rows.filter(F.col("history").isNotNull()), keep)
+    asked = payload(rows.filter(F.col("velocity_trend").isNotNull()), keep)
     scored = score(model_row(asked, (*keep, "session_id", "shipping_type")))
+    return answers(scored, layout, items, threshold)
+
+
+def answers(
+    scored: DataFrame,
+    layout: SessionLayout = PLAIN,
+    items: int = S.HISTORY_ITEMS,
+    threshold: float = S.RETENTION_THRESHOLD,
+    last_shown: DataFrame | None = None,
+) -> DataFrame:
+    """Decisions for scored events, one offer per ``items`` items of a session."""
     wanted = scored.filter(F.col("probability") >= threshold).select(
         "session_id", "event_id", "ts_us", "position"
     )
-    # The scored rows are read three times; the cluster may ask for a checkpoint.
-    shown = offers_shown(wanted, layout, items).select(
+    shown = offers_shown(wanted, layout, items, last_shown).select(
         F.col("session_id").alias("_ss"), F.col("event_id").alias("_se"),
         F.lit(True).alias("_shown"),
     )
-    answers = decide(
-        scored.select("session_id", "event_id", "shipping_type", "probability"), threshold=threshold
+    decided = decide(
+        scored.select("session_id", "event_id", "position", "shipping_type", "probability"),
+        threshold=threshold,
     )
-    kept = answers.join(
+    kept = decided.join(
         shown,
         F.col("session_id").eqNullSafe(F.col("_ss")) & (F.col("event_id") == F.col("_se")),
         "left",
@@ -232,6 +244,7 @@ def decisions(
     return kept.select(
         "session_id",
         "event_id",
+        "position",
         F.when(blocked, 0.0).otherwise(F.col("abandon_probability")).alias("abandon_probability"),
         (F.col("trigger_retention") & ~blocked).alias("trigger_retention"),
         F.when(~blocked, F.col("retention_type")).alias("retention_type"),

@@ -1,6 +1,6 @@
 """Named queries over the test tables and their SQL counterparts."""
 
-from cartwake.queries import batch, ingest, online, serve, shop  # noqa: F401
+from cartwake.queries import batch, ingest, learn, online, serve, shop  # noqa: F401
 from cartwake.queries.base import ORACLES, QUERIES, Tables
 
 __all__ = ["ORACLES", "QUERIES", "Tables"]

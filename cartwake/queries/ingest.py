@@ -306,29 +306,18 @@ def _parse_requests(t: Tables) -> DataFrame:
 )
 def _enriched_records(t: Tables) -> DataFrame:
     rows = R.enrich(shipped(offer_clicks(t)), t.layout)
-    keep = ("event_id", "event_timestamp", "ts_us", "history", "event_type", "user_id")
-    request = D.payload(
-        rows, tuple(k for k in keep if k not in D.REQUEST_FIELDS)
-    )
-    return _answered(request)
-
-
-def _answered(request: DataFrame) -> DataFrame:
-    # A request keeps its features; the model row for the stand-in score is local.
-    scored = linear_score(
-        request.withColumns(
-            {
-                "cart_value_max": F.col("cart_value"),
-                "checkout_count": (F.col("page") == "checkout").cast("bigint"),
-            }
-        )
+    rows = rows.withColumns(
+        {
+            "cart_value_max": F.col("cart_value"),
+            "checkout_count": (F.col("page") == "checkout").cast("bigint"),
+        }
     )
-    scored = scored.withColumn(
-        "probability", F.when(F.col("history").isNotNull(), F.col("probability"))
+    scored = linear_score(rows).withColumn(
+        "probability", F.when(F.col("velocity_trend").isNotNull(), F.col("probability"))
     )
     records = files.enriched_records(
         D.decide(scored),
-        ["velocity_avg", "velocity_trend", "idle_seconds", "window_5s"],
+        ["velocity_avg", "velocity_trend", "idle_total_ms", "window_5s"],
         ["session_id", "event_type", "cart_value", "page"],
         F.current_timestamp(),
     )

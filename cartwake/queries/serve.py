@@ -272,4 +272,4 @@ def _retention_decision(t: Tables) -> DataFrame:
     from p left join (select * from shown where rn is not null) s on s.session_id = p.session_id and s.rn = p.rn""",
 )
 def _offer_lifecycle(t: Tables) -> DataFrame:
-    return R.decisions(shipped(offer_clicks(t)), linear_score, t.layout)
+    return R.decisions(shipped(offer_clicks(t)), linear_score, t.layout).drop("position")

@@ -104,13 +104,15 @@ def enriched_records(
 
     Events that were not scored have null features and a count of zero.
     """
-    known = F.col("history").isNotNull()
+    known = F.col("velocity_trend").isNotNull()
     record = F.struct(
         F.struct(*raw).alias("raw_event"),
         raw_key().alias("raw_key"),
         F.when(known, F.struct(*features)).alias("features"),
         F.struct("abandon_probability", "trigger_retention", "retention_type").alias("inference"),
-        F.when(known, F.size("history")).otherwise(0).alias("heartbeat_count"),
+        F.when(F.col("status") == "scored", F.col("history_beats")).otherwise(0).alias(
+            "heartbeat_count"
+        ),
         processed_at.alias("processed_at"),
     )
     return date_columns(
