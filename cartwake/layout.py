@@ -135,53 +135,68 @@ class SessionLayout:
         return df.filter(~F.col(HALO)).drop(HALO)
 
     # -- unbounded prefixes ------------------------------------------------
-    def running_sum(self, df: DataFrame, value: Column, name: str) -> DataFrame:
-        """Inclusive running total of ``value`` along each session."""
+    def running_sum(self, df: DataFrame, **values: Column) -> DataFrame:
+        """Inclusive running total of each value along each session, by name."""
         part = self.split(df)
-        local = F.sum(value).over(self.window().rowsBetween(Window.unboundedPreceding, 0))
+        so_far = self.window().rowsBetween(Window.unboundedPreceding, 0)
+        local = part.withColumns({n: F.sum(v).over(so_far) for n, v in values.items()})
         if not self.hot:
-            return part.withColumn(name, local)
-        before = Window.partitionBy(self.key).orderBy(SEG).rowsBetween(
-            Window.unboundedPreceding, -1
-        )
-        carry = (
-            part.filter(F.col(SEG) > 0)
-            .groupBy(self.key, SEG)
-            .agg(F.sum(value).alias("_c"))
-            .withColumn("_carry", F.sum("_c").over(before))
+            return local
+        carry = self._carry(
+            part,
+            {n: F.sum(v) for n, v in values.items()},
+            lambda c, before: F.sum(c).over(before),
         )
-        joined = self._attach(part.withColumn(name, local), carry)
-        return joined.withColumn(
-            name, F.coalesce(F.col(name), F.lit(0)) + F.coalesce(F.col("_carry"), F.lit(0))
-        ).drop("_carry")
-
-    def running_last(self, df: DataFrame, value: Column, name: str) -> DataFrame:
-        """Latest non-null ``value`` up to and including each row."""
+        zero = F.lit(0)
+        joined = self._attach(local, carry)
+        return joined.withColumns(
+            {
+                n: F.coalesce(F.col(n), zero) + F.coalesce(F.col(f"_carry_{n}"), zero)
+                for n in values
+            }
+        ).drop(*[f"_carry_{n}" for n in values])
+
+    def running_last(self, df: DataFrame, **values: Column) -> DataFrame:
+        """Latest non-null value up to and including each row, by name."""
         part = self.split(df)
-        local = F.last(value, ignorenulls=True).over(
-            self.window().rowsBetween(Window.unboundedPreceding, 0)
+        so_far = self.window().rowsBetween(Window.unboundedPreceding, 0)
+        local = part.withColumns(
+            {n: F.last(v, ignorenulls=True).over(so_far) for n, v in values.items()}
         )
         if not self.hot:
-            return part.withColumn(name, local)
-        before = Window.partitionBy(self.key).orderBy(SEG).rowsBetween(
-            Window.unboundedPreceding, -1
+            return local
+        carry = self._carry(
+            part,
+            {
+                n: F.max_by(v, F.when(v.isNotNull(), F.struct(*self.order)))
+                for n, v in values.items()
+            },
+            lambda c, before: F.last(c, ignorenulls=True).over(before),
+        )
+        joined = self._attach(local, carry)
+        return joined.withColumns(
+            {n: F.coalesce(F.col(n), F.col(f"_carry_{n}")) for n in values}
+        ).drop(*[f"_carry_{n}" for n in values])
+
+    def _carry(self, part: DataFrame, aggs: dict[str, Column], combine) -> DataFrame:
+        """What the segments before each segment add up to, one row per segment."""
+        before = (
+            Window.partitionBy(self.key).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
         )
-        position = F.when(value.isNotNull(), F.struct(*self.order))
-        carry = (
+        return (
             part.filter(F.col(SEG) > 0)
             .groupBy(self.key, SEG)
-            .agg(F.max_by(value, position).alias("_c"))
-            .withColumn("_carry", F.last("_c", ignorenulls=True).over(before))
+            .agg(*[a.alias(n) for n, a in aggs.items()])
+            .select(
+                F.col(self.key).alias("_ck"),
+                F.col(SEG).alias("_cs"),
+                *[combine(F.col(n), before).alias(f"_carry_{n}") for n in aggs],
+            )
         )
-        joined = self._attach(part.withColumn(name, local), carry)
-        return joined.withColumn(name, F.coalesce(F.col(name), F.col("_carry"))).drop("_carry")
 
     def _attach(self, df: DataFrame, carry: DataFrame) -> DataFrame:
-        side = carry.select(
-            F.col(self.key).alias("_ck"), F.col(SEG).alias("_cs"), "_carry"
-        )
         on = F.col(self.key).eqNullSafe(F.col("_ck")) & (F.col(SEG) == F.col("_cs"))
-        return df.join(F.broadcast(side), on, "left").drop("_ck", "_cs")
+        return df.join(F.broadcast(carry), on, "left").drop("_ck", "_cs")
 
     # -- whole-session values ----------------------------------------------
     def totals(self, df: DataFrame, **aggs: Column) -> DataFrame:

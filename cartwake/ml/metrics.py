@@ -61,8 +61,7 @@ def _running_counts(df: DataFrame, score: str, label: str, ranges: int | None) -
     cuts = tuple(sorted(set(found or ())))
     layout = SessionLayout(cuts=((_ALL, cuts),), key="_all", order=("down",))
     rows = counts.withColumn("_all", F.lit(_ALL))
-    rows = layout.running_sum(rows, F.col("pos"), "tp")
-    return layout.running_sum(rows, F.col("neg"), "fp")
+    return layout.running_sum(rows, tp=F.col("pos"), fp=F.col("neg"))
 
 
 def ranking(

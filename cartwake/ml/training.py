@@ -53,7 +53,7 @@ def class_positions(
     layout = SessionLayout(
         cuts=(("0", cuts), ("1", cuts)), key=label, order=("_h", "_d", key)
     )
-    rows = layout.running_sum(rows, F.lit(1).cast("bigint"), "position")
+    rows = layout.running_sum(rows, position=F.lit(1).cast("bigint"))
     rows = layout.totals(rows, class_size=F.count(F.lit(1)))
     return rows.drop("_d", "_h", SEG)
 
@@ -194,8 +194,14 @@ def train_and_report(
     try:
         train, test = (split.filter(F.col("split") == n) for n in ("train", "test"))
         model = fit(train, classifier, split if fit_on_all else None)
-        scored = [score(model, part, ("session_id", S.LABEL)) for part in (test, train)]
-        return model, report(*scored)
+        scored = [
+            score(model, part, ("session_id", S.LABEL)).persist(StorageLevel.MEMORY_AND_DISK)
+            for part in (test, train)
+        ]
+        found = report(*scored)
+        for part in scored:
+            part.unpersist()
+        return model, found
     finally:
         split.unpersist()
 

@@ -37,8 +37,8 @@ def _rows(df: DataFrame, layout: SessionLayout) -> DataFrame:
     rows = layout.settle(rows)
     measured = ["p_us", "v", "acc", "vote", "is_static", "was_static", "dt_ms", "ship_changed"]
     rows = rows.withColumns({c: F.when(F.col("_beat"), F.col(c)) for c in measured})
-    rows = layout.running_last(rows, O._run_start("p_us"), "run")
-    return layout.running_sum(rows, F.col("v").isNotNull().cast("bigint"), "pair_no")
+    rows = layout.running_last(rows, run=O._run_start("p_us"))
+    return layout.running_sum(rows, pair_no=F.col("v").isNotNull().cast("bigint"))
 
 
 def _session_aggregates() -> dict[str, Column]:

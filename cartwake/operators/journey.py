@@ -63,7 +63,7 @@ def entry_exit(df: DataFrame) -> DataFrame:
 
 def event_sequence(df: DataFrame, layout: SessionLayout = PLAIN) -> DataFrame:
     """Event types in order, one row per step, so a session may be of any length."""
-    rows = layout.running_sum(df, F.lit(1), "step").drop(SEG)
+    rows = layout.running_sum(df, step=F.lit(1)).drop(SEG)
     return rows.select("session_id", F.col("step").cast("bigint").alias("step"), "event_type")
 
 

@@ -85,7 +85,7 @@ def pairs(
     """
     rows = layout.look_back(beats_only(df), 2)
     rows = layout.settle(pair_columns(rows, layout.window(), longest))
-    return layout.running_last(rows, _run_start(run_from), "run")
+    return layout.running_last(rows, run=_run_start(run_from))
 
 
 def closed_run_ms() -> Column:
@@ -339,7 +339,7 @@ def all_features(
     measured = ["p_us", "v", "acc", "vote", "is_static", "was_static", "dist", "dt_s", "dt_ms",
                 "ship_changed"]
     rows = rows.withColumns({c: F.when(F.col("_beat"), F.col(c)) for c in measured})
-    rows = layout.running_last(rows, _run_start("ts_us"), "run")
+    rows = layout.running_last(rows, run=_run_start("ts_us"))
     rows = with_session_end(rows, layout)
 
     beat = F.col("_beat")

@@ -252,4 +252,4 @@ def answers(
 
 
 def with_positions(df: DataFrame, layout: SessionLayout = PLAIN) -> DataFrame:
-    return layout.running_sum(df, F.lit(1).cast("bigint"), "position").drop(SEG)
+    return layout.running_sum(df, position=F.lit(1).cast("bigint")).drop(SEG)

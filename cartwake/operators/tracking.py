@@ -81,7 +81,7 @@ def buffer_flush(
     each wait only the newest ``limit`` go, and a wait that never ends is lost.
     """
     rows = df.withColumn("_tracked", is_tracked(hidden))
-    rows = layout.running_sum(rows, F.col("_tracked").cast("bigint"), "_wait").drop(SEG)
+    rows = layout.running_sum(rows, _wait=F.col("_tracked").cast("bigint")).drop(SEG)
     # The ranking runs on untracked rows alone: a rank filter there keeps `limit`
     # rows per wait and task before the shuffle.
     newest = Window.partitionBy("session_id", "_wait").orderBy(

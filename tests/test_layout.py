@@ -63,9 +63,9 @@ def test_running_values_and_totals(skewed, hot_layout):
     df = skewed.select("session_id", "ts_us", "event_id", "qty", "page")
 
     def run(layout):
-        out = layout.running_sum(df, F.col("qty"), "total")
+        out = layout.running_sum(df, total=F.col("qty"))
         out = layout.running_last(
-            out, F.when(F.col("page") == "checkout", F.col("ts_us")), "seen"
+            out, seen=F.when(F.col("page") == "checkout", F.col("ts_us"))
         )
         out = layout.totals(out, newest=F.max("ts_us"), n=F.count(F.lit(1)))
         return out.drop(SEG)
