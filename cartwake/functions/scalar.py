@@ -30,12 +30,13 @@ def naive_timestamp(us: Column) -> Column:
 def any_timestamp_us(text: Column) -> Column:
     """Epoch microseconds from ISO text with any offset, or from epoch seconds.
 
-    Epoch seconds may come as an integer, a decimal or their text.
+    Epoch seconds may come as an integer, a decimal or their text.  Words that
+    Spark would read as a time (``yesterday``) are not times here.
     """
     seconds = text.try_cast("double")
     return F.when(
         seconds.isNotNull(), F.round(seconds * MICROS).cast("bigint")
-    ).otherwise(F.unix_micros(text.try_cast("timestamp")))
+    ).when(text.rlike(r"^\d{4}-\d\d-\d\d"), F.unix_micros(text.try_cast("timestamp")))
 
 
 def whole_seconds(start_us: Column, end_us: Column) -> Column:

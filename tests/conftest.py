@@ -44,9 +44,17 @@ def hot_layout(skewed):
 
 def _rows(df):
     cols = sorted(df.columns)
-    return sorted(
-        tuple(round(v, 6) if isinstance(v, float) else str(v) for v in (r[c] for c in cols))
+    rows = [
+        tuple(v if isinstance(v, float) else str(v) for v in (r[c] for c in cols))
         for r in df.collect()
+    ]
+    # Text and whole numbers decide the order, so rounding noise does not.
+    return sorted(
+        rows,
+        key=lambda r: (
+            [v for v in r if not isinstance(v, float)],
+            [round(v, 4) for v in r if isinstance(v, float)],
+        ),
     )
 
 
