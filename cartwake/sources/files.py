@@ -6,7 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwake import schema as S
@@ -34,9 +34,9 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return parse_events(spark.read.text(path))
 
 
-def write_ndjson(df: DataFrame, path: str) -> int:
-    """One JSON object per line; returns the rows written."""
-    return _write(df, lambda w: w.json(path))
+def write_ndjson(df: DataFrame, path: str) -> None:
+    """One JSON object per line."""
+    df.write.mode("overwrite").json(path)
 
 
 def read_layer(spark: SparkSession, path: str) -> DataFrame:
@@ -44,15 +44,14 @@ def read_layer(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_layer(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> int:
-    """Overwrite a Parquet layer; returns the rows written."""
-    return _write(df, lambda w: w.partitionBy(*partition_by).parquet(path))
+    """Overwrite a Parquet layer; returns the rows written.
 
-
-def _write(df: DataFrame, save) -> int:
-    # The count rides on the write, so there is no second job.
-    seen = Observation()
-    save(df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite"))
-    return seen.get["n"]
+    The count reads the footers of the files just written, no data pages.  (An
+    ``Observation`` would ride on the write, but once used it leaves the session
+    unable to serialise plans over cached tables.)
+    """
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return read_layer(df.sparkSession, path).count()
 
 
 def short_id(*parts: Column) -> Column:
@@ -132,7 +131,7 @@ def write_enriched(records: DataFrame, path: str, mode: str = "append") -> None:
 def compact(
     spark: SparkSession, source: str, target: str, files: int | None = None,
     consolidated: str = "all_events.ndjson",
-) -> int:
+) -> None:
     """Gather small JSON files below ``source`` into few large text files.
 
     A consolidated file there is taken as it is.  Otherwise Spark packs the small
@@ -149,7 +148,7 @@ def compact(
         )
     if files is not None:
         lines = lines.repartition(files)
-    return _write(lines.select("value"), lambda w: w.text(target))
+    lines.select("value").write.mode("overwrite").text(target)
 
 
 # -- session state ----------------------------------------------------------
