@@ -19,10 +19,18 @@ from cartwake.operators import online as O
 _LABELS = ("purchase", "abandon")
 
 
-def _rows(df: DataFrame, layout: SessionLayout) -> DataFrame:
-    """Every event with its heartbeat pair and its distance to the event before."""
+def _rows(df: DataFrame, layout: SessionLayout, funnel: bool = False) -> DataFrame:
+    """Every event with its heartbeat pair and its distance to the event before.
+
+    With ``funnel`` also its page and payment changes, from the same shuffle.
+    """
     rows = df.withColumn("_beat", F.col("event_type") == "heartbeat")
-    rows = layout.look_back(rows, 2, "_beat")
+    if funnel:
+        rows = O.funnel_flags(rows, ignore_nulls=True)
+        rows = layout.look_back(rows, 2, "_beat", "_paged", "_pay")
+        rows = O.funnel_marks(rows, layout)
+    else:
+        rows = layout.look_back(rows, 2, "_beat")
     w = layout.window("_beat")
     every = layout.window()
     rows = O.pair_columns(rows, w, S.MAX_GAP_S)
@@ -167,7 +175,7 @@ def session_rows(df: DataFrame, layout: SessionLayout = PLAIN) -> DataFrame:
         F.max_by(c, F.when(F.col(c).isNotNull(), O.at())), F.lit("")
     )
     base = (
-        _rows(df, layout)
+        _rows(df, layout, funnel=True)
         .groupBy("session_id")
         .agg(
             F.min_by("user_id", O.at()).alias("user_id"),
@@ -180,12 +188,11 @@ def session_rows(df: DataFrame, layout: SessionLayout = PLAIN) -> DataFrame:
             .cast("bigint").alias("has_checkout"),
             *_named(_session_aggregates()),
             *_named(_cart_aggregates()),
+            *_named(O.funnel_aggregates()),
         )
     )
     enough = F.col("heartbeat_count") >= 2
     base = base.withColumns({c: F.when(enough, F.col(c)) for c in FEATURES}).drop(
         "heartbeat_count"
     )
-    return base.join(product_tallies(df), "session_id").join(
-        funnel_features(df, layout), "session_id"
-    )
+    return base.join(product_tallies(df), "session_id")

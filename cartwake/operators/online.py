@@ -251,25 +251,23 @@ def cart_features(df: DataFrame, layout: SessionLayout = PLAIN) -> DataFrame:
 
 
 # -- funnel -----------------------------------------------------------------
-def funnel_rows(
-    df: DataFrame, layout: SessionLayout = PLAIN, ignore_nulls: bool = False
-) -> DataFrame:
-    """Mark page regressions and payment switches along the session.
-
-    Regressions compare events that have a page; switches compare checkout
-    events, where a missing method counts as a value unless ``ignore_nulls``.
-    """
+def funnel_flags(df: DataFrame, ignore_nulls: bool = False) -> DataFrame:
+    """Mark the events that funnel measures compare: those with a page, and those
+    on checkout (with a payment method, when nulls are to be ignored)."""
     has_page = F.coalesce(F.col("page") != "", F.lit(False))
     on_checkout = F.coalesce(F.col("page") == "checkout", F.lit(False))
     if ignore_nulls:
         on_checkout = on_checkout & F.coalesce(
             F.col("payment_method_selected") != "", F.lit(False)
         )
-    rows = df.withColumns({"_paged": has_page, "_pay": on_checkout})
-    rows = layout.look_back(rows, 1, "_paged", "_pay")
+    return df.withColumns({"_paged": has_page, "_pay": on_checkout})
+
+
+def funnel_marks(rows: DataFrame, layout: SessionLayout) -> DataFrame:
+    """Mark page regressions and payment switches on flagged rows."""
     page_w, pay_w = layout.window("_paged"), layout.window("_pay")
     method = F.col("payment_method_selected")
-    marked = rows.withColumns(
+    return rows.withColumns(
         {
             "regressed": F.coalesce(
                 F.col("_paged")
@@ -282,7 +280,18 @@ def funnel_rows(
             & X.changed(method, F.lag(method).over(pay_w)),
         }
     )
-    return layout.settle(marked).drop("_paged", "_pay")
+
+
+def funnel_rows(
+    df: DataFrame, layout: SessionLayout = PLAIN, ignore_nulls: bool = False
+) -> DataFrame:
+    """Page regressions and payment switches along the session.
+
+    Regressions compare events that have a page; switches compare checkout
+    events, where a missing method counts as a value unless ``ignore_nulls``.
+    """
+    rows = layout.look_back(funnel_flags(df, ignore_nulls), 1, "_paged", "_pay")
+    return layout.settle(funnel_marks(rows, layout)).drop("_paged", "_pay")
 
 
 def funnel_aggregates() -> dict[str, Column]:

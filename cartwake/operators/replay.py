@@ -16,6 +16,7 @@ from cartwake.functions.history import add_history_features, item
 from cartwake.functions.scalar import MICROS
 from cartwake.layout import PLAIN, SEG, SessionLayout
 from cartwake.operators.decision import decide, model_row, payload
+from cartwake.sources.files import stored
 
 
 def newest_items(df: DataFrame, items: int = S.HISTORY_ITEMS) -> DataFrame:
@@ -196,6 +197,9 @@ def _with_entries(rows: DataFrame, items: int) -> DataFrame:
     )
 
 
+SCORED = ("session_id", "event_id", "ts_us", "position", "shipping_type", "probability")
+
+
 def decisions(
     df: DataFrame,
     score,
@@ -206,14 +210,16 @@ def decisions(
 ) -> DataFrame:
     """Answer to every event, with offers suppressing later offers.
 
-    ``score`` takes a frame with the model columns and adds ``probability``.
+    ``score`` takes a frame with the model columns and adds ``probability``.  The
+    scores are written once to the shared folder: three steps read them, and the
+    features behind them should not be made three times.
     """
     keep = ("event_id", "ts_us", "status", "position")
     rows = with_positions(df, layout)
     rows = enrich(rows, layout, warmup=warmup, items=items)
     asked = payload(rows.filter(F.col("velocity_trend").isNotNull()), keep)
     scored = score(model_row(asked, (*keep, "session_id", "shipping_type")))
-    return answers(scored, layout, items, threshold)
+    return answers(stored(scored.select(*SCORED), "scores"), layout, items, threshold)
 
 
 def answers(

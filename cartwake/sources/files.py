@@ -28,6 +28,16 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back.
+
+    Cuts the lineage, and survives the loss of executors.
+    """
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # -- raw --------------------------------------------------------------------
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     """Newline-delimited JSON with the fixed superset schema, text kept."""

@@ -45,6 +45,9 @@ def without_repeats(events: DataFrame, delay: str = "1 hour") -> DataFrame:
     )
 
 
+_OFFER = "session_id string, position bigint, shown_at timestamp"
+
+
 def _batch_folder(path: str, batch_id: int) -> str:
     return f"{path.rstrip('/')}/batch={batch_id}"
 
@@ -76,21 +79,19 @@ def start_ingest(
 
 
 def _earlier_offers(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
-    """Position of each session's last offer from earlier batches, while alive."""
+    """Last offer of each session up to the batch before, while it is alive.
+
+    Each batch writes all offers still alive, so only one folder is read and its
+    size follows the sessions of the last hour, not the age of the stream.
+    """
+    if batch_id == 0:
+        return None
     try:
-        shown = spark.read.schema(
-            "session_id string, position bigint, shown_at timestamp, batch bigint"
-        ).parquet(path)
+        shown = spark.read.schema(_OFFER).parquet(_batch_folder(path, batch_id - 1))
     except AnalysisException:
         return None
-    alive = F.col("shown_at") > F.current_timestamp() - F.make_dt_interval(
-        secs=F.lit(S.STATE_TTL_S)
-    )
-    return (
-        shown.filter((F.col("batch") < batch_id) & alive)
-        .groupBy("session_id")
-        .agg(F.max("position").alias("position"))
-    )
+    limit = F.current_timestamp() - F.make_dt_interval(secs=F.lit(S.STATE_TTL_S))
+    return shown.filter(F.col("shown_at") > limit)
 
 
 def start_answers(
@@ -121,11 +122,11 @@ def start_answers(
     def answer(batch: DataFrame, batch_id: int) -> None:
         # State output cannot be made again freely, so the features are stored
         # once and everything below reads the stored rows.
-        stored = _batch_folder(f"{out}/features", batch_id)
+        features_at = _batch_folder(f"{out}/features", batch_id)
         featured = add_history_features(batch).drop("history")
-        featured.write.mode("overwrite").parquet(stored)
+        featured.write.mode("overwrite").parquet(features_at)
         session = batch.sparkSession
-        ready = session.read.schema(featured.schema).parquet(stored)
+        ready = session.read.schema(featured.schema).parquet(features_at)
         asked = payload(ready.filter(F.col("velocity_trend").isNotNull()), keep)
         scored = score(model_row(asked, (*keep, "session_id", "shipping_type")))
         earlier = _earlier_offers(session, f"{out}/offers", batch_id)
@@ -135,8 +136,13 @@ def start_answers(
         answers_at = _batch_folder(f"{out}/answers", batch_id)
         decided.write.mode("overwrite").parquet(answers_at)
         decided = session.read.schema(decided.schema).parquet(answers_at)
-        decided.filter("trigger_retention").select(
+        offers = decided.filter("trigger_retention").select(
             "session_id", "position", F.current_timestamp().alias("shown_at")
+        )
+        if earlier is not None:
+            offers = offers.unionByName(earlier)
+        offers.groupBy("session_id").agg(
+            F.max("position").alias("position"), F.max("shown_at").alias("shown_at")
         ).write.mode("overwrite").parquet(_batch_folder(f"{out}/offers", batch_id))
 
         told = decided.drop("position", "session_id").withColumnRenamed("event_id", "_id")
