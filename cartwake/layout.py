@@ -90,7 +90,9 @@ class SessionLayout:
     def look_back(self, df: DataFrame, rows: int, *extra: str) -> DataFrame:
         """Make frames of up to ``rows`` preceding rows whole in every segment.
 
-        ``extra`` columns split a session into independent sequences.
+        ``extra`` columns split a session into sequences.  Each segment gets the last
+        ``rows`` rows of every sequence, so frames over any subset of the ``extra``
+        columns are whole.
         """
         if not self.hot:
             return df
@@ -106,11 +108,11 @@ class SessionLayout:
                 "_p", F.row_number().over(Window.partitionBy(*seq).orderBy(*self.order))
             )
         )
-        starts = tail.groupBy(*seq, SEG).agg(F.min("_p").alias("_first"))
+        starts = self._starts(tail, seq)
         wanted = starts.select(
             *[F.col(c).alias(f"_w_{c}") for c in seq],
-            F.col(SEG).alias("_to"),
-            F.col("_first"),
+            "_to",
+            "_first",
             F.explode(
                 F.array(F.floor(F.col("_first") / rows), F.floor(F.col("_first") / rows) - 1)
             ).alias("_block"),
@@ -128,6 +130,37 @@ class SessionLayout:
             halo.withColumn(HALO, F.lit(True))
         )
 
+    def _starts(self, tail: DataFrame, seq: list[str]) -> DataFrame:
+        """Where each segment begins in the tail of each sequence.
+
+        Every segment of a session is listed for every sequence of it, also when it
+        holds no row of that sequence: a window over a coarser key still needs the
+        rows before it.
+        """
+        last = tail.groupBy(*seq, SEG).agg(F.max("_p").alias("_hi"))
+        segments = tail.select(F.col(self.key).alias("_sk"), F.col(SEG).alias("_to")).distinct()
+        grid = (
+            last.select(*seq)
+            .distinct()
+            .join(segments, F.col(self.key).eqNullSafe(F.col("_sk")))
+            .drop("_sk")
+        )
+        have = last.select(
+            *[F.col(c).alias(f"_h_{c}") for c in seq], F.col(SEG).alias("_h_seg"), "_hi"
+        )
+        on = F.col("_to") == F.col("_h_seg")
+        for c in seq:
+            on = on & F.col(c).eqNullSafe(F.col(f"_h_{c}"))
+        before = Window.partitionBy(*seq).orderBy("_to").rowsBetween(
+            Window.unboundedPreceding, -1
+        )
+        first = F.coalesce(F.max("_hi").over(before), F.lit(0)) + 1
+        return (
+            grid.join(have, on, "left")
+            .select(*seq, "_to", first.alias("_first"))
+            .filter(F.col("_first") > 1)
+        )
+
     def settle(self, df: DataFrame) -> DataFrame:
         """Drop halo rows once the look-back columns are computed."""
         if HALO not in df.columns:

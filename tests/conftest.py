@@ -42,6 +42,14 @@ def hot_layout(skewed):
     return layout
 
 
+@pytest.fixture(scope="session")
+def tiny_layout(skewed):
+    """About three rows in a segment, so most lack some kind of event."""
+    from cartwake.layout import profile_sessions
+
+    return profile_sessions(skewed, hot_rows=150, segment_rows=2, fraction=1.0, max_segments=128)
+
+
 def _rows(df):
     cols = sorted(df.columns)
     rows = [

@@ -50,6 +50,22 @@ def test_look_back_across_short_segments(spark):
     same(three(cut), three(PLAIN))
 
 
+def test_segments_without_a_sequence_still_see_it(spark):
+    # Kind "x" appears only in the first segment; later rows look back past it.
+    rows = [("a", t, t, "x" if t in (1, 2) else "y", t * t) for t in range(12)]
+    df = spark.createDataFrame(rows, "session_id string, ts_us long, event_id long, kind string, v long")
+    cut = SessionLayout(cuts=(("a", (3, 4, 8)),))
+
+    def lags(layout):
+        r = layout.look_back(df, 1, "kind")
+        r = r.withColumn("any", F.lag("v").over(layout.window())).withColumn(
+            "own", F.lag("v").over(layout.window("kind"))
+        )
+        return layout.settle(r).select("event_id", "any", "own")
+
+    same(lags(cut), lags(PLAIN))
+
+
 def test_null_session_can_be_hot(spark):
     df = spark.createDataFrame([(None, t, t) for t in range(40)], "session_id string, ts_us long, event_id long")
     layout = profile_sessions(df, hot_rows=10, segment_rows=5, fraction=1.0, max_segments=16)
@@ -73,10 +89,11 @@ def test_running_values_and_totals(skewed, hot_layout):
     same(run(hot_layout), run(PLAIN))
 
 
-def test_hot_layout_keeps_silver_and_gold(skewed, hot_layout):
+def test_hot_layout_keeps_silver_and_gold(skewed, hot_layout, tiny_layout):
     same(motion.silver(skewed, hot_layout).drop("product_quantities"),
          motion.silver(skewed).drop("product_quantities"))
     same(sessions.gold(skewed, hot_layout), sessions.gold(skewed))
+    same(sessions.gold(skewed, tiny_layout), sessions.gold(skewed))
     same(sessions.gold_by_joins(skewed, hot_layout), sessions.gold(skewed))
 
 

@@ -48,6 +48,11 @@ def test_hot_equals_plain(name, skewed, hot_layout):
     same(CASES[name](skewed, hot_layout), CASES[name](skewed, PLAIN))
 
 
+@pytest.mark.parametrize("name", ["funnel_no_nulls", "all", "rows"])
+def test_tiny_segments_equal_plain(name, skewed, tiny_layout):
+    same(CASES[name](skewed, tiny_layout), CASES[name](skewed, PLAIN))
+
+
 def test_quality_flags(skewed):
     d = skewed.drop("product_quantities")
     arrival = profile_sessions(d, hot_rows=150, segment_rows=20, fraction=1.0, max_segments=64, order=("event_id",))
