@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array

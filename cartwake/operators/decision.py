@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwake import schema as S
-from cartwake.functions import scalar as X
 
 # Fields of a scoring request with their types and defaults.
 WINDOW_TYPE = (
@@ -119,28 +118,27 @@ def model_row(requests: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     are constants, and the device is always the default one.
     """
     ms = lambda c: F.col(c) * 1000
-    const = lambda v: F.lit(v)
     given = {
         "total_idle_ms": ms("idle_seconds"),
         "total_distance_px": F.col("distance_total"),
         "total_dwell_ms": ms("dwell_seconds"),
         "dwell_event_count": F.col("dwell_segments"),
-        "session_duration_s": const(0.0),
-        "idle_ratio": const(0.0),
+        "session_duration_s": F.lit(0.0),
+        "idle_ratio": F.lit(0.0),
         "cart_value_max": F.col("cart_value"),
         "cart_value_avg": F.col("cart_value"),
         "cart_delta_total": F.col("cart_delta"),
-        "heartbeat_count": const(1),
-        "total_events": const(1),
+        "heartbeat_count": F.lit(1),
+        "total_events": F.lit(1),
         "product_count_max": F.col("product_count"),
-        "add_to_cart_count": const(0),
-        "remove_from_cart_count": const(0),
+        "add_to_cart_count": F.lit(0),
+        "remove_from_cart_count": F.lit(0),
         "checkout_count": (F.col("page") == "checkout").cast("bigint"),
-        "view_product_count": const(0),
+        "view_product_count": F.lit(0),
         "payment_hesitation_ms": ms("payment_hesitation_seconds"),
-        "events_per_minute": const(0.0),
+        "events_per_minute": F.lit(0.0),
         "total_clicks": F.col("mouse_click_count"),
-        "device": const(S.DEFAULT_DEVICE),
+        "device": F.lit(S.DEFAULT_DEVICE),
     }
     return requests.select(*keep, *[given.get(c, F.col(c)).alias(c) for c in S.MODEL_COLUMNS])
 
@@ -180,6 +178,3 @@ def decide(
             "retention_type": F.when(trigger, retention_type(F.col("shipping_type"))),
         }
     )
-
-
-__all__ = ["X", "backfill", "decide", "model_row", "parse_requests", "payload", "retention_type"]

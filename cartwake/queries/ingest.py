@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwake import schema as S
 from cartwake.functions import maps as M
 from cartwake.functions import scalar as X
 from cartwake.operators import decision as D
 from cartwake.operators import ingest as I
 from cartwake.operators import replay as R
 from cartwake.plans.medallion import build_layers
-from cartwake.queries.base import CLICK, GOLD, SILVER, Tables, query, rounded
+from cartwake.queries.base import CLICK, GOLD, Tables, query
 from cartwake.queries.serve import LINEAR_SQL, MODEL_SQL, _PAYLOAD, REPLAY
 from cartwake.queries.serve import linear_score, offer_clicks, shipped
 from cartwake.sources import files
@@ -331,6 +330,3 @@ def _enriched_records(t: Tables) -> DataFrame:
             "abandon_probability"
         ),
     )
-
-
-__all__ = ["S", "SILVER", "rounded"]

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from cartwake import schema as S
 from cartwake.ml import metrics, training
 from cartwake.operators import reports, sessions
-from cartwake.operators.journey import RULE_THRESHOLD
 from cartwake.queries.base import GOLD, Tables, query, round_sql, rounded
 
 
@@ -183,6 +182,3 @@ def _train_report(t: Tables) -> DataFrame:
         featuresCol="features", labelCol=S.LABEL, weightCol="weight", regParam=0.01
     )
     return training.train_and_report(_gold(t), plain)[1]
-
-
-__all__ = ["RULE_THRESHOLD"]

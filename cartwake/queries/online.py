@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from cartwake import schema as S
 from cartwake.functions import maps as M
-from cartwake.functions import scalar as X
 from cartwake.operators import historical as H
 from cartwake.operators import online as O
 from cartwake.queries.base import CLICK, Tables, query, round_sql, rounded
@@ -397,6 +396,3 @@ def _slope_trend(t: Tables) -> DataFrame:
             F.count("v").alias("pair_count"),
         )
     )
-
-
-__all__ = ["X", "labelled_carts"]

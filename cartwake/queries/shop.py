@@ -14,7 +14,7 @@ from cartwake.operators import motion, reports, sessions
 from cartwake.operators import online as O
 from cartwake.operators import tracking as T
 from cartwake.queries.base import (
-    BEATS, CLICK, EVENTS, GOLD, SILVER, Tables, query, round_sql, rounded,
+    BEATS, CLICK, GOLD, SILVER, Tables, query, rounded,
 )
 from cartwake.queries.online import MOTION, ROWS, labelled_carts
 
@@ -382,6 +382,3 @@ def _earlier_offers(t: Tables) -> DataFrame:
         "event_id",
         J.earlier_offer(p, F.col("delivery_mode"), F.col("shipping_cost"), F.col(SHIP_TYPE)).alias("offer"),
     )
-
-
-__all__ = ["EVENTS", "round_sql"]

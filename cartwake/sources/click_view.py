@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwake.functions.maps import sorted_json
 from cartwake.functions.scalar import floor_div
 
 EPOCH = "timestamp_ntz'2024-01-01 00:00:00'"
@@ -101,6 +100,3 @@ def raw_json(clicks: DataFrame) -> DataFrame:
         .alias("abandon_reason"),
     )
     return fields.select(F.to_json(F.struct(*fields.columns)).alias("value"))
-
-
-__all__ = ["click_view", "raw_json", "read_events", "sorted_json", "with_quantities"]

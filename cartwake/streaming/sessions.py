@@ -154,6 +154,3 @@ def with_session_history(events: DataFrame, **settings) -> DataFrame:
     return out.withColumn("history", typed).withColumn(
         "product_quantities", F.from_json("product_quantities", S.QUANTITIES)
     )
-
-
-__all__ = ["session_history", "use_rocksdb", "with_session_history"]
