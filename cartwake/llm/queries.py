@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cartwake.llm import token_codes
+from cartwake.llm import decontaminate, simhash_dedup, token_codes
 from cartwake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +33,22 @@ def op1_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_codes.encode_documents(docs, public_tokenizers.path(TOKENIZER), end_id=1).select(
         "doc_id", "start", "n_tokens", "ids_crc32"
     )
+
+
+@query("op4_decontaminate")
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = decontaminate.scan(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"]
+    )
+    return marked.select(
+        "doc_id", "n_words", "n_hit",
+        F.size("hit_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("hit_items"), ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+@query("op6_simhash_dedup")
+def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash_dedup.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
