@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwake.llm import decontaminate, simhash_dedup, token_codes
+from cartwake.llm import decontaminate, mixing, simhash_dedup, token_codes
 from cartwake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,9 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash_dedup.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query("op8_mixing")
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "uses")
