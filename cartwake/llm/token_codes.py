@@ -22,6 +22,9 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import filterfalse
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -183,22 +186,32 @@ class Encoder:
         parts = [_words(t) for t in texts]
         if len(self.seen) > self.most:
             self.seen.clear()
-        get = self.seen.__getitem__
+        get, known = self.seen.__getitem__, self.seen.__contains__
         new: set[str] = set()
         for p in parts:
-            new.update(p)
-        new -= self.seen.keys()
+            new.update(filterfalse(known, p))
         if new:
             self._learn(list(new))
         return [b"".join(map(get, p)) for p in parts]
 
 
-_BLANK = str.maketrans("\t\n\r", "   ")
+def _lower(text: str) -> str:
+    """The text in lower case where that cannot change its ids.
+
+    The vocabulary composes characters first and lowers them one by one then, and its
+    special tokens are matched as they are written.
+    """
+    if "<|" in text or "\u03a3" in text:
+        return text
+    low = text.lower()
+    if text.isascii() or is_normalized("NFC", text) and is_normalized("NFC", low):
+        return low
+    return text
 
 
 def _words(text: str) -> list[str]:
     """Pieces between ASCII blanks; a final stop or comma after a letter stands alone."""
-    text = text.translate(_BLANK) + " "
+    text = _lower(text).replace("\n", " ").replace("\t", " ").replace("\r", " ") + " "
     for mark in (". ", ", "):
         if mark in text:
             text = _apart(text, mark)
@@ -209,7 +222,13 @@ def _apart(text: str, mark: str) -> str:
     # Only after a letter: a run of marks is one piece.
     parts = text.split(mark)
     last = parts.pop()
-    return "".join([p + (" " + mark if p[-1:].isalpha() else mark) for p in parts]) + last
+    return "".join([p + " " + mark if p[-1:].isalpha() else p + mark for p in parts]) + last
+
+
+@lru_cache(maxsize=2)
+def _encoder(path: str) -> Encoder:
+    """One encoder for all tasks of a worker, so that its memory stays warm."""
+    return Encoder(path)
 
 
 # -- the job ----------------------------------------------------------------
@@ -225,7 +244,7 @@ def write_codes(
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = Encoder(tokenizer), TaskContext.get().partitionId()
+        encoder, part = _encoder(tokenizer), TaskContext.get().partitionId()
         end = b"" if end_id is None else struct.pack("<I", end_id)
         ids, parts, held, number = [], [], 0, 0
 
