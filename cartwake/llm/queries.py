@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwake.llm import decontaminate, mixing, simhash_dedup, token_codes
+from cartwake.llm import decontaminate, mixing, quality, simhash_dedup, token_codes
 from cartwake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,18 @@ def op1_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_quality")
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model, keep=["doc_id"]).select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 @query("op4_decontaminate")
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = decontaminate.scan(

@@ -5,20 +5,51 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwake.llm import token_codes
+from cartwake.llm import decontaminate, mixing, quality, simhash_dedup, token_codes
 from cartwake.llm.common import table
 from cartwake.llm.queries import TOKENIZER
 from cartwake.sources.files import stored
 
+#: Documents less likely good than this go.
+LEAST_SCORE = 0.5
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality classifier, trained on the labelled documents of this input."""
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).where(f"score >= {LEAST_SCORE}").select(*docs.columns)
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """SimHash near-duplicates: the document of the least id of each group stays."""
+    return simhash_dedup.keep_first(docs)
+
+
+def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with benchmark passages go."""
+    marked = decontaminate.scan(docs, table(spark, sf_dir, "benchmark"))
+    return marked.where("not contaminated").select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix uses them."""
+    return mixing.repeat(docs, mixing.mix(docs))
+
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of the mix, written as shards and read back."""
     return token_codes.encode_documents(docs, public_tokenizers.path(TOKENIZER), end_id=1)
 
 
-STAGES = [("token codes", encode)]
+STAGES = [
+    ("quality classifier", keep_good),
+    ("simhash near-dedup", keep_one_of_each_group),
+    ("benchmark decontamination", keep_uncontaminated),
+    ("mixing sources", mix_sources),
+    ("token codes", encode),
+]
 
-#: SQL cannot train, link or tokenise; the tests compare with plain Python.
+#: SQL cannot train, link, fill budgets or tokenise; the tests compare with plain Python.
 ORACLE_SQL = None
 
 
