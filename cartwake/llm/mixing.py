@@ -137,19 +137,18 @@ def mix(
     docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_uses: int = MOST_USES, seed: int = 0,
     doc_id: str = "doc_id", text: str = "text", source: str = "source",
 ) -> DataFrame:
-    """One row per document: doc_id, row (hash of id, text and source), source, size,
+    """One row per document: doc_id, row (hash of all its values), source, size,
     source_size, target, uses and taken (uses times size).
 
     Sources in code point order, null last, get the weights in turn; all targets add up
     to the words of all documents unless every source is at its limit.  Documents without
     words are never used.  Null texts have no words, documents without an id are mixed
-    like others.  Rows equal in id, text and source are ranked one after another.
+    like others.  Equal rows are ranked one after another.
     """
-    row = F.xxhash64(F.lit(seed), doc_id, text, source)
     light = stored(
         docs.select(
             F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"),
-            n_words(F.col(text)).alias("size"), row.alias("row"),
+            n_words(F.col(text)).alias("size"), _row(docs, seed).alias("row"),
         ),
         "sizes",
     )
@@ -188,15 +187,16 @@ def _picked(some: DataFrame) -> DataFrame:
     return ranked.withColumn("uses", F.col("passes") + once_more).drop("rank", "before", *[f"_{c}" for c in (*key, "part")])
 
 
-def repeat(docs: DataFrame, mixed: DataFrame, seed: int = 0, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """The rows of ``docs``, each as often as ``mixed`` (made with the same arguments) uses it."""
-    uses = mixed.where("uses > 0").groupBy("row").agg(
-        F.sum("uses").alias("_uses"), F.count("*").alias("_rows")
-    )
-    row = F.xxhash64(F.lit(seed), doc_id, text, source)
-    joined = docs.withColumn("_row", row).join(uses.withColumnRenamed("row", "_row"), "_row")
-    # Rows of one hash share the uses; a remainder goes to the first few of them.
-    rank = F.row_number().over(Window.partitionBy("_row").orderBy("_row"))
-    times = F.floor(F.col("_uses") / F.col("_rows")) + (rank <= F.col("_uses") % F.col("_rows")).cast("long")
-    copies = joined.withColumn("_times", times.cast("int")).where("_times > 0")
-    return copies.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+def repeat(docs: DataFrame, mixed: DataFrame, seed: int = 0) -> DataFrame:
+    """The rows of ``docs``, each as often as ``mixed`` (made from them) uses it."""
+    uses = mixed.where("uses > 0").groupBy("row").agg(F.sum("uses").cast("int").alias("_uses"))
+    joined = docs.withColumn("_row", _row(docs, seed)).join(uses.withColumnRenamed("row", "_row"), "_row")
+    # Rows of one hash are repeats of one row and share the uses.
+    once = joined.dropDuplicates(["_row"])
+    return once.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_uses")))).select(*docs.columns)
+
+
+def _row(docs: DataFrame, seed: int) -> Column:
+    """Hash of all values of a row; maps cannot be hashed and are left out."""
+    kinds = [f.name for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    return F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in kinds])

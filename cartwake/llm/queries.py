@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwake.llm import decontaminate, mixing, quality, simhash_dedup, token_codes
+from cartwake.llm import decontaminate, mixing, quality, quality_rules, simhash_dedup, token_codes
 from cartwake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,6 +60,49 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The query's own limits come from its contract, the other rules from the operator.
+OP5_SQL = """
+with w as (
+  select doc_id, coalesce(text, '') as text,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as words,
+    [x for x in string_split(coalesce(text, ''), chr(10)) if regexp_matches(x, '[^\\x20\\x09-\\x0D]')] as lines
+  from documents),
+g as (
+  select *, row_number() over () as r,
+    [words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] for i in range(1, len(words) - 1)] as grams
+  from w),
+places as (select r, unnest(range(1, len(grams) + 1)) as i, unnest(grams) as gram from g),
+found as (select r, i, count(*) over (partition by r, gram) as n from places),
+covered as (
+  select r, sum(least(3, coalesce(i - before, 3))) as n_repeat_words
+  from (select r, i, lag(i) over (partition by r order by i) as before from found where n > 1) group by r),
+s as (
+  select doc_id, text, lines, len(words) as n_words,
+    len(text) - len(regexp_replace(text, '[^\\x20\\x09-\\x0D]', '', 'g')) as word_chars,
+    len(text) - len(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as n_symbols,
+    len(lines) - len(list_distinct(lines)) as n_dup_lines,
+    coalesce(n_repeat_words, 0)::bigint as n_repeat_words
+  from g left join covered using (r)),
+b as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from s)
+select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_symbols::bigint as n_symbols,
+  n_dup_lines::bigint as n_dup_lines, n_repeat_words, base_failed,
+  not (base_failed or 10 * n_symbols > n_words or word_chars < 2 * n_words or word_chars > 20 * n_words
+    or 2 * n_dup_lines > len(lines)
+    or 2 * (len(text) - len(regexp_replace(text, '[A-Z]', '', 'g'))) > len(text)) as kept
+from b"""
+
+
+@query("op5_quality_rules", OP5_SQL)
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = quality_rules.cascade(docs)
+    return marked.select(
+        "doc_id", *quality_rules.BASE,
+        quality_rules.base_failed().alias("base_failed"),
+        F.col("rejected_by").isNull().alias("kept"),
+    )
+
+
 @query("op6_simhash_dedup")
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
