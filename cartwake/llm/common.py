@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -13,6 +14,18 @@ WORD = r"[^\x20\x09-\x0D]+"
 WORD_BYTES = 4 << 20
 
 
+def on_workers(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where the driver did.
+
+    On a cluster the package is installed or sent along; then this changes nothing.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    own = spark.sparkContext.environment
+    have = own.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in have:
+        own["PYTHONPATH"] = os.pathsep.join([root, *filter(None, have)])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

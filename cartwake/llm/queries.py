@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwake.llm import decontaminate, mixing, quality, quality_rules, simhash_dedup, token_codes
-from cartwake.llm.common import table
+from cartwake.llm import decontaminate, mixing, quality, quality_rules, simhash_dedup, token_codes, warc
+from cartwake.llm.common import on_workers, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,7 +20,12 @@ TOKENIZER = "word_bpe_49k.json"
 
 def query(name: str, sql: str | None = None):
     def register(fn: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            on_workers(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn
@@ -113,3 +119,20 @@ def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "uses")
+
+
+OP10_SQL = """
+with p as (
+  select page_id, strlen(coalesce(html, '')) as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages),
+f as (select *, min(page_id) over (partition by payload_digest) as first from p)
+select page_id, payload_bytes, payload_digest,
+  case when payload_bytes >= 100 and page_id <> first then 'revisit' else 'response' end as record_type,
+  case when payload_bytes >= 100 and page_id <> first then first end as refers_to
+from f"""
+
+
+@query("op10_warc", OP10_SQL)
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )

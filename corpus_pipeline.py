@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from cartwake.llm import decontaminate, mixing, quality, simhash_dedup, token_codes
-from cartwake.llm.common import table
+from cartwake.llm.common import on_workers, table
 from cartwake.llm.queries import TOKENIZER
 from cartwake.sources.files import stored
 
@@ -54,6 +54,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    on_workers(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
