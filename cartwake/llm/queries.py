@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwake.llm import decontaminate, mixing, quality, quality_rules, simhash_dedup, token_codes, warc
+from cartwake.llm import decontaminate, mixing, page_text, quality, quality_rules, simhash_dedup, token_codes, warc
 from cartwake.llm.common import on_workers, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,6 +121,11 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "uses")
 
 
+@query("op9_page_text")
+def op9_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract(table(spark, sf_dir, "pages"))
+
+
 OP10_SQL = """
 with p as (
   select page_id, strlen(coalesce(html, '')) as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages),
