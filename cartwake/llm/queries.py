@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwake.llm import decontaminate, mixing, page_text, quality, quality_rules, simhash_dedup, token_codes, warc
+from cartwake.llm import decontaminate, licenses, mixing, page_text, quality, quality_rules, simhash_dedup, token_codes, warc
 from cartwake.llm.common import on_workers, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,11 @@ def op1_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op2_licenses")
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.scan(table(spark, sf_dir, "documents"), keep=["doc_id"]))
+
+
 @query("op3_quality")
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
