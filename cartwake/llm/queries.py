@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwake.llm import decontaminate, licenses, mixing, page_text, quality, quality_rules, simhash_dedup, token_codes, warc
+from cartwake.llm import decontaminate, licenses, line_templates, mixing, page_text, quality, quality_rules, simhash_dedup, token_codes, warc
 from cartwake.llm.common import on_workers, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,6 +120,14 @@ def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash_dedup.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@query("op7_line_templates")
+def op7_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_templates.drop_recurring(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")
+    )
+
+
 @query("op8_mixing")
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
