@@ -93,7 +93,8 @@ def fill(budget: int, counts: list[tuple[int, int]]) -> dict[int, int]:
         if out[s] < n and left - s >= room:
             out[s] += 1
             left -= s
-    more = knapsack(left, [(s, n - out[s]) for s, n in counts if out[s] < n and s <= left])
+    # Long documents first: they take up the reserve, short ones make it exact.
+    more = knapsack(left, [(s, n - out[s]) for s, n in reversed(counts) if out[s] < n and s <= left])
     for s, n in more.items():
         out[s] += n
     return out
