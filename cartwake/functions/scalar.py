@@ -33,7 +33,7 @@ def any_timestamp_us(text: Column) -> Column:
     Epoch seconds may come as an integer, a decimal or their text.  Words that
     Spark would read as a time (``yesterday``) are not times here.
     """
-    seconds = text.try_cast("double")
+    seconds = F.when(text.rlike(r"^\s*-?\d+(\.\d+)?([eE][+-]?\d+)?\s*$"), text.try_cast("double"))
     return F.when(
         seconds.isNotNull(), F.round(seconds * MICROS).cast("bigint")
     ).when(text.rlike(r"^\d{4}-\d\d-\d\d"), F.unix_micros(text.try_cast("timestamp")))
@@ -58,7 +58,8 @@ def _div(a: Column, b: int) -> Column:
 
 
 def floor_div(a: Column, b: int) -> Column:
-    return _div(a, b)
+    """Quotient rounded down, also for negative numbers."""
+    return _div(a - F.pmod(a, F.lit(b).cast("bigint")), b)
 
 
 def distance(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:

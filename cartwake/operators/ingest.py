@@ -9,9 +9,6 @@ from cartwake import schema as S
 from cartwake.functions import scalar as X
 from cartwake.layout import SessionLayout
 
-ARRIVAL = SessionLayout(order=("event_id",))
-
-
 def parse_events(lines: DataFrame, column: str = "value") -> DataFrame:
     """JSON text to the superset row type, with the text and its ``keys`` kept.
 
@@ -92,19 +89,29 @@ def _or_whole(column: str) -> Column:
     return F.coalesce(whole, F.lit(0)).alias(column)
 
 
-def bronze(events: DataFrame, keep_bad_timestamps: bool = False) -> DataFrame:
-    """Typed events with defaults and date parts.
+def _time(online: bool) -> Column:
+    """Naive time of an event.  Batch files end in ``Z``; online any offset will do."""
+    text = F.col("timestamp")
+    return X.naive_timestamp(X.any_timestamp_us(text)) if online else X.strict_timestamp(text)
+
+
+def bronze(
+    events: DataFrame, keep_bad_timestamps: bool = False, online: bool = False,
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """Typed events with defaults and date parts, and the ``keep`` columns as they are.
 
     Rows whose timestamp does not parse are left out (``bad_timestamps`` returns
     them); set ``keep_bad_timestamps`` to keep them with a null time.
     """
-    ts = X.strict_timestamp(F.col("timestamp"))
+    ts = _time(online)
     text = [
         "delivery_mode", "shipping_type", "payment_method_selected", "payment_method",
         "abandon_reason", "retention_type", "product_id", "category",
     ]
     numbers = {"shipping_cost": "double", "price": "double", "time_on_page": "bigint"}
     typed = events.select(
+        *keep,
         F.coalesce(
             F.col("event_id").try_cast("bigint"), F.xxhash64("value")
         ).alias("event_id"),
@@ -129,8 +136,8 @@ def bronze(events: DataFrame, keep_bad_timestamps: bool = False) -> DataFrame:
     return typed if keep_bad_timestamps else typed.filter(F.col("event_timestamp").isNotNull())
 
 
-def bad_timestamps(events: DataFrame) -> DataFrame:
-    return events.filter(X.strict_timestamp(F.col("timestamp")).isNull()).select(
+def bad_timestamps(events: DataFrame, online: bool = False) -> DataFrame:
+    return events.filter(_time(online).isNull()).select(
         "value", F.lit("Invalid timestamp").alias("error")
     )
 
@@ -179,13 +186,16 @@ def in_time_range(
 
 
 def quality_flags(
-    df: DataFrame, arrival: SessionLayout = ARRIVAL, max_jump_px: float = 2000.0
+    df: DataFrame, arrival: SessionLayout, max_jump_px: float = 2000.0
 ) -> DataFrame:
     """Flag outlier jumps, negative amounts, a pointer at the origin, and events
     whose time is before that of the event that arrived just ahead of them.
 
-    ``arrival`` is a layout ordered by arrival (``event_id``), not by time.
+    ``arrival`` is a layout ordered by a column that says when an event arrived, such as
+    an ingest time or a sequence number; the time of the event itself will not do.
     """
+    if set(arrival.order) & {"ts_us", "event_timestamp"}:
+        raise ValueError("arrival order is needed, not the order of event times")
     w = arrival.window()
     rows = arrival.look_back(df, 1)
     x, y = F.col("mouse_x"), F.col("mouse_y")

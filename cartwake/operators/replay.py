@@ -15,6 +15,7 @@ from cartwake import schema as S
 from cartwake.functions.history import add_history_features, item
 from cartwake.functions.scalar import MICROS
 from cartwake.layout import PLAIN, SEG, SessionLayout
+from cartwake.operators.ingest import last_per_key
 from cartwake.operators.decision import decide, model_row, payload
 from cartwake.sources.files import stored
 
@@ -34,6 +35,11 @@ def newest_items(df: DataFrame, items: int = S.HISTORY_ITEMS) -> DataFrame:
     )
 
 
+def upserted(df: DataFrame) -> DataFrame:
+    """One event per session and instant: a later write replaces the item before it."""
+    return last_per_key(df, ["session_id", "ts_us"], ["event_id"])
+
+
 def explicit_offer() -> Column:
     """State set by the visitor's answer to an offer."""
     kind = F.col("event_type")
@@ -108,9 +114,9 @@ def offers_shown(
     items: int = S.HISTORY_ITEMS,
     last_shown: DataFrame | None = None,
 ) -> DataFrame:
-    """Which candidate events show an offer: ``session_id, event_id``.
+    """Which candidate events show an offer: ``session_id, event_id, ts_us``.
 
-    ``candidates`` has ``session_id, event_id, position`` (1, 2, .. in the
+    ``candidates`` has ``session_id, event_id, ts_us, position`` (1, 2, .. in the
     session) for events whose score asks for an offer.  A shown offer blocks the
     session while its item is among the newest ``items``, so each choice depends
     on the one before.  Inside one segment the choice is a walk over sorted
@@ -118,18 +124,18 @@ def offers_shown(
     sessions first tabulate the exit for each way, chain those small tables, and
     then walk every segment with its own entry; no task sees a whole hot session.
     """
-    rows = candidates.select("session_id", "event_id", "position", F.lit(0).alias(SEG))
-    schema = "session_id string, event_id bigint"
+    rows = candidates.select("session_id", "event_id", "ts_us", "position", F.lit(0).alias(SEG))
+    schema = "session_id string, event_id bigint, ts_us bigint"
+    if layout.hot:
+        rows = layout.split(candidates).select("session_id", "event_id", "ts_us", "position", SEG)
+    never = F.lit(_NEVER).cast("bigint")
+    rows = rows.withColumn("_entry", never)
+    if last_shown is not None:
+        before = last_shown.select("session_id", (F.col("position") + items).alias("_free"))
+        rows = rows.join(before, "session_id", "left").withColumn("_entry", F.coalesce("_free", never))
+        rows = rows.drop("_free")
     if layout.hot:
-        rows = layout.split(candidates).select("session_id", "event_id", "position", SEG)
         rows = _with_entries(rows, items)
-    elif last_shown is not None:
-        before = last_shown.select("session_id", (F.col("position") + items).alias("_entry"))
-        rows = rows.join(before, "session_id", "left").withColumn(
-            "_entry", F.coalesce("_entry", F.lit(_NEVER).cast("bigint"))
-        )
-    else:
-        rows = rows.withColumn("_entry", F.lit(_NEVER).cast("bigint"))
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("position", ignore_index=True)
@@ -139,13 +145,16 @@ def offers_shown(
         while i < len(pos):
             chosen.append(i)
             i = int(np.searchsorted(pos, int(pos[i]) + items))
-        return pdf.loc[chosen, ["session_id", "event_id"]]
+        return pdf.loc[chosen, ["session_id", "event_id", "ts_us"]]
 
     return rows.groupBy("session_id", SEG).applyInPandas(walk, schema)
 
 
 def _with_entries(rows: DataFrame, items: int) -> DataFrame:
-    """Add ``_entry``: the first free position when each hot segment begins."""
+    """Put into ``_entry`` the first free position when each hot segment begins.
+
+    Before, it holds the first free position of the session.
+    """
     span, seg, never = items, SEG, _NEVER
 
     def table(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -167,33 +176,34 @@ def _with_entries(rows: DataFrame, items: int) -> DataFrame:
                 seg: [int(pdf[seg].iloc[0])],
                 "low": [low],
                 "exits": [exits],
+                "enter": [int(pdf["_entry"].iloc[0])],
             }
         )
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(seg, ignore_index=True)
-        free, entries = never, []
+        free, entries = int(pdf["enter"].iloc[0]), []
         for low, exits in zip(pdf["low"], pdf["exits"]):
             entries.append(free)
             k = min(max(free - int(low), 0), span - 1) if free > never else 0
             out = int(exits[k]) if free - int(low) < span else never
             free = free if out == never else out
         return pd.DataFrame(
-            {"_ek": pdf["session_id"], "_es": pdf[seg], "_entry": entries}
+            {"_ek": pdf["session_id"], "_es": pdf[seg], "_from": entries}
         )
 
     hot = rows.filter(F.col(SEG) > 0)
     tables = hot.groupBy("session_id", SEG).applyInPandas(
-        table, f"session_id string, {SEG} int, low bigint, exits array<bigint>"
+        table, f"session_id string, {SEG} int, low bigint, exits array<bigint>, enter bigint"
     )
     entries = tables.groupBy("session_id").applyInPandas(
-        chain, "_ek string, _es int, _entry bigint"
+        chain, "_ek string, _es int, _from bigint"
     )
     on = F.col("session_id").eqNullSafe(F.col("_ek")) & (F.col(SEG) == F.col("_es"))
     return (
         rows.join(F.broadcast(entries), on, "left")
-        .withColumn("_entry", F.coalesce("_entry", F.lit(_NEVER).cast("bigint")))
-        .drop("_ek", "_es")
+        .withColumn("_entry", F.coalesce("_from", F.col("_entry")))
+        .drop("_ek", "_es", "_from")
     )
 
 
@@ -215,7 +225,7 @@ def decisions(
     features behind them should not be made three times.
     """
     keep = ("event_id", "ts_us", "status", "position")
-    rows = with_positions(df, layout)
+    rows = with_positions(upserted(df), layout)
     rows = enrich(rows, layout, warmup=warmup, items=items)
     asked = payload(rows.filter(F.col("velocity_trend").isNotNull()), keep)
     scored = score(model_row(asked, (*keep, "session_id", "shipping_type")))
@@ -234,22 +244,23 @@ def answers(
         "session_id", "event_id", "ts_us", "position"
     )
     shown = offers_shown(wanted, layout, items, last_shown).select(
-        F.col("session_id").alias("_ss"), F.col("event_id").alias("_se"),
+        F.col("session_id").alias("_ss"), F.col("ts_us").alias("_sp"),
         F.lit(True).alias("_shown"),
     )
     decided = decide(
-        scored.select("session_id", "event_id", "position", "shipping_type", "probability"),
+        scored.select(*SCORED),
         threshold=threshold,
     )
     kept = decided.join(
         shown,
-        F.col("session_id").eqNullSafe(F.col("_ss")) & (F.col("event_id") == F.col("_se")),
+        F.col("session_id").eqNullSafe(F.col("_ss")) & (F.col("ts_us") == F.col("_sp")),
         "left",
     )
     blocked = F.col("trigger_retention") & F.col("_shown").isNull()
     return kept.select(
         "session_id",
         "event_id",
+        "ts_us",
         "position",
         F.when(blocked, 0.0).otherwise(F.col("abandon_probability")).alias("abandon_probability"),
         (F.col("trigger_retention") & ~blocked).alias("trigger_retention"),

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwake.layout import SessionLayout, profile_sessions
+from cartwake.operators.replay import upserted
 from cartwake.sources.click_view import click_view, read_events, with_quantities
 
 _LAYOUTS: dict[tuple[str, tuple[str, ...]], SessionLayout] = {}
@@ -33,6 +34,14 @@ class Tables:
     def carts(self) -> DataFrame:
         return with_quantities(self.clicks)
 
+    @cached_property
+    def long_clicks(self) -> DataFrame:
+        return long_sessions(self.clicks)
+
+    @cached_property
+    def long_carts(self) -> DataFrame:
+        return long_sessions(self.carts)
+
     def _layout(self, order: tuple[str, ...]) -> SessionLayout:
         # Like table statistics: profiled once per table folder and reused.
         place = (self.sf_dir, order)
@@ -40,6 +49,23 @@ class Tables:
             _LAYOUTS[place] = profile_sessions(self.clicks, order=order)
         return _LAYOUTS[place]
 
+    @property
+    def long_layout(self) -> SessionLayout:
+        place = (self.sf_dir, ("long",))
+        if place not in _LAYOUTS:
+            _LAYOUTS[place] = profile_sessions(self.long_clicks)
+        return _LAYOUTS[place]
+
+    @cached_property
+    def split_layout(self) -> SessionLayout:
+        """A layout in which every session of more than 40 events is split, as only sessions
+        of millions are by default."""
+        return profile_sessions(self.clicks, hot_rows=40, segment_rows=16, fraction=1.0)
+
+    @cached_property
+    def long_split_layout(self) -> SessionLayout:
+        return profile_sessions(self.long_clicks, hot_rows=40, segment_rows=200, fraction=1.0)
+
     @property
     def layout(self) -> SessionLayout:
         return self._layout(("ts_us", "event_id"))
@@ -49,6 +75,28 @@ class Tables:
         return self._layout(("event_id",))
 
 
+# Sessions of the click view are short; grouped by user they pass every bound of the history.
+LONG_SESSIONS = 8
+
+
+def long_sessions(df: DataFrame) -> DataFrame:
+    """Users of the click view in a few long sessions, one event per instant."""
+    group = F.substring("user_id", 2, 20).cast("bigint") % LONG_SESSIONS
+    return upserted(df.withColumn("session_id", F.concat(F.lit("s"), group.cast("string"))))
+
+
+class SplitTables(Tables):
+    """The same tables with sessions split that are ordinary by default."""
+
+    @property
+    def layout(self) -> SessionLayout:
+        return self.split_layout
+
+    @property
+    def long_layout(self) -> SessionLayout:
+        return self.long_split_layout
+
+
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -82,7 +130,7 @@ b as (
          (epoch_us(ts) - epoch_us(timestamp '2024-01-01 00:00:00')) // 40000 as ts_us
   from events),
 click as (
-select event_id, 's' || cast(uid as varchar) as session_id, 'u' || cast(uid as varchar) as user_id,
+select event_id, uid, 's' || cast(uid as varchar) as session_id, 'u' || cast(uid as varchar) as user_id,
   ts_us, make_timestamp(epoch_us(timestamp '2024-01-01 00:00:00') + ts_us) as event_timestamp,
   case when et = 'purchase' and k >= 96 then 'purchase' when et = 'error' and k >= 94 then 'abandon'
        when et = 'signup' and k < 25 then 'start_checkout' when et = 'view' and k < 30 then 'view_product'
@@ -100,6 +148,11 @@ select event_id, 's' || cast(uid as varchar) as session_id, 'u' || cast(uid as v
   case when k % 3 = 0 then 'credit_card' when k % 3 = 1 then 'debit_card' end as payment_method_selected
 from b)"""
 
+LONG = CLICK + f""",
+longer as (
+  select * from (select * replace ('s' || (uid % {LONG_SESSIONS}) as session_id) from click)
+  qualify row_number() over (partition by session_id, ts_us order by event_id desc) = 1)"""
+
 SILVER = CLICK + """,
 lagged as (
   select *, lag(mouse_x) over w as px, lag(mouse_y) over w as py, lag(ts_us) over w as pt,

@@ -304,7 +304,7 @@ def _parse_requests(t: Tables) -> DataFrame:
     from st left join (select event_id as rid, heartbeat_count from rf) rf on st.event_id = rid left join (select event_id as pid, probability from p) p on st.event_id = pid""",
 )
 def _enriched_records(t: Tables) -> DataFrame:
-    rows = R.enrich(shipped(offer_clicks(t)), t.layout)
+    rows = R.enrich(shipped(offer_clicks(t)), t.long_layout)
     rows = rows.withColumns(
         {
             "cart_value_max": F.col("cart_value"),

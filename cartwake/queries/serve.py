@@ -9,17 +9,17 @@ from cartwake import schema as S
 from cartwake.functions import maps as M
 from cartwake.operators import decision as D
 from cartwake.operators import replay as R
-from cartwake.queries.base import CLICK, Tables, query, round_sql, rounded
+from cartwake.queries.base import LONG, Tables, query, round_sql, rounded
 from cartwake.queries.online import (
     MOTION_DOUBLES, MOTION_WHOLE, WINDOW_DOUBLES, flat_windows,
 )
 
 # Some product views stand in for answers to an offer.
-OFFERS = CLICK + """,
+OFFERS = LONG + """,
 ofr as (
   select * replace (case when event_type = 'view_product' and product_count = 1 then 'accept_offer'
                          when event_type = 'view_product' and product_count = 2 then 'reject_offer' else event_type end as event_type)
-  from click),
+  from longer),
 ev as (select *, row_number() over (partition by session_id order by ts_us, event_id) as rn from ofr),
 gt as (
   select *, count(*) filter (where event_type = 'heartbeat') over f as history_beats,
@@ -33,7 +33,7 @@ st as (
 
 def offer_clicks(t: Tables) -> DataFrame:
     viewed = F.col("event_type") == "view_product"
-    return t.carts.withColumn(
+    return t.long_carts.withColumn(
         "event_type",
         F.when(viewed & (F.col("product_count") == 1), "accept_offer")
         .when(viewed & (F.col("product_count") == 2), "reject_offer")
@@ -43,22 +43,22 @@ def offer_clicks(t: Tables) -> DataFrame:
 
 @query(
     "history_last150",
-    f"""with {CLICK} select session_id, event_id, recency from (
-      select *, row_number() over (partition by session_id order by ts_us desc, event_id desc) as recency from click) where recency <= 150""",
+    f"""with {LONG} select session_id, event_id, recency from (
+      select *, row_number() over (partition by session_id order by ts_us desc, event_id desc) as recency from longer) where recency <= 150""",
 )
 def _history_last150(t: Tables) -> DataFrame:
-    return R.newest_items(t.clicks).select("session_id", "event_id", "recency")
+    return R.newest_items(t.long_clicks).select("session_id", "event_id", "recency")
 
 
 @query("warmup_gate", f"with {OFFERS} select event_id, history_beats, status from st")
 def _warmup_gate(t: Tables) -> DataFrame:
-    rows = R.with_history(offer_clicks(t), t.layout, arrays=False)
+    rows = R.with_history(offer_clicks(t), t.long_layout, arrays=False)
     return rows.select("event_id", "history_beats", R.gate().alias("status"))
 
 
 @query("offer_state", f"with {OFFERS} select event_id, offer_state from st")
 def _offer_state(t: Tables) -> DataFrame:
-    return R.with_history(offer_clicks(t), t.layout, arrays=False).select(
+    return R.with_history(offer_clicks(t), t.long_layout, arrays=False).select(
         "event_id", "offer_state"
     )
 
@@ -66,14 +66,13 @@ def _offer_state(t: Tables) -> DataFrame:
 @query(
     "history_180s",
     f"""with {OFFERS} select e.event_id, count(h.event_id) as beats from ev e left join ev h
-      on h.session_id = e.session_id and h.rn between e.rn - 149 and e.rn and h.event_type = 'heartbeat' and h.ts_us >= e.ts_us - 20 * 1000000
+      on h.session_id = e.session_id and h.rn between e.rn - 149 and e.rn and h.event_type = 'heartbeat' and h.ts_us * 60 >= e.ts_us * 60 - 180 * 1000000
     group by e.event_id""",
 )
 def _history_180s(t: Tables) -> DataFrame:
-    # The view's minute-long sessions never reach 180 s, so 20 s is used here.
-    return R.with_history(offer_clicks(t), t.layout, window_s=20).select(
-        "event_id", F.col("history_beats").alias("beats")
-    )
+    # The view lasts about a minute; an hour here, so that 180 s are a few events.
+    slow = offer_clicks(t).withColumn("ts_us", F.col("ts_us") * 60)
+    return R.with_history(slow, window_s=180).select("event_id", F.col("history_beats").alias("beats"))
 
 
 def _window(s: int) -> str:
@@ -146,7 +145,7 @@ REPLAY_WHOLE = [
     f"with {REPLAY} select event_id, velocity_trend, product_removals, product_additions, {', '.join(REPLAY_WHOLE)}, {round_sql(REPLAY_DOUBLES)} from rf",
 )
 def _replay_features(t: Tables) -> DataFrame:
-    rows = R.enrich(offer_clicks(t), t.layout).filter("status = 'scored'")
+    rows = R.enrich(offer_clicks(t), t.long_layout).filter("status = 'scored'")
     rows = flat_windows(rows).withColumns(
         {c: M.sorted_json(F.col(c)) for c in ("product_removals", "product_additions")}
     )
@@ -193,7 +192,7 @@ _PAY_PLAIN = [
       round(payment_hesitation_ms / 1000.0, 4) as payment_hesitation_seconds from pay_in""",
 )
 def _payload(t: Tables) -> DataFrame:
-    rows = R.enrich(shipped(offer_clicks(t)), t.layout).filter("status = 'scored'")
+    rows = R.enrich(shipped(offer_clicks(t)), t.long_layout).filter("status = 'scored'")
     out = D.payload(rows, ("event_id",))
     return rounded(
         out.select(
@@ -220,7 +219,7 @@ mrow as (
     f"with {REPLAY}, {_PAYLOAD}, {MODEL_SQL} select event_id, device, {round_sql(S.MODEL_NUMERIC)} from mrow",
 )
 def _model_row(t: Tables) -> DataFrame:
-    rows = R.enrich(shipped(offer_clicks(t)), t.layout).filter("status = 'scored'")
+    rows = R.enrich(shipped(offer_clicks(t)), t.long_layout).filter("status = 'scored'")
     out = D.model_row(D.payload(rows, ("event_id",)), ("event_id",))
     numeric = D.backfill(out, keep=("event_id", "device"))
     return rounded(numeric)
@@ -246,7 +245,7 @@ LINEAR_SQL = "least(1.0::double, cart_value_max / 190.0::double + page_regressio
       case when probability >= 0.7 then case when shipping_type = 'express' then 'express_discount' else 'free_shipping' end end as retention_type from p""",
 )
 def _retention_decision(t: Tables) -> DataFrame:
-    rows = R.enrich(shipped(offer_clicks(t)), t.layout).filter("status = 'scored'")
+    rows = R.enrich(shipped(offer_clicks(t)), t.long_layout).filter("status = 'scored'")
     scored = linear_score(
         D.model_row(D.payload(rows, ("event_id",)), ("event_id", "shipping_type"))
     )
@@ -272,4 +271,4 @@ def _retention_decision(t: Tables) -> DataFrame:
     from p left join (select * from shown where rn is not null) s on s.session_id = p.session_id and s.rn = p.rn""",
 )
 def _offer_lifecycle(t: Tables) -> DataFrame:
-    return R.decisions(shipped(offer_clicks(t)), linear_score, t.layout).drop("position")
+    return R.decisions(shipped(offer_clicks(t)), linear_score, t.long_layout).drop("position", "ts_us")

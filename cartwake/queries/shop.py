@@ -14,7 +14,7 @@ from cartwake.operators import motion, reports, sessions
 from cartwake.operators import online as O
 from cartwake.operators import tracking as T
 from cartwake.queries.base import (
-    BEATS, CLICK, GOLD, SILVER, Tables, query, rounded,
+    BEATS, CLICK, GOLD, LONG, SILVER, Tables, query, rounded,
 )
 from cartwake.queries.online import MOTION, ROWS, labelled_carts
 
@@ -156,18 +156,20 @@ def _tracking_gate(t: Tables) -> DataFrame:
 
 @query(
     "buffer_flush",
-    f"""with {CLICK}, tr as (
-      select *, (page in ('cart', 'checkout') and product_count - 1 > 0) as tracked from click),
+    f"""with {LONG}, tr as (
+      select *, (page in ('cart', 'checkout') and product_count >= 6 and product_id = 'prod_006') as tracked from longer),
     wt as (select *, sum(tracked::int) over (partition by session_id order by ts_us, event_id) as wait from tr),
     held as (select *, row_number() over (partition by session_id, wait order by ts_us desc, event_id desc) as rn from wt where not tracked)
     select event_id, session_id, ts_us as sent_us, false as buffered from wt where tracked
     union all
     select h.event_id, h.session_id, r.ts_us as sent_us, true as buffered
-    from held h join (select * from wt where tracked) r on h.session_id = r.session_id and r.wait = h.wait + 1 where rn <= 3""",
+    from held h join (select * from wt where tracked) r on h.session_id = r.session_id and r.wait = h.wait + 1 where rn <= 100""",
 )
 def _buffer_flush(t: Tables) -> DataFrame:
-    some = t.clicks.withColumn("product_count", F.col("product_count") - 1)
-    return T.buffer_flush(some, t.layout, limit=3).select(
+    # Few events are tracked, so that waits of more than a hundred events come about.
+    rare = (F.col("product_count") >= 6) & (F.col("product_id") == "prod_006")
+    some = t.long_clicks.withColumn("product_count", F.when(rare, F.col("product_count")).otherwise(0))
+    return T.buffer_flush(some, t.long_layout).select(
         "event_id", "session_id", "sent_us", "buffered"
     )
 

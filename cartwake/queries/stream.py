@@ -28,7 +28,7 @@ def _stream_answers(t: Tables) -> DataFrame:
     events = I.bronze(I.parse_events(lines))
     job = jobs.start_answers(events, linear_score, f"{folder}/out", f"{folder}/checkpoint")
     job.awaitTermination()
-    return t.spark.read.parquet(f"{folder}/out/answers").drop("batch", "position")
+    return t.spark.read.parquet(f"{folder}/out/answers").drop("batch", "position", "ts_us")
 
 
 @query(

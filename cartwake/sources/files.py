@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cartwake import schema as S
 from cartwake.functions import scalar as X
@@ -17,13 +19,15 @@ from cartwake.operators.ingest import parse_events
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder every executor can reach.
 
-    It lies under ``spark.checkpoint.dir``.  Only when the session names none, as
-    in local tests, a temporary folder of this machine is used.
+    It lies under ``spark.checkpoint.dir``.  Only in local mode, as in tests, may the
+    session name none; then a temporary folder of this machine is used.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if base is None:
         base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="cartwake-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
@@ -49,8 +53,13 @@ def write_ndjson(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def read_layer(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_layer(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """A Parquet layer; ``schema`` keeps the types of its partition columns.
+
+    Spark guesses those from folder names otherwise, and takes ``01`` for a number.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
 
 
 def write_layer(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> int:
@@ -100,8 +109,17 @@ def date_columns(df: DataFrame, ts: str = "event_timestamp") -> DataFrame:
     )
 
 
+def write_bodies(df: DataFrame, path: str, mode: str = "append") -> None:
+    """The text of each accepted event as it was posted, under its event date.
+
+    ``raw_key`` of the typed event names the object, so it is not stored again.
+    """
+    rows = date_columns(df).select("value", "year", "month", "day")
+    rows.write.mode(mode).partitionBy("year", "month", "day").text(path)
+
+
 def write_raw(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Accepted events as JSON text under their event date, each with its key."""
+    """Typed events as JSON text under their event date, each with its key."""
     rows = date_columns(df.withColumn("raw_key", raw_key()))
     rows.write.mode(mode).partitionBy("year", "month", "day").json(path)
 
@@ -140,9 +158,9 @@ def write_enriched(records: DataFrame, path: str, mode: str = "append") -> None:
 
 def compact(
     spark: SparkSession, source: str, target: str, files: int | None = None,
-    consolidated: str = "all_events.ndjson",
+    consolidated: str = "all_events.ndjson", pattern: str = "*.json",
 ) -> None:
-    """Gather small JSON files below ``source`` into few large text files.
+    """Gather small text files below ``source`` into few large text files.
 
     A consolidated file there is taken as it is.  Otherwise Spark packs the small
     files into read tasks of ``spark.sql.files.maxPartitionBytes`` and each task
@@ -152,7 +170,7 @@ def compact(
         lines = spark.read.text(f"{source.rstrip('/')}/{consolidated}")
     except AnalysisException:
         lines = (
-            spark.read.option("pathGlobFilter", "*.json")
+            spark.read.option("pathGlobFilter", pattern)
             .option("recursiveFileLookup", "true")
             .text(source)
         )

@@ -6,9 +6,10 @@ run again after a lost executor or driver leaves the same files.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import logging
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,7 +19,9 @@ from cartwake.functions.history import add_history_features
 from cartwake.operators import ingest, replay
 from cartwake.operators.decision import model_row, payload
 from cartwake.sources import files
-from cartwake.streaming.sessions import use_rocksdb, with_session_history
+from cartwake.streaming.sessions import ROCKSDB, batch_history, with_session_items
+
+_LOG = logging.getLogger(__name__)
 
 
 def read_lines(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -30,9 +33,22 @@ def read_lines(spark: SparkSession, path: str, files_per_batch: int | None = Non
 
 
 def typed_events(lines: DataFrame, accept_selected_method: bool = False) -> DataFrame:
-    """Accepted and typed events of a stream of lines."""
+    """Accepted and typed events of a stream of lines, with times of any offset."""
     checked = ingest.validate(ingest.parse_events(lines), accept_selected_method)
-    return ingest.bronze(ingest.accepted(checked))
+    return ingest.bronze(ingest.accepted(checked), online=True)
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Settings that a query takes with it when it starts; the session has its own again after."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def without_repeats(events: DataFrame, delay: str = "1 hour") -> DataFrame:
@@ -56,17 +72,21 @@ def start_ingest(
     lines: DataFrame, raw_path: str, reject_path: str, checkpoint: str,
     accept_selected_method: bool = False, **trigger,
 ) -> StreamingQuery:
-    """Store accepted events by date and refused lines with their error."""
+    """Store accepted events as posted, by date, and refused lines with their error.
+
+    A time may be ISO text with any offset or epoch seconds; a line whose time cannot be read
+    is refused like any other, so accepted and refused lines are all lines.
+    """
 
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             checked = ingest.validate(ingest.parse_events(batch), accept_selected_method)
-            events = ingest.bronze(ingest.accepted(checked))
-            files.write_raw(events, _batch_folder(raw_path, batch_id), "overwrite")
-            ingest.rejected(checked).write.mode("overwrite").json(
-                _batch_folder(reject_path, batch_id)
-            )
+            good = ingest.accepted(checked)
+            events = ingest.bronze(good, online=True, keep=("value",))
+            files.write_bodies(events, _batch_folder(raw_path, batch_id), "overwrite")
+            refused = ingest.rejected(checked).unionByName(ingest.bad_timestamps(good, online=True))
+            refused.write.mode("overwrite").json(_batch_folder(reject_path, batch_id))
         finally:
             batch.unpersist()
 
@@ -82,14 +102,12 @@ def _earlier_offers(spark: SparkSession, path: str, batch_id: int) -> DataFrame
     """Last offer of each session up to the batch before, while it is alive.
 
     Each batch writes all offers still alive, so only one folder is read and its
-    size follows the sessions of the last hour, not the age of the stream.
+    size follows the sessions of the last hour, not the age of the stream.  A folder that
+    should be there and is not ends the query: without it offers would be made again.
     """
     if batch_id == 0:
         return None
-    try:
-        shown = spark.read.schema(_OFFER).parquet(_batch_folder(path, batch_id - 1))
-    except AnalysisException:
-        return None
+    shown = spark.read.schema(_OFFER).parquet(_batch_folder(path, batch_id - 1))
     limit = F.current_timestamp() - F.make_dt_interval(secs=F.lit(S.STATE_TTL_S))
     return shown.filter(F.col("shown_at") > limit)
 
@@ -110,31 +128,37 @@ def start_answers(
     Offers are also kept in a table; the next batches read from it how long each
     session stays without another offer.
     """
-    spark = events.sparkSession
-    use_rocksdb(spark)
+    settings = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
     if not trigger or trigger.get("availableNow"):
         # State timeouts ask for batches without data for ever; a run that should
         # end must not make them.  Expired items are skipped on reading anyway.
-        spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
-    history = with_session_history(events, items=items, warmup=warmup)
+        settings["spark.sql.streaming.noDataMicroBatches.enabled"] = "false"
+    stored = with_session_items(events, items=items)
     keep = ("event_id", "ts_us", "status", "position")
 
     def answer(batch: DataFrame, batch_id: int) -> None:
         # State output cannot be made again freely, so the features are stored
         # once and everything below reads the stored rows.
         features_at = _batch_folder(f"{out}/features", batch_id)
-        featured = add_history_features(batch).drop("history")
+        featured = add_history_features(batch_history(batch, items, warmup)).drop("history")
         featured.write.mode("overwrite").parquet(features_at)
         session = batch.sparkSession
         ready = session.read.schema(featured.schema).parquet(features_at)
         asked = payload(ready.filter(F.col("velocity_trend").isNotNull()), keep)
-        scored = score(model_row(asked, (*keep, "session_id", "shipping_type")))
+        rows = model_row(asked, (*keep, "session_id", "shipping_type"))
         earlier = _earlier_offers(session, f"{out}/offers", batch_id)
-        decided = replay.answers(
-            scored, items=items, threshold=threshold, last_shown=earlier
-        )
         answers_at = _batch_folder(f"{out}/answers", batch_id)
-        decided.write.mode("overwrite").parquet(answers_at)
+
+        def decide(scored: DataFrame) -> DataFrame:
+            made = replay.answers(scored, items=items, threshold=threshold, last_shown=earlier)
+            made.write.mode("overwrite").parquet(answers_at)
+            return made
+
+        try:
+            decided = decide(score(rows))
+        except Exception:  # any failure to score gives the neutral answer
+            _LOG.exception("batch %s is answered without scores", batch_id)
+            decided = decide(rows.withColumn("probability", F.lit(None).cast("double")))
         decided = session.read.schema(decided.schema).parquet(answers_at)
         offers = decided.filter("trigger_retention").select(
             "session_id", "position", F.current_timestamp().alias("shown_at")
@@ -145,8 +169,10 @@ def start_answers(
             F.max("position").alias("position"), F.max("shown_at").alias("shown_at")
         ).write.mode("overwrite").parquet(_batch_folder(f"{out}/offers", batch_id))
 
-        told = decided.drop("position", "session_id").withColumnRenamed("event_id", "_id")
-        full = ready.join(told, F.col("event_id") == F.col("_id"), "left").withColumns(
+        # One event of an instant is left in a session, so its time names it.
+        told = decided.drop("event_id", "position").withColumnsRenamed({"session_id": "_s", "ts_us": "_t"})
+        same = F.col("session_id").eqNullSafe(F.col("_s")) & (F.col("ts_us") == F.col("_t"))
+        full = ready.join(told, same, "left").drop("_s", "_t").withColumns(
             {
                 "abandon_probability": F.coalesce("abandon_probability", F.lit(0.0)),
                 "trigger_retention": F.coalesce("trigger_retention", F.lit(False)),
@@ -166,10 +192,11 @@ def start_answers(
         )
         files.write_enriched(records, _batch_folder(f"{out}/enriched", batch_id), "overwrite")
 
-    return (
-        history.writeStream.foreachBatch(answer)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
+    with _settings(events.sparkSession, settings):
+        return (
+            stored.writeStream.foreachBatch(answer)
+            .option("checkpointLocation", checkpoint)
+            .outputMode("append")
+            .trigger(**(trigger or {"availableNow": True}))
+            .start()
+        )

@@ -1,28 +1,28 @@
 """Keyed session state: the newest items of each session, with expiry.
 
-The state function only keeps and serves history.  Features, scores and offers
-are DataFrame work on what it emits, shared with the batch replay.
+The state function only stores and serves items: per batch it emits the stored items of a
+session once, and its new events as they came.  Order, upserts, history frames, features,
+scores and offers are DataFrame work on what it emits, shared with the batch replay, so nothing
+depends on how the rows of a key are cut into frames.
 """
 
 from __future__ import annotations
 
-import json
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from io import StringIO
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from cartwake import schema as S
+from cartwake.operators.replay import gate, with_history
 
-_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-_HISTORY = (
-    "array<struct<us:bigint,x:bigint,y:bigint,value:double,quantities:string,ship:string,"
-    "clicks:bigint,page:string>>"
-)
 EVENT_COLUMNS = {
     "session_id": "string",
     "event_id": "bigint",
@@ -42,93 +42,60 @@ EVENT_COLUMNS = {
     "page": "string",
     "payment_method_selected": "string",
 }
-_ADDED = {
-    "position": "bigint", "history_beats": "bigint", "offer_state": "string", "status": "string",
-    "history": _HISTORY,
-}
+_ADDED = {"is_new": "boolean", "seen": "bigint"}
 OUTPUT = ", ".join(f"{n} {t}" for n, t in {**EVENT_COLUMNS, **_ADDED}.items())
-_OUTPUT_NAMES = [*EVENT_COLUMNS, *_ADDED]
-_ANSWERS = {"accept_offer": "accepted", "reject_offer": "rejected"}
+_KINDS = {"bigint": "Int64", "double": "Float64", "string": "object"}
 
 
-def use_rocksdb(spark: SparkSession) -> None:
-    """Keep streaming state in RocksDB, off the JVM heap."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", _PROVIDER)
+def _newest(rows: pd.DataFrame, items: int) -> pd.DataFrame:
+    """The last write of each instant, and of those the newest ``items``."""
+    ordered = rows.sort_values(["ts_us", "_new", "event_id"], kind="stable")
+    return ordered.drop_duplicates("ts_us", keep="last").tail(items)
 
 
-def session_history(
-    items: int = S.HISTORY_ITEMS,
-    warmup: int = S.WARMUP_HEARTBEATS,
-    ttl_s: int = S.STATE_TTL_S,
-) -> Callable:
+def session_items(items: int = S.HISTORY_ITEMS, ttl_s: int = S.STATE_TTL_S) -> Callable:
     """State update that keeps the newest ``items`` of each session.
 
-    It emits every event with its history.  Rows of a key arrive as a stream of
-    frames, so memory holds one frame and ``items`` state items whatever the
-    number of events.  An item is forgotten ``ttl_s`` after it was written, and a
-    repeated (time, id) replaces the item.  State is the items as JSON text and
-    the number of events seen.
+    A later event of the same instant replaces the item.  An item is forgotten ``ttl_s``
+    after it was written.  Memory holds one frame, ``items`` items and eight bytes for each
+    event of the key in the batch.  State is the items as JSON text and the number of
+    instants seen.
     """
     ttl_ms = ttl_s * 1000
-    columns = _OUTPUT_NAMES
-    answers = dict(_ANSWERS)
-    shipping = S.DEFAULT_SHIPPING
-
-    def number(v, kind):
-        return kind(0) if v is None or pd.isna(v) else kind(v)
-
-    def to_item(e, now):
-        return (
-            int(e.ts_us), int(e.event_id), e.event_type == "heartbeat",
-            answers.get(e.event_type), now, number(e.mouse_x, int), number(e.mouse_y, int),
-            number(e.cart_value, float), e.product_quantities or "{}",
-            e.shipping_option_selected or shipping, number(e.mouse_click_count, int),
-            e.page or "cart",
-        )
-
-    def to_row(e, position, kept):
-        newest = [kept[k] for k in sorted(kept)]
-        beats = sum(1 for r in newest if r[2])
-        offer = next((r[3] for r in reversed(newest) if r[3]), None)
-        if e.event_type in answers:
-            status = "offer"
-        elif beats < warmup:
-            status = "warmup"
-        else:
-            status = "scored" if offer is None else "suppressed"
-        history = None
-        if status == "scored":
-            names = ("us", "x", "y", "value", "quantities", "ship", "clicks", "page")
-            history = [dict(zip(names, (r[0], *r[5:]))) for r in newest if r[2]]
-        event = [None if pd.isna(v) else v for v in e]
-        return [*event, position, beats, offer, status, history]
-
-    def update(key, frames, state):
+    kinds = {n: _KINDS[t] for n, t in EVENT_COLUMNS.items()}
+    columns = [*EVENT_COLUMNS, *_ADDED]
+
+    def update(key, frames, state) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
         now = int(time.time() * 1000)
-        stored, seen = state.get if state.exists else ("[]", 0)
-        items_then = [tuple(r) for r in json.loads(stored)]
-        kept = {(r[0], r[1]): r for r in items_then if r[4] > now - ttl_ms}
+        stored, seen = state.get if state.exists else (None, 0)
+        kept = pd.DataFrame(columns=[*EVENT_COLUMNS, "_written"])
+        if stored:
+            kept = pd.read_json(StringIO(stored), orient="records", dtype=False, convert_dates=False)
+        kept = kept.astype({**kinds, "_written": "Int64"})
+        kept = kept[kept["_written"] > now - ttl_ms].assign(_new=False)
+        if len(kept):
+            yield kept.assign(is_new=False, seen=seen)[columns]
+        before, instants = kept["ts_us"].to_numpy(np.int64), np.zeros(0, np.int64)
         for frame in frames:
-            out = []
-            frame = frame.sort_values(["ts_us", "event_id"], kind="stable")
-            for e in frame.itertuples(index=False):
-                seen += 1
-                kept[(e.ts_us, e.event_id)] = to_item(e, now)
-                if len(kept) > items:
-                    del kept[min(kept)]
-                out.append(to_row(e, seen, kept))
-            yield pd.DataFrame(out, columns=columns)
-        state.update((json.dumps([kept[k] for k in sorted(kept)]), seen))
+            yield frame.assign(is_new=True, seen=seen)[columns]
+            instants = np.union1d(instants, frame["ts_us"].to_numpy(np.int64))
+            rows = frame.astype(kinds).assign(_written=now, _new=True)
+            both = pd.DataFrame({c: [*kept[c], *rows[c]] for c in rows.columns}) if len(kept) else rows
+            kept = _newest(both.astype({**kinds, "_written": "Int64"}), items)
+        text = kept.drop(columns="_new").to_json(orient="records", double_precision=15)
+        state.update((text, seen + len(np.setdiff1d(instants, before))))
         state.setTimeoutDuration(ttl_ms)
 
     return update
 
 
-def with_session_history(events: DataFrame, **settings) -> DataFrame:
-    """Attach history to a stream of typed events."""
+def with_session_items(
+    events: DataFrame, items: int = S.HISTORY_ITEMS, ttl_s: int = S.STATE_TTL_S
+) -> DataFrame:
+    """A stream of typed events with the stored items of their sessions before them."""
     have = set(events.columns)
     rows = events.select(
         *[
@@ -136,21 +103,35 @@ def with_session_history(events: DataFrame, **settings) -> DataFrame:
             for n, t in EVENT_COLUMNS.items()
         ]
     )
-    out = rows.groupBy("session_id").applyInPandasWithState(
-        session_history(**settings),
+    return rows.groupBy("session_id").applyInPandasWithState(
+        session_items(items, ttl_s),
         outputStructType=OUTPUT,
         stateStructType="items string, seen bigint",
         outputMode="append",
         timeoutConf=GroupStateTimeout.ProcessingTimeTimeout,
     )
-    typed = F.transform(
-        "history",
-        lambda h: F.struct(
-            h["us"].alias("us"), h["x"].alias("x"), h["y"].alias("y"), h["value"].alias("value"),
-            F.from_json(h["quantities"], S.QUANTITIES).alias("quantities"),
-            h["ship"].alias("ship"), h["clicks"].alias("clicks"), h["page"].alias("page"),
-        ),
+
+
+def batch_history(
+    batch: DataFrame, items: int = S.HISTORY_ITEMS, warmup: int = S.WARMUP_HEARTBEATS
+) -> DataFrame:
+    """New events of one batch with position, gate and history.
+
+    Of events of one instant the last write counts, a new event before a stored one.
+    """
+    rest = [c for c in batch.columns if c not in ("session_id", "ts_us")]
+    last = F.max_by(F.struct(*rest), F.struct("is_new", "event_id"))
+    rows = batch.groupBy("session_id", "ts_us").agg(last.alias("_e"), F.min("is_new").alias("_adds"))
+    rows = rows.select("session_id", "ts_us", "_e.*", "_adds")
+    so_far = Window.partitionBy("session_id").orderBy("ts_us", "event_id").rowsBetween(
+        Window.unboundedPreceding, 0
     )
-    return out.withColumn("history", typed).withColumn(
-        "product_quantities", F.from_json("product_quantities", S.QUANTITIES)
+    rows = rows.withColumns(
+        {
+            "position": F.col("seen") + F.sum(F.col("_adds").cast("bigint")).over(so_far),
+            "product_quantities": F.from_json("product_quantities", S.QUANTITIES),
+        }
     )
+    rows = with_history(rows, items=items).withColumn("status", gate(warmup))
+    rows = rows.withColumn("history", F.when(F.col("status") == "scored", F.col("history")))
+    return rows.filter("is_new").drop("is_new", "seen", "_adds")

@@ -57,7 +57,7 @@ def test_quality_flags(skewed):
     d = skewed.drop("product_quantities")
     arrival = profile_sessions(d, hot_rows=150, segment_rows=20, fraction=1.0, max_segments=64, order=("event_id",))
     assert arrival.hot
-    same(I.quality_flags(d, arrival), I.quality_flags(d))
+    same(I.quality_flags(d, arrival), I.quality_flags(d, SessionLayout(order=("event_id",))))
 
 
 def test_offers_against_a_plain_walk(spark):
