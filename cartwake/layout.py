@@ -261,7 +261,7 @@ def profile_sessions(
     hot_rows: int = 5_000_000,
     segment_rows: int = 1_000_000,
     fraction: float = 0.001,
-    max_segments: int = 4096,
+    max_segments: int | None = None,
     seed: int = 7,
     key: str = "session_id",
     order: tuple[str, ...] = ("ts_us", "event_id"),
@@ -269,8 +269,8 @@ def profile_sessions(
     """Find sessions of about ``hot_rows`` or more and choose their cut points.
 
     One pass over two columns of a sample.  What reaches the driver is bounded by
-    the sample, not by the table: at most ``1 / (hot_rows * fraction)`` of the
-    sampled rows as keys, and ``max_segments`` cut points for each.
+    the sample: at most ``1 / (hot_rows * fraction)`` of the sampled rows as keys, and for
+    each one cut point per ``segment_rows`` rows (at most ``max_segments``, if given).
     """
     sample = df.select(key, order[0])
     if fraction < 1.0:
@@ -281,11 +281,13 @@ def profile_sessions(
     if not sizes:
         return SessionLayout(key=key, order=order)
     spark = df.sparkSession
-    wanted = []
+    needed = {}
     for row in sizes:
         pieces = max(2, -(-int(row["n"] / fraction) // segment_rows))
-        pieces = min(max_segments, 1 << (pieces - 1).bit_length())
-        wanted.append((row[key], max_segments // pieces))
+        pieces = 1 << (pieces - 1).bit_length()
+        needed[row[key]] = pieces if max_segments is None else min(max_segments, pieces)
+    max_segments = max(needed.values())
+    wanted = [(k, max_segments // pieces) for k, pieces in needed.items()]
     steps = spark.createDataFrame(wanted, "_hot_key string, _every int")
     shares = F.array(*[F.lit(i / max_segments) for i in range(1, max_segments)])
     cuts = (

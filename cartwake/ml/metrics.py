@@ -7,12 +7,11 @@ before each as a carry, so no task sorts all scores.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwake.layout import SessionLayout, bucket_index
-
-_ALL = "all"
+from cartwake.layout import bucket_index
+from cartwake.sources.files import stored
 
 
 def _rate(a: Column, b: Column) -> Column:
@@ -56,12 +55,23 @@ def _running_counts(df: DataFrame, score: str, label: str, ranges: int | None) -
     counts = df.groupBy((-F.col(score)).cast("double").alias("down")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
+    counts = stored(counts, "score-counts")
     shares = F.array(*[F.lit(i / n) for i in range(1, n)])
     found = counts.agg(F.percentile_approx("down", shares).alias("q")).first()["q"]
-    cuts = tuple(sorted(set(found or ())))
-    layout = SessionLayout(cuts=((_ALL, cuts),), key="_all", order=("down",))
-    rows = counts.withColumn("_all", F.lit(_ALL))
-    return layout.running_sum(rows, tp=F.col("pos"), fp=F.col("neg"))
+    cuts = sorted(set(found or ()))
+    at = bucket_index(F.col("down"), F.array(*[F.lit(c) for c in cuts]), len(cuts).bit_length())
+    rows = counts.withColumn("_range", at if cuts else F.lit(0))
+    inside = Window.partitionBy("_range").orderBy("down")
+    # One row per score range.
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carry = rows.groupBy("_range").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).select(
+        "_range",
+        F.coalesce(F.sum("p").over(before), F.lit(0)).alias("_p"),
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_n"),
+    )
+    return rows.withColumns({"tp": F.sum("pos").over(inside), "fp": F.sum("neg").over(inside)}).join(
+        carry, "_range"
+    ).withColumns({"tp": F.col("tp") + F.col("_p"), "fp": F.col("fp") + F.col("_n")}).drop("_range", "_p", "_n")
 
 
 def ranking(

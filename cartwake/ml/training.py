@@ -38,13 +38,16 @@ def device_indexer() -> StringIndexer:
 # -- split ------------------------------------------------------------------
 def class_positions(
     df: DataFrame, label: str = S.LABEL, key: str = "session_id", seed: int = S.SEED,
-    pieces: int = 64,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Add ``position`` and ``class_size``: a shuffled order inside each class.
 
     The order is that of a hash of the key.  A hash is spread evenly, so fixed
-    cut points divide even a class with nearly all rows into equal pieces.
+    cut points divide even a class with nearly all rows into equal ``pieces``; by default
+    there are as many as the session has shuffle partitions.
     """
+    if pieces is None:
+        pieces = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
     rows = df.withColumns(
         {"_d": digest, "_h": F.conv(F.substring(digest, 1, 12), 16, 10).cast("bigint")}

@@ -24,13 +24,12 @@ def build_layers(
     each scans only the columns it needs; gold needs no silver.
     """
     raw = files.read_raw(spark, raw_path)
+    typed = ingest.bronze(raw)
     rows = {
-        "bronze_rows": files.write_layer(
-            ingest.bronze(raw), f"{out}/bronze", ("year", "month", "day")
-        ),
+        "bronze_rows": files.write_layer(typed, f"{out}/bronze", ("year", "month", "day")),
         "rejected_rows": files.write_layer(ingest.bad_timestamps(raw), f"{out}/rejects"),
     }
-    bronze = files.read_layer(spark, f"{out}/bronze")
+    bronze = files.read_layer(spark, f"{out}/bronze", typed.schema)
     layout = layout or profile_sessions(bronze)
     rows["silver_rows"] = files.write_layer(
         motion.silver(bronze, layout, whole_seconds), f"{out}/silver"

@@ -11,11 +11,12 @@ from cartwake.operators import decision as D
 from cartwake.operators import ingest as I
 from cartwake.operators import replay as R
 from cartwake.plans.medallion import build_layers
-from cartwake.queries.base import CLICK, GOLD, Tables, query
+from cartwake.queries.base import CLICK, GOLD, ORACLES, Tables, query, rounded
 from cartwake.queries.serve import LINEAR_SQL, MODEL_SQL, _PAYLOAD, REPLAY
-from cartwake.queries.serve import linear_score, offer_clicks, shipped
+from cartwake.queries.serve import linear_score, offer_clicks, payload_columns, shipped
 from cartwake.sources import files
 from cartwake.sources.click_view import raw_json
+from cartwake.streaming import jobs
 
 
 def messy_json(t: Tables) -> DataFrame:
@@ -259,21 +260,80 @@ def _layer_rows(t: Tables) -> DataFrame:
     f"with {GOLD}, {{d}} select year, month, day, count(*) as session_count, sum(abandoned)::bigint as abandoned from d group by year, month, day".replace(
         "{d}",
         "d as (select gold.*, strftime(s, '%Y') as year, strftime(s, '%m') as month, strftime(s, '%d') as day from gold left join "
-        "(select session_id, min(event_timestamp) as s from silver group by session_id) using (session_id))",
+        "(select session_id, min(event_timestamp) + to_days(any_value(cast(substr(user_id, 2) as int) % 40)) as s from silver group by session_id) using (session_id))",
     ),
 )
 def _gold_by_date(t: Tables) -> DataFrame:
     from cartwake.operators.sessions import gold
 
     out = files.shared_folder(t.spark, "gold")
-    rows = files.date_columns(gold(t.clicks, t.layout), "session_start")
+    # The view lasts a minute; moved by user, its sessions lie on forty days.
+    days = F.substring("user_id", 2, 20).cast("int") % 40
+    moved = gold(t.clicks, t.layout).withColumn("session_start", F.timestamp_add("DAY", days, F.col("session_start")))
+    rows = files.date_columns(moved, "session_start")
     files.write_layer(rows, out, ("year", "month", "day"))
-    back = files.read_layer(t.spark, out)
-    return back.groupBy(
-        F.col("year").cast("string").alias("year"),
-        F.lpad(F.col("month").cast("string"), 2, "0").alias("month"),
-        F.lpad(F.col("day").cast("string"), 2, "0").alias("day"),
-    ).agg(F.count(F.lit(1)).alias("session_count"), F.sum("abandoned").alias("abandoned"))
+    back = files.read_layer(t.spark, out, rows.schema)
+    return back.groupBy("year", "month", "day").agg(
+        F.count(F.lit(1)).alias("session_count"), F.sum("abandoned").alias("abandoned")
+    )
+
+
+@query(
+    "ndjson_writer",
+    f"with {CLICK} select event_id, session_id, event_type, round(cart_value, 4) + 0.0 as cart_value, event_timestamp, ts_us, product_count from click",
+)
+def _ndjson_writer(t: Tables) -> DataFrame:
+    path = files.shared_folder(t.spark, "written")
+    rows = t.clicks.select("event_id", "session_id", "event_type", "cart_value", "event_timestamp", "ts_us", "product_count")
+    files.write_ndjson(rows, path)
+    return rounded(t.spark.read.schema(rows.schema).json(path))
+
+
+@query(
+    "raw_bodies",
+    f"""with {MESSY}, o as (
+      select checked.event_id, checked.error, click.payment_method_selected as method, click.event_timestamp as ts, click.device
+      from checked join click using (event_id) where not checked.cut)
+    select event_id, case when error is not null then error when device = 'mobile' and method is null then 'Invalid timestamp' else 'stored' end as outcome,
+      case when error is null and not (device = 'mobile' and method is null) then strftime(ts, '%Y-%m-%d') end as day, 'kept' as extra from o""",
+)
+def _raw_bodies(t: Tables) -> DataFrame:
+    """Every line is stored as posted or refused with its reason, whatever form its time has."""
+    text = F.get_json_object("value", "$.timestamp")
+    ts = F.substring(text, 1, 26).try_cast("timestamp_ntz")
+    method = F.get_json_object("value", "$.payment_method_selected")
+    other = (
+        F.when(method == "credit_card", F.concat(F.lit('"'), text, F.lit('"')))
+        .when(method == "debit_card", F.date_format(F.timestamp_add("HOUR", F.lit(2), ts), "'\"'yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+02:00\"'"))
+        .when(F.get_json_object("value", "$.device") == "mobile", F.lit('"garbage"'))
+        .otherwise(F.date_format(ts, "'\"'yyyy-MM-dd'T'HH:mm:ss.SSSSSS'\"'"))
+    )
+    changed = F.regexp_replace(F.col("value"), F.lit('"timestamp":"[^"]*"'), F.concat(F.lit('"extra":"kept","timestamp":'), other))
+    folder = files.shared_folder(t.spark, "bodies")
+    messy_json(t).select(F.coalesce(changed, F.col("value")).alias("value")).write.text(f"{folder}/in")
+    job = jobs.start_ingest(jobs.read_lines(t.spark, f"{folder}/in"), f"{folder}/raw", f"{folder}/no", f"{folder}/checkpoint")
+    job.awaitTermination()
+    stored = t.spark.read.schema("value string, batch bigint, year string, month string, day string").text(f"{folder}/raw")
+    day = F.concat_ws("-", "year", "month", "day")
+    refused = t.spark.read.schema("value string, error string, batch bigint").json(f"{folder}/no")
+    rows = stored.select("value", F.lit("stored").alias("outcome"), day.alias("day")).unionByName(
+        refused.select("value", F.col("error").alias("outcome"), F.lit(None).cast("string").alias("day"))
+    )
+    return rows.select(
+        F.get_json_object("value", "$.event_id").cast("bigint").alias("event_id"), "outcome", "day",
+        F.get_json_object("value", "$.extra").alias("extra"),
+    ).filter("event_id is not null")
+
+
+@query("parse_payload", ORACLES["payload"])
+def _parse_payload(t: Tables) -> DataFrame:
+    """All fields of a request through JSON text and back."""
+    rows = R.enrich(shipped(offer_clicks(t)), t.long_layout).filter("status = 'scored'")
+    sent = D.payload(rows, ("event_id",))
+    fields = [c for c in sent.columns if c != "event_id"]
+    text = sent.select(F.to_json(F.struct(F.col("event_id").cast("string").alias("session_id"), *[c for c in fields if c != "session_id"])).alias("value"))
+    back = D.parse_requests(text).filter("error is null").withColumn("event_id", F.col("session_id").cast("bigint"))
+    return payload_columns(back.drop("session_id").join(sent.select("event_id", "session_id"), "event_id"))
 
 
 @query(

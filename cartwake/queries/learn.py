@@ -9,6 +9,8 @@ from cartwake import schema as S
 from cartwake.ml import metrics, training
 from cartwake.operators import reports, sessions
 from cartwake.queries.base import GOLD, Tables, query, round_sql, rounded
+from cartwake.sources import files
+from cartwake.sources.files import stored
 
 
 def _gold(t: Tables) -> DataFrame:
@@ -165,20 +167,93 @@ def _threshold_tuning(t: Tables) -> DataFrame:
     return rounded(metrics.best_threshold(metrics.by_threshold(_scored(t), THRESHOLDS)), 6)
 
 
-@query("gbt_score")
+_TRAINED: dict[str, tuple] = {}
+
+
+def _trained(t: Tables):
+    """The boosted model of the train split and its report, fitted once per table folder."""
+    if t.sf_dir not in _TRAINED:
+        _TRAINED[t.sf_dir] = training.train_and_report(stored(_gold(t), "gold"))
+    return _TRAINED[t.sf_dir]
+
+
+@query(
+    "gbt_score",
+    f"with {SPLIT} select session_id, abandoned, split, true as in_range, true as same_after_reload from spl",
+)
 def _gbt_score(t: Tables) -> DataFrame:
-    gold = _gold(t)
-    # The library default is 300 trees, about 2,000 small jobs; 20 show the path.
-    model = training.fit(gold, training.booster(maxIter=20))
-    return training.score(model, gold, ("session_id", "abandoned"))
+    """Scores of every session, by the model and by the model saved and loaded again."""
+    model, _ = _trained(t)
+    path = files.shared_folder(t.spark, "model")
+    training.save(model, path)
+    rows = training.stratified_split(_gold(t))
+    keep = ("session_id", "abandoned", "split")
+    again = training.score(training.load(path), rows, keep).select("session_id", F.col("probability").alias("again"))
+    return training.score(model, rows, keep).join(again, "session_id").select(
+        *keep, F.col("probability").between(0, 1).alias("in_range"),
+        (F.col("probability") == F.col("again")).alias("same_after_reload"),
+    )
+
 
+REPORTED = """
+n as (select split, count(*) filter (where abandoned = 0) as neg, count(*) filter (where abandoned = 1) as pos from spl group by split)"""
 
-@query("train_report")
+
+@query(
+    "train_report",
+    f"""with {SPLIT}, {REPORTED} select te.neg + te.pos as n_test, te.neg as test_neg, te.pos as test_pos, tr.neg + tr.pos as n_train,
+      tr.neg as train_neg, tr.pos as train_pos, te.pos as positives, te.neg as negatives, 300 as trees, true as rates_in_range,
+      '{",".join(S.MODEL_COLUMNS)}' as feature_cols
+    from n te, n tr where te.split = 'test' and tr.split = 'train'""",
+)
 def _train_report(t: Tables) -> DataFrame:
-    from pyspark.ml.classification import LogisticRegression
+    """The report of the boosted model, written as JSON and read back."""
+    model, report = _trained(t)
+    path = files.shared_folder(t.spark, "report")
+    files.write_report(report, path)
+    back = t.spark.read.schema(report.schema).json(path)
+    rates = ["precision", "recall", "f1_score", "specificity", "auc_roc", "auc_pr", "train_auc_roc", "train_auc_pr"]
+    fine = F.lit(True)
+    for c in rates:
+        fine = fine & F.col(c).between(0, 1)
+    return back.select(
+        "n_test", "test_neg", "test_pos", "n_train", "train_neg", "train_pos",
+        (F.col("true_positives") + F.col("false_negatives")).alias("positives"),
+        (F.col("true_negatives") + F.col("false_positives")).alias("negatives"),
+        F.lit(model.stages[-1].getNumTrees).alias("trees"), fine.alias("rates_in_range"), "feature_cols",
+    )
+
+
+@query(
+    "scaled_on_all",
+    f"""with {SPLIT} select round(avg(velocity_avg), 4) + 0.0 as mean_all, round(avg(velocity_avg) filter (where split = 'train'), 4) + 0.0 as mean_train,
+      true as centred_all, true as centred_train from spl""",
+)
+def _scaled_on_all(t: Tables) -> DataFrame:
+    """The scaler fitted before the split sees all rows, the other one the train rows."""
+    rows = stored(training.stratified_split(_gold(t)), "split")
+    train = rows.filter("split = 'train'")
+    parts = []
+    for fit_on, seen in ((rows, rows), (train, train)):
+        scaled = training.fit_scaler(fit_on, ["velocity_avg"]).transform(seen)
+        parts.append(scaled.agg(F.avg("velocity_avg").alias("mean"), (F.abs(F.avg("z_velocity_avg")) < 1e-9).alias("centred")))
+    whole, part = parts
+    return rounded(
+        whole.select(F.col("mean").alias("mean_all"), F.col("centred").alias("centred_all")).join(
+            part.select(F.col("mean").alias("mean_train"), F.col("centred").alias("centred_train"))
+        )
+    )
+
+
+@query("best_candidate", "select 'plain' as candidate, true as has_best union all select 'tree', true")
+def _best_candidate(t: Tables) -> DataFrame:
+    """Each candidate, and whether the chosen one has the best average precision."""
+    from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 
-    # The boosted model is in gbt_score; the report is the same for any classifier.
-    plain = LogisticRegression(
-        featuresCol="features", labelCol=S.LABEL, weightCol="weight", regParam=0.01
+    settings = {"featuresCol": "features", "labelCol": S.LABEL, "weightCol": "weight"}
+    best, _, found = training.best_of(
+        stored(_gold(t), "gold"),
+        {"plain": LogisticRegression(regParam=0.01, **settings), "tree": DecisionTreeClassifier(seed=S.SEED, **settings)},
     )
-    return training.train_and_report(_gold(t), plain)[1]
+    rows = [(name, found[best] == max(found.values())) for name in found]
+    return t.spark.createDataFrame(rows, "candidate string, has_best boolean")

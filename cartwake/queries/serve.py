@@ -193,9 +193,12 @@ _PAY_PLAIN = [
 )
 def _payload(t: Tables) -> DataFrame:
     rows = R.enrich(shipped(offer_clicks(t)), t.long_layout).filter("status = 'scored'")
-    out = D.payload(rows, ("event_id",))
+    return payload_columns(D.payload(rows, ("event_id",)))
+
+
+def payload_columns(sent: DataFrame) -> DataFrame:
     return rounded(
-        out.select(
+        sent.select(
             "event_id", *_PAY_PLAIN, *_PAY_DOUBLES, "idle_seconds", "dwell_seconds",
             "payment_hesitation_seconds",
         )

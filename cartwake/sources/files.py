@@ -49,8 +49,10 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_ndjson(df: DataFrame, path: str) -> None:
-    """One JSON object per line."""
-    df.write.mode("overwrite").json(path)
+    """One JSON object per line, times to the microsecond."""
+    whole = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    times = {"timestampNTZFormat": whole, "timestampFormat": f"{whole}XXX"}
+    df.write.mode("overwrite").options(**times).json(path)
 
 
 def read_layer(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
