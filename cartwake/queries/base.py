@@ -130,7 +130,7 @@ b as (
          (epoch_us(ts) - epoch_us(timestamp '2024-01-01 00:00:00')) // 40000 as ts_us
   from events),
 click as (
-select event_id, uid, 's' || cast(uid as varchar) as session_id, 'u' || cast(uid as varchar) as user_id,
+select event_id, 's' || cast(uid as varchar) as session_id, 'u' || cast(uid as varchar) as user_id,
   ts_us, make_timestamp(epoch_us(timestamp '2024-01-01 00:00:00') + ts_us) as event_timestamp,
   case when et = 'purchase' and k >= 96 then 'purchase' when et = 'error' and k >= 94 then 'abandon'
        when et = 'signup' and k < 25 then 'start_checkout' when et = 'view' and k < 30 then 'view_product'
@@ -150,7 +150,7 @@ from b)"""
 
 LONG = CLICK + f""",
 longer as (
-  select * from (select * replace ('s' || (uid % {LONG_SESSIONS}) as session_id) from click)
+  select * from (select * replace ('s' || (cast(substr(user_id, 2) as bigint) % {LONG_SESSIONS}) as session_id) from click)
   qualify row_number() over (partition by session_id, ts_us order by event_id desc) = 1)"""
 
 SILVER = CLICK + """,
