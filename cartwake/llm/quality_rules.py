@@ -22,7 +22,9 @@ SPACES = " \t\n\x0b\x0c\r"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Low bits of a sort key that hold a window's place.
 PLACE_BITS = 21
-SAMPLE_ROWS = 2000
+#: Rows of the sample that orders the rules, and the longest text in it.
+SAMPLE_ROWS = 500
+SAMPLE_BYTES = 1 << 16
 
 
 # -- statistics -------------------------------------------------------------
@@ -200,13 +202,15 @@ def order_rules(sample: DataFrame, rules: list[Rule]) -> list[tuple[Rule, float,
 def cascade(docs: DataFrame, rules: list[Rule] | None = None, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """Add the statistics and ``rejected_by``: the first rule in order that rejects, or null.
 
-    The order comes from up to ``sample_rows`` rows, wherever Spark finds them first.  A
-    document is rejected if any rule rejects it, whatever the order; which of several
-    rules is named can differ.  An empty table keeps the given order.
+    The order comes from up to ``sample_rows`` rows of moderate length, wherever Spark finds
+    them first, so only as much input is read as that takes.  A document is rejected if any
+    rule rejects it, whatever the order; which of several rules is named can differ.  An
+    empty table keeps the order by name.
     """
     rules = default_rules(text) if rules is None else rules
     counted = with_statistics(docs, text)
-    sample = stored(with_statistics(docs.limit(sample_rows), text), "rules-sample")
+    few = docs.where(F.octet_length(text_of(text)) <= SAMPLE_BYTES).take(sample_rows)
+    sample = stored(with_statistics(docs.sparkSession.createDataFrame(few, docs.schema), text), "rules-sample")
     order = [f[0] for f in order_rules(sample, rules)] if len(rules) > 1 else rules
     first = F.lit(None).cast("string")
     for rule in reversed(order):
