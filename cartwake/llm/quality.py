@@ -2,8 +2,8 @@
 
 Indicators of n-grams are scaled by the log-count ratio of the two classes, then a linear
 hinge-loss model is fitted by dual coordinate descent.  The ratios count all labelled
-training rows; the fit uses at most ``FIT_ROWS`` of each class, those with the least id
-hashes, and a fifth of them sets the probability curve.
+training rows; the fit uses about ``FIT_ROWS`` of each class, chosen by hash, and
+a fifth of them sets the probability curve.
 """
 
 from __future__ import annotations
@@ -99,17 +99,18 @@ def fit_hinge(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, cost: np
     """Dual coordinate descent for the hinge loss; ``y`` is -1 or 1, ``cost`` per row."""
     w, bias = np.zeros(len(ratio)), 0.0
     alpha = np.zeros(len(rows))
-    xs = [ratio[r] * _scale(len(r)) for r in rows]
-    norms = np.array([float(x @ x) + 1.0 for x in xs])
+    norms = np.array([float(np.sum(np.square(ratio[r]))) * _scale(len(r)) ** 2 + 1.0 for r in rows])
     order = np.random.default_rng(seed)
     for _ in range(rounds):
         moved = 0.0
         for i in order.permutation(len(rows)):
-            g = y[i] * (float(w[rows[i]] @ xs[i]) + bias) - 1.0
+            r = rows[i]
+            x = ratio[r] * _scale(len(r))
+            g = y[i] * (float(w[r] @ x) + bias) - 1.0
             new = min(max(alpha[i] - g / norms[i], 0.0), cost[i])
             step = (new - alpha[i]) * y[i]
             if step:
-                w[rows[i]] += step * xs[i]
+                w[r] += step * x
                 bias += step
                 moved = max(moved, abs(step))
                 alpha[i] = new
@@ -141,7 +142,7 @@ def fit(texts: list[str], good: list[bool], ratio: np.ndarray, strength: float =
     if y.all() or not y.any():
         p = (y.sum() + 1) / (len(y) + 2)
         return Model(np.zeros(len(ratio)), 0.0, 1.0, float(np.log(p / (1 - p))))
-    rows = [features(t) for t in texts]
+    rows = [features(t).astype(np.int32) for t in texts]
     check = np.arange(len(rows)) % 5 == 4
     if len({*y[check].tolist()}) < 2:
         check[:] = False
@@ -187,19 +188,19 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     """
     marks = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull() & ~held_out(F.col(doc_id)))
     marks = marks.select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("label")).distinct()
-    rows = stored(
-        docs.select(F.col(doc_id).alias("_id"), text_of(text).alias("text")).join(marks, "_id"), "labelled"
-    )
+    # The same join at every size; labels grow with the documents.
+    rows = docs.select(F.col(doc_id).alias("_id"), text_of(text).alias("text")).join(marks.hint("merge"), "_id")
+    rows = stored(rows.select("_id", "text", "label"), "labelled")
     sizes = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     good, bad = _class_counts(rows)
     ratio = log_ratios(good, bad, sizes.get(1, 0), sizes.get(0, 0))
-    texts, marks = [], []
-    order = [F.xxhash64("_id", "text"), F.col("_id")]
-    for value in (0, 1):
-        part = rows.where(F.col("label") == value).orderBy(*order).limit(fit_rows).select("text").collect()
-        texts += [r.text for r in part]
-        marks += [bool(value)] * len(part)
-    return fit(texts, marks, ratio)
+    # About fit_rows of each class: those whose hash lies in the lowest part of the range.
+    unit = F.xxhash64("_id", "text").cast("double") / float(1 << 64) + 0.5
+    shares = {q: fit_rows / n for q, n in sizes.items()}
+    chosen = F.coalesce(*[F.when(F.col("label") == q, unit < p) for q, p in shares.items()], F.lit(False))
+    part = rows.where(chosen).select("_id", "text", "label").collect()
+    part.sort(key=lambda r: (r.label, str(r["_id"]), r.text))
+    return fit([r.text for r in part], [r.label == 1 for r in part], ratio)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
