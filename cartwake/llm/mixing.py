@@ -23,8 +23,8 @@ WEIGHTS = (5, 2, 1)
 MOST_USES = 3
 #: Documents that are ranked together when some of a length are picked.
 RANKED = 4096
-#: Most words that the proportional part leaves to the knapsack on purpose.
-RESERVE = 1 << 17
+#: Least and most words that the proportional part leaves to the knapsack on purpose.
+LEAST_RESERVE, RESERVE = 1 << 12, 1 << 17
 
 
 def targets(sizes: list[int], weights: list[int], most_uses: int = MOST_USES) -> list[Fraction]:
@@ -84,11 +84,11 @@ def fill(budget: int, counts: list[tuple[int, int]]) -> dict[int, int]:
     total = sum(s * n for s, n in counts)
     if budget >= total:
         return dict(counts)
-    spread = max(0, budget - min(8 * counts[-1][0], RESERVE))
+    # A reserve of several long documents gives the knapsack room to be exact.
+    room = min(max(8 * counts[-1][0], LEAST_RESERVE), RESERVE)
+    spread = max(0, budget - room)
     out = {s: n * spread // total for s, n in counts}
     left = budget - sum(s * n for s, n in out.items())
-    # A reserve of several long documents gives the knapsack room to be exact.
-    room = min(8 * max((s for s, _ in counts), default=0), RESERVE)
     for s, n in sorted(counts, key=lambda c: (-(c[1] * budget % total), c[0])):
         if out[s] < n and left - s >= room:
             out[s] += 1
