@@ -15,8 +15,9 @@ cut points for them.  A ``SessionLayout`` then spreads each hot session over
 
 Cut points only steer where rows go, so a bad sample costs time and never
 changes a result.  With no hot session every method is the plain window plan.
-The carries and cut points are one row per segment, at most about twice
-``rows / segment_rows``, and are the only things broadcast here.
+The cut points are one row per hot session and the only thing broadcast by a hint.  Carries,
+totals and halo starts are a few rows per segment and sequence; Spark broadcasts them while
+their measured size allows.
 """
 
 from __future__ import annotations
@@ -122,7 +123,7 @@ class SessionLayout:
             match = match & F.col(c).eqNullSafe(F.col(f"_w_{c}"))
         match = match & (F.col("_p") < F.col("_first")) & (F.col("_p") >= F.col("_first") - rows)
         halo = (
-            tail.join(F.broadcast(wanted), match)
+            tail.join(wanted, match)
             .withColumn(SEG, F.col("_to"))
             .select(*part.columns)
         )
@@ -229,7 +230,7 @@ class SessionLayout:
 
     def _attach(self, df: DataFrame, carry: DataFrame) -> DataFrame:
         on = F.col(self.key).eqNullSafe(F.col("_ck")) & (F.col(SEG) == F.col("_cs"))
-        return df.join(F.broadcast(carry), on, "left").drop("_ck", "_cs")
+        return df.join(carry, on, "left").drop("_ck", "_cs")
 
     # -- whole-session values ----------------------------------------------
     def totals(self, df: DataFrame, **aggs: Column) -> DataFrame:
@@ -245,7 +246,7 @@ class SessionLayout:
             .agg(*[a.alias(f"_t_{n}") for n, a in aggs.items()])
         )
         joined = local.join(
-            F.broadcast(whole), F.col(self.key).eqNullSafe(F.col("_tk")), "left"
+            whole, F.col(self.key).eqNullSafe(F.col("_tk")), "left"
         )
         fixed = {
             n: F.when(F.col(SEG) > 0, F.col(f"_t_{n}")).otherwise(F.col(n)) for n in aggs

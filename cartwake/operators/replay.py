@@ -201,7 +201,7 @@ def _with_entries(rows: DataFrame, items: int) -> DataFrame:
     )
     on = F.col("session_id").eqNullSafe(F.col("_ek")) & (F.col(SEG) == F.col("_es"))
     return (
-        rows.join(F.broadcast(entries), on, "left")
+        rows.join(entries, on, "left")
         .withColumn("_entry", F.coalesce("_from", F.col("_entry")))
         .drop("_ek", "_es", "_from")
     )

@@ -130,6 +130,7 @@ def checkout_table(bronze: DataFrame) -> DataFrame:
     )
 
 
+# What a session without such events has.
 _ZEROS = {
     **{n: 0.0 for n in (
         "velocity_avg", "velocity_max", "velocity_std", "acceleration_avg", "acceleration_max",
