@@ -40,8 +40,8 @@ HEADER = struct.Struct("<4sIIIQQ")
 RANK_BITS = 512
 #: Tokens after which a shard is closed; a longer document has a shard of its own.
 SHARD_TOKENS = 2_000_000
-#: Words whose ids a worker remembers before it starts anew.
-CACHE_WORDS = 600_000
+#: Words whose ids a worker remembers; the half that was not used lately is forgotten.
+CACHE_WORDS = 400_000
 
 
 # -- the code ---------------------------------------------------------------
@@ -153,7 +153,8 @@ class Encoder:
 
     The vocabulary's pre-tokenizer never joins text across ASCII white space, so the ids
     of a text are those of its words in a row.  Each different word is encoded once and
-    remembered; a bounded memory is emptied when full.
+    remembered in a bounded memory of two generations: when the young one is full it becomes
+    the old one, and words of the old one come back when they are used.
     """
 
     def __init__(self, path: str, most: int = CACHE_WORDS):
@@ -162,6 +163,7 @@ class Encoder:
 
         self.model, self.most = Tokenizer.from_file(path), most
         self.seen: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         vocab = self.model.get_vocab()
         # A token that ends with this suffix ends a piece of the pre-tokenizer.
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
@@ -184,12 +186,15 @@ class Encoder:
 
     def texts(self, texts: list[str]) -> list[bytes]:
         parts = [_words(t) for t in texts]
-        if len(self.seen) > self.most:
-            self.seen.clear()
+        if 2 * len(self.seen) > self.most:
+            self.seen, self.old = {}, self.seen
         get, known = self.seen.__getitem__, self.seen.__contains__
         new: set[str] = set()
         for p in parts:
             new.update(filterfalse(known, p))
+        if again := new & self.old.keys():
+            self.seen.update((w, self.old.pop(w)) for w in again)
+            new -= again
         if new:
             self._learn(list(new))
         return [b"".join(map(get, p)) for p in parts]
