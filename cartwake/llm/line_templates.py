@@ -7,7 +7,9 @@ Lines of templates that stand in ``MIN_DOCS`` documents or more are dropped ever
 
 Only leaves that enough documents reach are looked into, and there each different line
 counts once, with its documents counted before.  A leaf of more than ``LEAF_LINES`` different
-lines is split by further tokens, so no task gets more than that for one leaf.
+lines is divided into parts that do not change what the tree finds: a line only ever joins a
+template whose first line shares enough tokens with it, so lines that no chain of such pairs
+connects can be worked on apart, each part in the order of the leaf.
 """
 
 from __future__ import annotations
@@ -16,12 +18,14 @@ from collections import Counter
 from collections.abc import Iterator
 from math import ceil
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwake.llm.common import slices, text_of
+from cartwake.llm.components import stars
 from cartwake.sources.files import stored
 
 LEADING = 3
@@ -45,23 +49,36 @@ def _leaf(tokens: list[str], leading: int) -> int:
     return _key(f"{len(tokens)} {' '.join(tokens[:leading])}")
 
 
+def _needed(least: float, size: int) -> int:
+    """Tokens that a line of ``size`` tokens must share with a template."""
+    return max(1, ceil(least * size - 1e-9))
+
+
 class Leaf:
     """Templates of one leaf; lines are added in a fixed order."""
 
     def __init__(self, least: float = LEAST_SHARED):
-        self.least, self.templates, self.members = least, [], []
+        self.least, self.templates = least, []
         self.index: dict[tuple[int, str], set[int]] = {}
 
     def add(self, tokens: list[str]) -> int:
         """The place of the template that a line joins."""
-        shared = Counter(k for x in enumerate(tokens) if x[1] != VARIABLE for k in self.index.get(x, ()))
-        k, n = min(shared.items(), key=lambda s: (-s[1], s[0]), default=(0, 0))
-        if n < max(1, ceil(self.least * len(tokens) - 1e-9)):
+        need = _needed(self.least, len(tokens))
+        places = [x for x in enumerate(tokens) if x[1] != VARIABLE]
+        k, n = 0, 0
+        if len(places) >= need:
+            # Whoever shares ``need`` places misses too few to miss all of the rarest ones.
+            lists = sorted((self.index.get(x, ()) for x in places), key=len)
+            for c in set().union(*lists[: len(places) - need + 1]):
+                own = self.templates[c]
+                shared = sum(own[i] == t for i, t in places)
+                if shared > n or shared == n and c < k:
+                    k, n = c, shared
+        if n < need:
             k = len(self.templates)
             self.templates.append(list(tokens))
-            for x in enumerate(tokens):
-                if x[1] != VARIABLE:
-                    self.index.setdefault(x, set()).add(k)
+            for x in places:
+                self.index.setdefault(x, set()).add(k)
             return k
         own = self.templates[k]
         for i, t in enumerate(tokens):
@@ -109,15 +126,100 @@ def _templates(different: DataFrame, least: float) -> DataFrame:
     return ordered.mapInArrow(work, "leaf long, mask long, template int")
 
 
-def _split_full(different: DataFrame, leading: int, most: int) -> DataFrame:
-    """Overfull leaves get the next tokens into their key, then all of them."""
-    for deeper in (leading, 2 * leading, None):
-        full = different.groupBy("leaf").agg(F.count("*").alias("lines")).where(F.col("lines") > most)
-        tokens = F.split("line", " ")
-        more = F.col("line") if deeper is None else F.array_join(F.slice(tokens, deeper + 1, leading), " ")
-        split = F.when(F.col("lines").isNotNull(), F.xxhash64("leaf", more)).otherwise(F.col("leaf"))
-        different = different.join(full, "leaf", "left").withColumn("leaf", split).drop("lines")
-    return different
+def _keys(lines: DataFrame, least: float, leading: int) -> DataFrame:
+    """``key`` and ``mask``: lines of a leaf that share enough tokens share a key.
+
+    A key is a token at its place.  The leading tokens are equal in a leaf, so of the other
+    places only so many can differ; of the rarest ones, one more than that is listed.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["mask", "most", "key"]
+        for batch in slices(batches, "line", 1 << 18):
+            cols: list[list] = [[] for _ in names]
+            for leaf, mask, line in zip(*(batch.column(c).to_pylist() for c in ("leaf", "mask", "line"))):
+                tokens = line.split(" ")
+                places = [x for x in enumerate(tokens) if x[1] != VARIABLE]
+                most = len(places) - _needed(least, len(tokens)) + 1
+                for i, t in places if most > 0 else ():
+                    if i >= leading:
+                        for col, value in zip(cols, (mask, most, _key(f"{leaf} {i} {t}"))):
+                            col.append(value)
+            kinds = [pa.int64(), pa.int32(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
+
+    every = stored(lines.mapInArrow(work, "mask long, most int, key long"), "line-places")
+    often = every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    # Places that no other line has are the rarest of all, and link nothing.
+    rare = every.join(often, "key", "left").groupBy("mask").agg(
+        F.min("most").alias("most"),
+        F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "key"))).alias("keys"),
+    )
+    listed = rare.select("mask", F.explode(F.expr("slice(keys, 1, most)")).alias("k"))
+    return listed.where("k.n > 1").select("k.key", "mask")
+
+
+def _pair_links(listed: DataFrame, least: float) -> DataFrame:
+    """``u``, ``v``: lines under one key that share enough tokens."""
+
+    def close(masks: list[int], lines: list[str]) -> Iterator[tuple[int, int]]:
+        codes: dict[str, int] = {VARIABLE: 0}
+        rows = np.array([[codes.setdefault(t, len(codes)) for t in x.split(" ")] for x in lines], np.int32)
+        need = _needed(least, rows.shape[1])
+        label = np.arange(len(rows))
+        for i in range(1, len(rows)):
+            near = np.flatnonzero(((rows[:i] == rows[i]) & (rows[i] > 0)).sum(axis=1) >= need)
+            if len(near):
+                joined = np.unique(label[near])
+                for k in joined:
+                    yield masks[i], masks[k]
+                label[: i + 1][np.isin(label[: i + 1], joined)] = joined[0]
+                label[i] = joined[0]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, masks, lines = None, [], []
+
+        def found() -> pa.RecordBatch:
+            pairs = list(close(masks, lines)) if len(masks) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["u", "v"])
+
+        for batch in batches:
+            for key, mask, line in zip(*(batch.column(c).to_pylist() for c in ("key", "mask", "line"))):
+                if key != at:
+                    yield found()
+                    at, masks, lines = key, [], []
+                masks.append(mask)
+                lines.append(line)
+        yield found()
+
+    return listed.repartition("key").sortWithinPartitions("key").mapInArrow(work, "u long, v long").distinct()
+
+
+def _divide_full(different: DataFrame, leading: int, least: float, most: int) -> DataFrame:
+    """Full leaves in parts between which no line can join a template of another part.
+
+    Lines under a key are compared in pairs; those under a key of more than ``most`` lines
+    stay in one part without a look, which divides less but changes no template.
+    """
+    full = different.groupBy("leaf").agg(F.count("*").alias("lines")).where(F.col("lines") > most).select("leaf")
+    full = stored(full, "full-leaves")
+    if not full.take(1):
+        return different
+    lines = different.join(full, "leaf", "left_semi")
+    listed = stored(_keys(lines, least, leading), "line-keys")
+    sizes = listed.groupBy("key").agg(F.count("*").alias("n"), F.min("mask").alias("v"))
+    small = listed.join(sizes.where(F.col("n") <= most).select("key"), "key", "left_semi")
+    small = small.join(lines.select("mask", "line"), "mask")
+    large = listed.join(sizes.where(F.col("n") > most).select("key", "v"), "key")
+    found = _pair_links(small, least).unionByName(large.select(F.col("mask").alias("u"), "v"))
+    # Where the leading tokens alone are enough, all lines of the leaf have one template.
+    tokens = F.split("line", " ")
+    led = F.size(F.filter(F.slice(tokens, 1, leading), lambda t: t != VARIABLE))
+    apart = led < F.greatest(F.lit(1), F.ceil(F.lit(least) * F.size(tokens) - F.lit(1e-9)))
+    parts = stars(found).select(F.col("u").alias("mask"), F.col("v").alias("part"))
+    joined = different.join(full.withColumn("full", F.lit(True)), "leaf", "left").join(parts, "mask", "left")
+    leaf = F.when(F.col("full") & apart, F.xxhash64("leaf", F.coalesce("part", "mask"))).otherwise(F.col("leaf"))
+    return joined.withColumn("leaf", leaf).select(*different.columns)
 
 
 def recurring(
@@ -129,7 +231,7 @@ def recurring(
     # Documents are counted per different line first, so a common line is one row from here.
     pairs = stored(busy.groupBy("leaf", "mask", "row").agg(F.min("line").alias("line")), "line-documents")
     different = pairs.groupBy("leaf", "mask").agg(F.min("line").alias("line"), F.count("*").alias("n"))
-    known = stored(_templates(_split_full(stored(different, "lines"), leading, leaf_lines), least), "line-templates")
+    known = stored(_templates(_divide_full(stored(different, "lines"), leading, least, leaf_lines), least), "line-templates")
     known = known.select("mask", F.xxhash64("leaf", "template").alias("template"))
     docs = pairs.select("mask", "row").join(known, "mask").select("template", "row").distinct()
     often = docs.groupBy("template").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs)

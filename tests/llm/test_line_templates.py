@@ -74,6 +74,25 @@ def test_variable_fields(spark, leaf_lines):
     assert not any("Posted" in t for t in got.values())
 
 
+def test_full_leaf_is_the_plain_tree(spark):
+    """A varying field without digits in any place, among lines of the same leaf that fit nothing."""
+    def word(*k):
+        return "w" + "".join(chr(97 + int(c)) for c in "-".join(map(str, k)) if c != "-") + "abcd"[len(k) - 1]
+
+    docs = []
+    for i in range(240):
+        rare = " ".join(word(i, k) for k in range(4)) if i % 3 else f"{word(i % 9, 1)} made {word(i % 5, 2)} by"
+        docs.append((i, f"recommended for you {word(i)} by our editors today\nrecommended for you by our editors in {word(i)}\n"
+                        f"recommended for you {rare} {word(i % 7)}\n{i} {i} {i} {word(i)} {'up' if i % 2 else 'down'} {word(i % 4)} end of row\n"
+                        f"as seen on {word(i)}"))
+    gone = dropped(docs, 10)
+    want = {d: rest(t, gone)[2] for d, t in docs}
+    assert not any("editors" in t or "as seen" in t for t in want.values()) and any("recommended" in t for t in want.values())
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for leaf_lines in (1000, 60, 5):
+        assert {r.doc_id: r.text for r in L.drop_recurring(df, min_docs=10, leaf_lines=leaf_lines).collect()} == want
+
+
 def test_odd_rows(spark, odd, none):
     got = L.drop_recurring(odd, min_docs=2)
     assert sorted(got.columns) == sorted([*odd.columns, "n_dropped"])
