@@ -2,7 +2,9 @@
 
 Pages of a host are ordered by the path of their URL, and each is compared with the next one:
 their text lines are aligned by longest common subsequence, and lines that both have are
-deleted.  What a page itself marks as its article is kept even if a neighbour repeats it, and
+deleted.  Copies are no neighbours: pages of a host with the same lines are one page here, and
+pages that share ``COPY_SHARE`` of their characters delete nothing of each other; each page of
+a run of those is compared with the pages before and after the run.  What a page itself marks as its article is kept even if a neighbour repeats it, and
 what it marks as menu, advert, footer and so on goes even if no neighbour has it.
 """
 
@@ -20,11 +22,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwake.llm.common import slices
+from cartwake.llm.components import stars
 from cartwake.sources.files import stored
 
 # Kinds of lines; text of the last kind is part of no line.
 OUT, OPEN, MAIN, SKIP = 0, 1, 2, -1
 
+#: Neighbours that share so much of the characters of both are copies.
+COPY_SHARE = 0.9
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>", re.S
 )
@@ -226,22 +232,26 @@ def _row(page_id: str, url: str, html: str) -> Column:
 
 
 def _hashes(pages: DataFrame) -> DataFrame:
-    """``host``, ``path``, ``row`` and the hashes and kinds of each page's lines."""
+    """``host``, ``path``, ``row`` and the hashes, kinds and lengths of each page's lines."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "html"):
-            hashes, kinds = [], []
+            hashes, kinds, sizes = [], [], []
             for html in batch.column("html").to_pylist():
                 lines = lines_of(html)
                 hashes.append([xxhash.xxh64_intdigest(t) - (1 << 63) for t, _ in lines])
                 kinds.append(bytes(k for _, k in lines))
+                sizes.append([len(t) for t, _ in lines])
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("host", "path", "row")), pa.array(hashes, pa.list_(pa.int64())), pa.array(kinds, pa.binary())],
-                ["host", "path", "row", "hashes", "kinds"],
+                [
+                    *(batch.column(c) for c in ("host", "path", "row")), pa.array(hashes, pa.list_(pa.int64())),
+                    pa.array(kinds, pa.binary()), pa.array(sizes, pa.list_(pa.int32())),
+                ],
+                ["host", "path", "row", "hashes", "kinds", "sizes"],
             )
 
     return pages.select("host", "path", "row", "html").mapInArrow(
-        work, "host string, path string, row long, hashes array<long>, kinds binary"
+        work, "host string, path string, row long, hashes array<long>, kinds binary, sizes array<int>"
     )
 
 
@@ -253,40 +263,87 @@ def _open_places(kinds: bytes, places: list[int]) -> list[int]:
     return [int(rank[i]) for i in places if kinds[i] != OUT]
 
 
-def _compare(a: dict, b: dict) -> list[tuple[int, list[int]]]:
-    """(row, places of open lines) to delete in two neighbours."""
+def _copies(a: dict, b: dict, shared: list[tuple[int, int]]) -> bool:
+    """Whether the common lines are nearly all of both pages."""
+    for page, side in ((a, 0), (b, 1)):
+        opened = sum(n for n, k in zip(page["sizes"], page["kinds"]) if k != OUT)
+        both = sum(page["sizes"][p[side]] for p in shared if page["kinds"][p[side]] != OUT)
+        if not opened or both < COPY_SHARE * opened:
+            return False
+    return True
+
+
+def _compare(a: dict | None, b: dict) -> list[dict]:
+    """What two neighbours delete, and whether they are copies."""
     if a is None or a["host"] != b["host"]:
         return []
     shared = common(a["hashes"], b["hashes"])
-    found = [(a["row"], _open_places(a["kinds"], [i for i, _ in shared])), (b["row"], _open_places(b["kinds"], [j for _, j in shared]))]
-    return [f for f in found if f[1]]
+    if _copies(a, b, shared):
+        return [_found("copies", a["row"], b["row"])]
+    return [
+        _found("differ", a["row"], b["row"], _open_places(a["kinds"], [i for i, _ in shared])),
+        _found("differ", b["row"], a["row"], _open_places(b["kinds"], [j for _, j in shared])),
+    ]
 
 
-_FOUND = "edge boolean, part int, last boolean, host string, row long, hashes array<long>, kinds binary, places array<int>"
+_FOUND = (
+    "what string, part int, last boolean, host string, row long, other long, hashes array<long>, kinds binary, "
+    "sizes array<int>, places array<int>"
+)
 _FOUND_ARROW = pa.schema([
-    ("edge", pa.bool_()), ("part", pa.int32()), ("last", pa.bool_()), ("host", pa.string()), ("row", pa.int64()),
-    ("hashes", pa.list_(pa.int64())), ("kinds", pa.binary()), ("places", pa.list_(pa.int32())),
+    ("what", pa.string()), ("part", pa.int32()), ("last", pa.bool_()), ("host", pa.string()), ("row", pa.int64()), ("other", pa.int64()),
+    ("hashes", pa.list_(pa.int64())), ("kinds", pa.binary()), ("sizes", pa.list_(pa.int32())), ("places", pa.list_(pa.int32())),
 ])
+_PAGE = ["host", "row", "hashes", "kinds", "sizes"]
 
 
 def _edge(part: int, last: bool, row: dict) -> dict:
-    return {"edge": True, "part": part, "last": last, "places": None} | {c: row[c] for c in ("host", "row", "hashes", "kinds")}
+    return dict.fromkeys(_FOUND_ARROW.names) | {"what": "edge", "part": part, "last": last} | {c: row[c] for c in _PAGE}
+
 
+def _found(what: str, row: int, other: int, places: list[int] | None = None) -> dict:
+    return dict.fromkeys(_FOUND_ARROW.names) | {"what": what, "row": row, "other": other, "places": places}
 
-def _deleted(row: int, places: list[int]) -> dict:
-    return dict.fromkeys(_FOUND_ARROW.names) | {"edge": False, "row": row, "places": places}
+
+def _compared(pairs: DataFrame) -> DataFrame:
+    """Findings for pages ``a`` and ``b``."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_pylist([f for x in batch.to_pylist() for f in _compare(x["a"], x["b"])], _FOUND_ARROW)
+
+    return pairs.select("a", "b").mapInArrow(work, _FOUND)
+
+
+def _outside(ones: DataFrame, met: DataFrame) -> DataFrame:
+    """Deletions in runs of copies, by the pages before and after each run."""
+    roots = stars(met.where("what = 'copies'"), "row", "other").withColumnsRenamed({"u": "row", "v": "root"})
+    member = stored(roots.unionByName(roots.select(F.col("root").alias("row"), "root").distinct()), "page-copies")
+    ends = met.where("what = 'differ'").select("row", "other").join(member, "row").select("root", "other").distinct()
+    page = F.struct(*_PAGE)
+    a = ones.select(F.col("row").alias("own"), page.alias("a"))
+    b = ones.select(F.col("row").alias("other"), page.alias("b"))
+    pairs = member.withColumnRenamed("row", "own").join(ends, "root").join(a, "own").join(b, "other")
+    own = member.select("row").join(_compared(pairs).where("what = 'differ'"), "row")
+    # The page outside has its own neighbours; of each pair only the copy's side counts here.
+    return own.join(member, "row").join(ends, ["root", "other"], "left_semi").select("row", "places")
 
 
 def shared_lines(pages: DataFrame) -> DataFrame:
     """``row`` and ``places``: open lines that a page shares with a neighbour.
 
-    Pages are sorted by host and path over all tasks, so a host of any size is spread
-    evenly.  The first and last page of each task meet those of the next in a second step,
-    which has two rows per task; where the tasks' limits lie does not matter.
+    Pages of a host with the same lines are one.  Pages are sorted by host and path over all
+    tasks, so a host of any size is spread evenly.  The first and last page of each task
+    meet those of the next in a second step, which has two rows per task; where the tasks'
+    limits lie does not matter.
     """
-    hashed = stored(_hashes(pages), "page-lines")
+    hashed = stored(_hashes(pages).withColumn("lines", F.xxhash64("hashes", "kinds")), "page-lines")
+    first = hashed.groupBy("host", "lines").agg(F.min(F.struct("path", "row")).alias("f"))
+    first = first.select("host", "lines", "f.path", "f.row")
+    ones = hashed.join(first.select("row"), "row", "left_semi").dropDuplicates(["row"])
+    ones = stored(ones.select("path", *_PAGE), "page-lists")
     order = ["host", "path", "row"]
-    ordered = hashed.repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered = ones.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), None
@@ -295,7 +352,7 @@ def shared_lines(pages: DataFrame) -> DataFrame:
             for row in batch.to_pylist():
                 if before is None:
                     out.append(_edge(part, False, row))
-                out += [_deleted(*f) for f in _compare(before, row)]
+                out += _compare(before, row)
                 before = row
             yield pa.RecordBatch.from_pylist(out, _FOUND_ARROW)
         if before is not None:
@@ -303,27 +360,26 @@ def shared_lines(pages: DataFrame) -> DataFrame:
 
     found = stored(ordered.mapInArrow(inner, _FOUND), "page-neighbours")
     before = Window.orderBy("part", "last")
-    side = F.struct("host", "row", "hashes", "kinds")
-    edges = found.where("edge").select("part", "last", side.alias("b"), F.lag(side).over(before).alias("a"))
-
-    def outer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [f for x in batch.to_pylist() for f in _compare(x["a"], x["b"])]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r for r, _ in rows], pa.int64()), pa.array([p for _, p in rows], pa.list_(pa.int32()))], ["row", "places"]
-            )
-
+    side = F.struct(*_PAGE)
+    edges = found.where("what = 'edge'").select("part", "last", side.alias("b"), F.lag(side).over(before).alias("a"))
     # Between tasks only: a task's first row follows the last row of the one before.
-    met = edges.where("not last and a is not null").select("a", "b").mapInArrow(outer, "row long, places array<int>")
-    every = found.where("not edge").select("row", "places").unionByName(met)
-    return every.groupBy("row").agg(F.array_distinct(F.flatten(F.collect_set("places"))).alias("places"))
+    between = _compared(edges.where("not last and a is not null"))
+    columns = ["what", "row", "other", "places"]
+    met = stored(found.where("what <> 'edge'").select(columns).unionByName(between.select(columns)), "page-met")
+    every = met.where("what = 'differ'").select("row", "places")
+    if met.where("what = 'copies'").take(1):
+        every = every.unionByName(_outside(ones, met))
+    lost = every.groupBy("row").agg(F.array_distinct(F.flatten(F.collect_set("places"))).alias("places")).where("size(places) > 0")
+    # All pages with the lines of one lose what it loses.
+    lost = first.select("host", "lines", "row").join(lost, "row").select("host", "lines", "places")
+    return hashed.select("host", "lines", "row").distinct().join(lost, ["host", "lines"]).select("row", "places")
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """One row per page: page_id, url, text, n_chars.
 
     Null and empty html give an empty text; a page without a url belongs to the host "".
-    Repeated rows stay and are neighbours of each other.  Other columns are not read.
+    Repeated rows stay and are one page to their neighbours.  Other columns are not read.
     """
     rows = pages.select(
         F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"),

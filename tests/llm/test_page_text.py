@@ -103,6 +103,27 @@ def test_shared_lines_of_neighbours_go(spark):
     assert sum(t.startswith("own") for t in got.values()) > 300
 
 
+def test_copies_keep_their_text(spark):
+    """Mirrors, print views and repeated rows next to each other, without an article element."""
+    menu = "".join(f"<div>menu {k}</div>" for k in range(4))
+    pages, want = [], {}
+    for i in range(60):
+        own = [f"paragraph {k} of page {i} with {'many ' * 9}words" for k in range(6)]
+        body = "".join(f"<p>{x}</p>" for x in own)
+        views = [(f"/p/{i:03d}{x}", body, own) for x in ("", "?print=1", "/mirror")[: i % 4]] or [(f"/p/{i:03d}", body, own)]
+        if i % 3 == 0:
+            views += [(f"/p/{i:03d}/view{v}", body + f"<p>view {v}</p>", [*own, f"view {v}"]) for v in range(3)]
+        for url, html, text in views * (2 if i % 5 == 0 else 1):
+            pages.append((len(pages), f"http://h/{url}", menu + html + "<div>end</div>"))
+            want[len(pages) - 1] = "\n".join(text)
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    for parts in (1, 8):
+        assert {r.page_id: r.text for r in P.extract(df.repartition(parts)).collect()} == want
+    # Copies alone on their host have nothing to compare with.
+    alone = spark.createDataFrame([(i, f"http://{i // 2}/x?{i}", f"<p>text {i // 2}") for i in range(8)], df.schema)
+    assert {r.page_id: r.text for r in P.extract(alone).collect()} == {i: f"text {i // 2}" for i in range(8)}
+
+
 def test_odd_rows(spark):
     rows = [
         (1, None, None), (None, None, "<p>a"), (2, "", ""), (3, "not a url", "<article>x</article>"), (3, "not a url", "<article>x</article>"),
