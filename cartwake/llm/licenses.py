@@ -1,6 +1,8 @@
 """Licence texts in documents, by the Dice coefficient of word bigrams.
 
-A passage is a run of whole lines.  Passage and template are compared as sets of pairs of
+A passage is a run of whole lines or, for a template that no such run matches, a run of words
+that begins and ends with a pair of the template.  A notice that is part of a larger text found
+is not reported besides.  Passage and template are compared as sets of pairs of
 neighbouring normalised words.  A coefficient of t needs sizes within a factor of (2 - t) / t,
 so templates are kept by size and only those in bounds are compared.
 """
@@ -70,6 +72,21 @@ DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR
 SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES;
 LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN
 CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS
+SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
+    ("bsd-3-clause", """Redistribution and use in source and binary forms, with or without modification, are permitted
+provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+derived from this software without specific prior written permission.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES;
+LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN
+CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS
 SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
 ]
 
@@ -94,7 +111,8 @@ class Templates:
     def matches(self, text: str | None) -> list[tuple[str, float, int, int]]:
         """(name, coefficient, first line, last line) of each template's best passage.
 
-        Of equally good passages the earliest counts, then the shortest.
+        Passages of whole lines come first, then those of words.  Of equally good passages the
+        earliest counts, then the shortest.
         """
         lines = [words_of(x) for x in (text or "").split("\n")]
         words = [w for x in lines for w in x]
@@ -127,9 +145,45 @@ class Templates:
                     dice = 2 * len(shared & own) / (len(pairs) + len(own))
                     if dice >= self.least and dice > best.get(name, (0,))[0]:
                         best[name] = dice, a, b
+        found = [(ends[a - 1] if a else 0, ends[b]) for _, a, b in best.values()]
+        for name, own in reversed(self.all):
+            if name in best:
+                continue
+            passage = self._words(words, own, found)
+            if passage:
+                dice, start, end = passage
+                found.append((start, end))
+                best[name] = dice, bisect_right(ends, start), bisect_right(ends, end - 1)
         return [(n, *v) for n, v in sorted(best.items())]
 
 
+    def _words(self, words: list[bytes], own: frozenset, found: list[tuple[int, int]]) -> tuple[float, int, int] | None:
+        """(coefficient, first word, word after the last) of the best passage outside ``found``."""
+        pairs = list(_pairs(words))
+        hits = [i for i, p in enumerate(pairs) if p in own]
+        # A match shares at least 1 / factor of the template's pairs.
+        if len({pairs[i] for i in hits}) < len(own) / self.factor - 1e-9:
+            return None
+        most, best = len(own) * self.factor + 1e-9, None
+        for n, start in enumerate(hits):
+            seen: set = set()
+            shared, done = 0, start
+            for last in hits[n:]:
+                for p in pairs[done : last + 1]:
+                    if p not in seen:
+                        seen.add(p)
+                        shared += p in own
+                done = last + 1
+                if len(seen) > most:
+                    break
+                dice = 2 * shared / (len(seen) + len(own))
+                if dice < self.least or best and dice <= best[0]:
+                    continue
+                if not any(a <= start and last + 2 <= b for a, b in found):
+                    best = dice, start, last + 2
+        return best
+
+
 def _pairs(words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
     return zip(words, words[1:])
 

@@ -45,6 +45,25 @@ def test_changed_licence_among_prose(name):
     assert name in [f[0] for f in found]
 
 
+def test_notices_inside_lines():
+    t = L.Templates(L.TEMPLATES)
+    for text, want in [
+        ("Copyright 2024 Foo Inc. All rights reserved.", [("all-rights-reserved", 1.0, 0, 0)]),
+        ("Prose.\nReleased under the MIT License. Copyright Foo Inc.\nMore", [("mit-notice", 1.0, 1, 1)]),
+        ("Copyright Foo Inc. All rights\nreserved. And more prose", [("all-rights-reserved", 1.0, 0, 1)]),
+        ("the rights of all are reserved", []),
+    ]:
+        assert t.matches(text) == want
+    # One long line; the notice that the header holds is part of it, one further on is not.
+    header = dict(L.TEMPLATES)["apache-2.0-header"].replace("\n", " ")
+    prose = " ".join(f"prose{i} of the license" for i in range(300))
+    assert [m[0] for m in t.matches(f"{prose} {header} {prose}")] == ["apache-2.0-header"]
+    again = dict(L.TEMPLATES)["apache-2.0-notice"]
+    assert [m[:2] for m in t.matches(f"{prose} {header} {prose} {again} {prose}")] == [("apache-2.0-header", 1.0), ("apache-2.0-notice", 1.0)]
+    bsd = dict(L.TEMPLATES)["bsd-3-clause"].replace("\n", " ")
+    assert ("bsd-3-clause", 1.0, 0, 0) in t.matches(f"{prose} {bsd} {prose}")
+
+
 def test_size_bounds():
     t = L.Templates([("a", "x y"), ("b", " ".join(f"w{i}" for i in range(101)))])
     assert [n for n, _ in t.in_bounds(1)] == ["a"] and [n for n, _ in t.in_bounds(150)] == ["b"]
