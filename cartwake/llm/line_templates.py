@@ -33,6 +33,7 @@ LEAST_TOKENS = 3
 LEAST_SHARED = 0.6
 MIN_DOCS = 10
 LEAF_LINES = 1000
+LONG_TOKENS = 50
 VARIABLE = "<*>"
 
 
@@ -224,17 +225,26 @@ def _divide_full(different: DataFrame, leading: int, least: float, most: int) ->
 
 def recurring(
     lines: DataFrame, leading: int = LEADING, least: float = LEAST_SHARED, min_docs: int = MIN_DOCS, leaf_lines: int = LEAF_LINES,
+    long_docs: int | None = None,
 ) -> DataFrame:
-    """``mask`` of every line whose template stands in at least ``min_docs`` documents."""
-    reach = lines.select("leaf", "row").distinct().groupBy("leaf").agg(F.count("*").alias("n"))
-    busy = lines.join(reach.where(F.col("n") >= min_docs).select("leaf"), "leaf", "left_semi")
+    """``mask`` of every line whose template stands in at least ``min_docs`` documents.
+
+    With ``long_docs``, that many are enough for lines of ``LONG_TOKENS`` tokens or more.
+    """
+    # Lines of a leaf and of a template have one number of tokens.
+    many, size = F.lit(min_docs), F.lit(0)
+    if long_docs is not None:
+        many = F.when(F.col("size") >= LONG_TOKENS, long_docs).otherwise(min_docs)
+        size = F.size(F.split("line", " "))
+    reach = lines.select("leaf", "row", size.alias("size")).distinct().groupBy("leaf").agg(F.count("*").alias("n"), F.max("size").alias("size"))
+    busy = lines.join(reach.where(F.col("n") >= many).select("leaf"), "leaf", "left_semi")
     # Documents are counted per different line first, so a common line is one row from here.
     pairs = stored(busy.groupBy("leaf", "mask", "row").agg(F.min("line").alias("line")), "line-documents")
     different = pairs.groupBy("leaf", "mask").agg(F.min("line").alias("line"), F.count("*").alias("n"))
     known = stored(_templates(_divide_full(stored(different, "lines"), leading, least, leaf_lines), least), "line-templates")
     known = known.select("mask", F.xxhash64("leaf", "template").alias("template"))
-    docs = pairs.select("mask", "row").join(known, "mask").select("template", "row").distinct()
-    often = docs.groupBy("template").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs)
+    docs = pairs.select("mask", "row", size.alias("size")).join(known, "mask").select("template", "row", "size").distinct()
+    often = docs.groupBy("template").agg(F.count("*").alias("n"), F.max("size").alias("size")).where(F.col("n") >= many)
     return known.join(often.select("template"), "template", "left_semi").select("mask").distinct()
 
 
@@ -245,19 +255,22 @@ def _row(docs: DataFrame) -> Column:
 
 def drop_recurring(
     docs: DataFrame, text: str = "text", leading: int = LEADING, least_tokens: int = LEAST_TOKENS,
-    least: float = LEAST_SHARED, min_docs: int = MIN_DOCS, leaf_lines: int = LEAF_LINES,
+    least: float = LEAST_SHARED, min_docs: int = MIN_DOCS, leaf_lines: int = LEAF_LINES, long_docs: int | None = None,
 ) -> DataFrame:
     """``docs`` without recurring lines in ``text``; adds ``n_lines`` and ``n_dropped``.
 
     Lines of fewer than ``least_tokens`` tokens always stay.  Rows equal in every value are
     one document for counting, and all of them stay as rows.  Null texts stay null and have
     no lines; an empty text is one line.  Columns of the added names are replaced.
+
+    With ``long_docs``, lines of ``LONG_TOKENS`` tokens or more recur in that many documents.
+    Copies of a document count, so with few documents take one of each group first.
     """
     own = ["n_lines", "n_dropped"]
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in own])
     keyed = docs.withColumn("_row", _row(docs))
     lines = stored(_lines(keyed.select(F.col("_row").alias("row"), text_of(text).alias("text")), leading, least_tokens), "document-lines")
-    gone = recurring(lines, leading, least, min_docs, leaf_lines)
+    gone = recurring(lines, leading, least, min_docs, leaf_lines, long_docs)
     places = lines.select("row", "place", "mask").join(gone, "mask", "left_semi").groupBy("row").agg(
         F.collect_set("place").alias("_places")
     )

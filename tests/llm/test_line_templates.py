@@ -93,6 +93,22 @@ def test_full_leaf_is_the_plain_tree(spark):
         assert {r.doc_id: r.text for r in L.drop_recurring(df, min_docs=10, leaf_lines=leaf_lines).collect()} == want
 
 
+def test_long_passages_in_few_documents(spark):
+    """Passages of 50 words in two to nine documents go, short lines need ten."""
+    def passage(k, size):
+        return " ".join("pqrstuvwxy"[k] * (j + 1) for j in range(size))
+
+    docs = []
+    for i in range(9):
+        shared = [passage(k, size) for k in range(2, 10) for size in (49, 50) if i < k]
+        docs.append((i, "\n".join([*shared, f"own words of {'abcdefghi'[i] * 4} only", passage(0, 60) if i == 0 else "x"])))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r.text.split("\n") for r in L.drop_recurring(df, long_docs=2).collect()}
+    for d, text in docs:
+        assert got[d] == [x for x in text.split("\n") if len(x.split()) < 50 or len(x.split()) == 60]
+    assert all(r.n_dropped == 0 for r in L.drop_recurring(df).collect())
+
+
 def test_odd_rows(spark, odd, none):
     got = L.drop_recurring(odd, min_docs=2)
     assert sorted(got.columns) == sorted([*odd.columns, "n_dropped"])
