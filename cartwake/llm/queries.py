@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwake.llm import decontaminate, licenses, line_templates, mixing, page_text, quality, quality_rules, simhash_dedup, token_codes, warc
+from cartwake.llm import decontaminate, licenses, line_templates, mixing, page_text, prefix_trie, quality, quality_rules, simhash_dedup, token_codes, warc
 from cartwake.llm.common import on_workers, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -154,3 +154,49 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+# crc32 of the decimal conv_id, bit by bit: 8 steps (-1) after each byte.
+OP11_SQL = """
+with own as (
+  select conv_id as c, coalesce(role, '') as role, coalesce(text, '') as text,
+    row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) - 1 as place
+  from conversations where conv_id is not null),
+convs as (
+  select c, c - c % 20 as head,
+    xor(4294967295, list_reduce([4294967295::bigint] || flatten([[ascii(x)::bigint] || [-1::bigint for i in range(8)]
+        for x in string_split(c::varchar, '')]),
+      lambda s, x: case when x >= 0 then xor(s, x) when s & 1 = 1 then xor(s >> 1, 3988292384) else s >> 1 end)) % 4 as h
+  from (select distinct c from own)),
+turns as (
+  select convs.c, 0 as part, place, role, text from convs join own on own.c = head where place < h
+  union all
+  select c, 1, place, role, text from own join convs using (c) where place >= h),
+p as (
+  select c, role, text, row_number() over w as depth,
+    sha256(string_agg(sha256(role) || sha256(text), '') over (partition by c order by part, place rows unbounded preceding)) as k
+  from turns window w as (partition by c order by part, place)),
+every as (
+  select c, depth, k, lag(k, 1, 'root') over (partition by c order by depth) as parent,
+    len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) as words
+  from p union all select c, 0, 'root', null, 0 from convs),
+nodes as (
+  select k, depth, min(parent) as parent, min(c) as conv_id, count(*) as n_convs, min(words) as words
+  from every group by k, depth),
+kids as (select parent as k, count(*) as n_children from nodes where depth > 0 group by parent),
+v as (
+  select nodes.*, coalesce(n_children, 0) as n_children, (n_convs - 1) * words as saved from nodes left join kids using (k)),
+below as (
+  select a.k, sum((v.n_children = 0)::bigint) as n_leaves, sum(saved) as saved_tokens
+  from v join every a on a.c = v.conv_id and a.depth <= v.depth group by a.k),
+ends as (
+  select k, sha256(string_agg(c::varchar, ',' order by c)) as ends_sha256
+  from (select k, c from every qualify row_number() over (partition by c order by depth desc) = 1) group by k)
+select v.conv_id, v.depth::bigint as depth, up.conv_id as parent_conv_id, v.n_convs, v.n_children,
+  n_leaves::bigint as n_leaves, saved_tokens::bigint as saved_tokens, coalesce(ends_sha256, sha256('')) as ends_sha256
+from v join below using (k) left join ends using (k) left join nodes up on up.k = v.parent"""
+
+
+@query("op11_prefix_trie", OP11_SQL)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.shared_head_trie(table(spark, sf_dir, "conversations")).drop("k1", "k2")
