@@ -1,4 +1,4 @@
-from conftest import same
+from helpers import same
 from pyspark.sql import functions as F
 
 from cartwake.layout import PLAIN, SEG, SessionLayout, bucket_index, profile_sessions

@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from conftest import same
+from helpers import same
 from pyspark.sql import functions as F
 
 from cartwake.functions.history import add_history_features

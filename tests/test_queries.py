@@ -4,7 +4,7 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SMALL
+from helpers import SMALL
 
 SQL = entry.oracle_sql()
 QUERIES = entry.queries()

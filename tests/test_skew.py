@@ -1,7 +1,7 @@
 """Every ordered operator gives the same rows with a hot session split up."""
 
 import pytest
-from conftest import same
+from helpers import same
 from pyspark.sql import functions as F
 
 from cartwake.functions import maps as M

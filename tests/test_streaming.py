@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from cartwake.operators import replay as R
 from cartwake.streaming import jobs, sessions
 
-from conftest import same
+from helpers import same
 
 BEAT = {"event_type": "heartbeat", "user_id": "u", "mouse_click_count": 0, "device": "desktop", "page": "cart",
         "cart_value": 5.0, "product_count": 1, "product_quantities": "{}", "shipping_option_selected": "standard",
