@@ -1,6 +1,6 @@
 import pytest
+from text_helpers import SMALL
 
-SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session", autouse=True)

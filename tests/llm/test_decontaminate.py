@@ -4,7 +4,7 @@ import re
 from cartwake.llm import decontaminate as D
 from cartwake.llm.queries import QUERIES
 
-from conftest import SMALL
+from text_helpers import SMALL
 
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 

@@ -4,7 +4,7 @@ from cartwake.llm import licenses as L
 from cartwake.llm.decontaminate import words_of
 from cartwake.llm.queries import QUERIES
 
-from conftest import SMALL
+from text_helpers import SMALL
 
 
 def brute(text, templates, least=L.LEAST_DICE):

@@ -7,7 +7,7 @@ import pytest
 from cartwake.llm import line_templates as L
 from cartwake.llm.queries import QUERIES
 
-from conftest import SMALL
+from text_helpers import SMALL
 
 
 def mask(line):

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from cartwake.llm import mixing as M
 from cartwake.llm.queries import QUERIES
 
-from conftest import SMALL
+from text_helpers import SMALL
 
 
 def best_sum(budget, counts):

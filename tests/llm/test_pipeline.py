@@ -12,7 +12,7 @@ import corpus_pipeline as P
 from cartwake.llm import decontaminate, quality, simhash_dedup
 from cartwake.sources.files import stored
 
-from conftest import SMALL
+from text_helpers import SMALL
 
 
 @pytest.fixture(scope="module")

@@ -8,7 +8,7 @@ import oracle
 from cartwake.llm import quality_rules as R
 from cartwake.llm.queries import ORACLES, QUERIES
 
-from conftest import SMALL
+from text_helpers import SMALL
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 

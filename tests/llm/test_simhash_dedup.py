@@ -9,7 +9,7 @@ from cartwake.llm import simhash_dedup as S
 from cartwake.llm.components import stars
 from cartwake.llm.queries import QUERIES
 
-from conftest import SMALL
+from text_helpers import SMALL
 
 
 def fingerprint(text):

@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 from cartwake.llm import token_codes as C
 from cartwake.llm.queries import QUERIES
 
-from conftest import SMALL
+from text_helpers import SMALL
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 

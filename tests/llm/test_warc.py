@@ -10,7 +10,7 @@ import oracle
 from cartwake.llm import warc as W
 from cartwake.llm.queries import ORACLES, QUERIES
 
-from conftest import SMALL
+from text_helpers import SMALL
 
 
 @given(st.binary(max_size=500), st.integers(1, 64))
