@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwake.llm import decontaminate, licenses, line_templates, mixing, page_text, prefix_trie, quality, quality_rules, simhash_dedup, token_codes, warc
+from cartwake.llm import bpe_tree, decontaminate, licenses, line_templates, mixing, page_text, prefix_trie, quality, quality_rules, ranked_search, simhash_dedup, token_codes, warc
 from cartwake.llm.common import on_workers, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -200,3 +200,44 @@ from v join below using (k) left join ends using (k) left join nodes up on up.k
 @query("op11_prefix_trie", OP11_SQL)
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.shared_head_trie(table(spark, sf_dir, "conversations")).drop("k1", "k2")
+
+
+@query("op13_bpe")
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(TOKENIZER)
+    done = bpe_tree.decode(bpe_tree.encode(table(spark, sf_dir, "documents"), path), path)
+    return done.select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+OP12_SQL = """
+with d as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as terms, row_number() over () as r
+  from documents),
+s as (select count(*) as big_n, sum(len(terms))::bigint as big_l from d where len(terms) > 0),
+tf as (select r, term, count(*) as tf from (select r, unnest(terms) as term from d) group by r, term),
+q as (
+  select item_id, row_number() over () as i, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as terms from benchmark),
+qt as (select distinct i, unnest(terms) as term from q),
+w as (
+  select term, floor(1000 * ln((2 * any_value(big_n) + 2) / (2 * count(*) + 1)::double))::bigint as w
+  from tf, s where term in (select term from qt) group by term),
+m as (select r, doc_id, 100 - 50 + (50 * len(terms) * big_n) // big_l as m from d, s where len(terms) > 0),
+scored as (
+  select i, doc_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::bigint as score
+  from qt join w using (term) join tf using (term) join m using (r) group by i, doc_id, r having score > 0),
+ranked as (
+  select *, row_number() over (partition by i order by score desc, doc_id nulls last) as rank from scored)
+select item_id, rank::int as rank, doc_id, score from ranked join q using (i) where rank <= 50"""
+
+
+@query("op12_ranked_search", OP12_SQL)
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = ranked_search.build_index(table(spark, sf_dir, "documents"))
+    return ranked_search.search(index, table(spark, sf_dir, "benchmark"), k=50)

@@ -18,16 +18,17 @@ Spark writes the files, so failed tasks leave nothing behind and any store it kn
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import filterfalse
 from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -40,8 +41,8 @@ HEADER = struct.Struct("<4sIIIQQ")
 RANK_BITS = 512
 #: Tokens after which a shard is closed; a longer document has a shard of its own.
 SHARD_TOKENS = 2_000_000
-#: Words whose ids a worker remembers; the half that was not used lately is forgotten.
-CACHE_WORDS = 400_000
+#: Text whose different words are encoded in one call.
+SLICE_BYTES = 8 << 20
 
 
 # -- the code ---------------------------------------------------------------
@@ -148,56 +149,118 @@ def _shard(partition: int, number: int, docs: list[int | None], parts: list[byte
 
 
 # -- tokens -----------------------------------------------------------------
+def piece_tokenizer(path: str, ends: bool = True, marks: dict[str, str] | None = None):
+    """The merges of a byte-level BPE file alone, over pieces that stand between blanks.
+
+    Pieces are in the file's byte alphabet (``as_bytes``), so nothing is normalised or
+    matched again.  ``ends`` says whether a piece's last symbol carries the word end;
+    ``marks`` gives special tokens a one-letter piece.
+    """
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    model, marks = file["model"], marks or {}
+    end = model.get("end_of_word_suffix") or ""
+    if model["type"] != "BPE" or not end:
+        raise ValueError("needs a byte-level BPE file whose pieces have word ends")
+    vocab = {t: i for t, i in model["vocab"].items() if t not in marks}
+    vocab |= {marks[t["content"]]: t["id"] for t in file["added_tokens"] if t["content"] in marks}
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    out = Tokenizer(models.BPE(vocab, merges, **({"end_of_word_suffix": end} if ends else {})))
+    out.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+    return out
+
+
+def _byte_letters() -> np.ndarray:
+    # Visible bytes stand for themselves, the others follow from 256 on; blanks stay.
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    letters = np.zeros(256, dtype="<u4")
+    letters[shown] = shown
+    hidden = np.flatnonzero(letters == 0)
+    letters[hidden] = 256 + np.arange(len(hidden))
+    letters[0x20] = 0x20
+    return letters
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
+def _plain_word() -> str:
+    """Letters that nothing composes or lowers, then marks; either may be missing."""
+    letters = "".join(c for c in map(chr, range(0x250)) if c.isalpha() and c.lower() == c)
+    marks = "".join("\\" + c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum() and c != "'")
+    return f"^(?P<stem>[{letters}]*)(?P<tail>[{marks}]*)$"
+
+
+def as_bytes(text: str) -> str:
+    """The UTF-8 bytes of a text in the byte alphabet; blanks stay."""
+    return _BYTE_LETTERS[np.frombuffer(text.encode(), np.uint8)].tobytes().decode("utf-32-le")
+
+
 class Encoder:
-    """Ids of whole texts, as little-endian 32-bit bytes.
+    """Ids of whole texts, word by word.
 
     The vocabulary's pre-tokenizer never joins text across ASCII white space, so the ids
-    of a text are those of its words in a row.  Each different word is encoded once and
-    remembered in a bounded memory of two generations: when the young one is full it becomes
-    the old one, and words of the old one come back when they are used.
+    of a text are those of its words in a row.  The words of a batch are dictionary-encoded
+    and each different one is encoded once.  Letters and the marks behind them are a piece
+    each, which need the merges alone and one call for all; other words take the whole way.
     """
 
-    def __init__(self, path: str, most: int = CACHE_WORDS):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.model, self.most = Tokenizer.from_file(path), most
-        self.seen: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.model, self.pieces = Tokenizer.from_file(path), piece_tokenizer(path)
         vocab = self.model.get_vocab()
         # A token that ends with this suffix ends a piece of the pre-tokenizer.
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-
-    def _learn(self, words: list[str]) -> None:
-        # One call for words of one piece each: ids part where a piece ends.
-        plain = [w for w in words if w.isalpha()]
-        ids = np.array(self.model.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids if plain else [], dtype="<u4")
-        ends = np.flatnonzero(self.ends[ids]) + 1 if len(ids) else ids
-        rest = words
-        if len(ends) == len(plain):
-            data, a = ids.tobytes(), 0
-            for w, b in zip(plain, (ends * 4).tolist()):
-                self.seen[w] = data[a:b]
-                a = b
-            rest = [w for w in words if not w.isalpha()]
-        for w, e in zip(rest, self.model.encode_batch_fast(rest, add_special_tokens=False)):
-            self.seen[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+        self.plain = _plain_word()
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """First token of each word (and the end), and the ids of all words in a row."""
+        found = pc.extract_regex(words, self.plain)
+        stem, tail = found.field("stem"), found.field("tail")
+        joined = " ".join(pc.binary_join_element_wise(stem, tail, pa.scalar(" ", stem.type)).drop_null().to_pylist())
+        ids = _ids(self.pieces.encode_batch_fast([as_bytes(joined)], add_special_tokens=False)[0])
+        n_pieces = sum(pc.fill_null(pc.not_equal(part, ""), False).to_numpy(False).astype(np.int64) for part in (stem, tail))
+        piece_ends = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1])
+        word_ends = piece_ends[np.cumsum(n_pieces)]
+        sizes = np.diff(word_ends, prepend=0)
+        odd = np.flatnonzero(found.is_null().to_numpy(False))
+        if not len(odd):
+            return np.concatenate([[0], word_ends]), ids
+        other = [_ids(e) for e in self.model.encode_batch_fast(words.take(pa.array(odd)).to_pylist(), add_special_tokens=False)]
+        others = np.fromiter(map(len, other), np.int64, len(other))
+        sizes[odd] = others
+        # Ids of other words go between those that were found in one call.
+        ids = np.insert(ids, np.repeat(word_ends[odd], others), np.concatenate(other))
+        return np.concatenate([[0], np.cumsum(sizes)]), ids
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """First token of each text (and the end), and the ids of all texts in a row."""
+        texts = [_lower(t).replace("\n", " ").replace("\t", " ").replace("\r", " ") for t in texts]
+        words = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        flat = words.flatten().dictionary_encode()
+        if not len(flat):
+            return np.zeros(len(texts) + 1, np.int64), np.zeros(0, "<u4")
+        starts, ids = self._words(flat.dictionary)
+        at = flat.indices.to_numpy()
+        counts = np.diff(starts)[at]
+        ends = np.cumsum(counts)
+        place = np.repeat(starts[at] - ends + counts, counts) + np.arange(ends[-1])
+        return np.concatenate([[0], ends])[words.offsets.to_numpy()], ids[place]
 
     def texts(self, texts: list[str]) -> list[bytes]:
-        parts = [_words(t) for t in texts]
-        if 2 * len(self.seen) > self.most:
-            self.seen, self.old = {}, self.seen
-        get, known = self.seen.__getitem__, self.seen.__contains__
-        new: set[str] = set()
-        for p in parts:
-            new.update(filterfalse(known, p))
-        if again := new & self.old.keys():
-            self.seen.update((w, self.old.pop(w)) for w in again)
-            new -= again
-        if new:
-            self._learn(list(new))
-        return [b"".join(map(get, p)) for p in parts]
+        """The ids of each text as little-endian 32-bit bytes."""
+        starts, ids = self.encode(texts)
+        data, at = ids.tobytes(), (starts * 4).tolist()
+        return [data[a:b] for a, b in zip(at, at[1:])]
+
+
+def _ids(encoding) -> np.ndarray:
+    return np.array(encoding.ids, dtype="<u4")
 
 
 def _lower(text: str) -> str:
@@ -214,25 +277,9 @@ def _lower(text: str) -> str:
     return text
 
 
-def _words(text: str) -> list[str]:
-    """Pieces between ASCII blanks; a final stop or comma after a letter stands alone."""
-    text = _lower(text).replace("\n", " ").replace("\t", " ").replace("\r", " ") + " "
-    for mark in (". ", ", "):
-        if mark in text:
-            text = _apart(text, mark)
-    return [w for w in text.split(" ") if w]
-
-
-def _apart(text: str, mark: str) -> str:
-    # Only after a letter: a run of marks is one piece.
-    parts = text.split(mark)
-    last = parts.pop()
-    return "".join([p + " " + mark if p[-1:].isalpha() else p + mark for p in parts]) + last
-
-
 @lru_cache(maxsize=2)
 def _encoder(path: str) -> Encoder:
-    """One encoder for all tasks of a worker, so that its memory stays warm."""
+    """One encoder for all tasks of a worker."""
     return Encoder(path)
 
 
@@ -256,7 +303,7 @@ def write_codes(
         def shard():
             return pa.RecordBatch.from_arrays([pa.array([_shard(part, number, ids, parts)], pa.binary())], ["shard"])
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for d, p in zip(batch.column("doc_id").to_pylist(), encoder.texts(texts)):
                 if held and held + len(p) // 4 > shard_tokens:

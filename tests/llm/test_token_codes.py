@@ -94,12 +94,3 @@ def test_odd_rows_and_small_shards(spark, odd, model, tmp_path):
 
 def test_empty_table(none):
     assert C.encode_documents(none, PATH).count() == 0
-
-
-def test_small_memory_of_words(texts, model):
-    encoder = C.Encoder(PATH, most=50)
-    some = [t for _, t in sorted(texts.items())][:40]
-    for _ in range(2):
-        for t in some:
-            ids = model.encode(t, add_special_tokens=False).ids
-            assert encoder.texts([t])[0] == struct.pack(f"<{len(ids)}I", *ids)
