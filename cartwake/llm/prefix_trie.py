@@ -18,10 +18,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwake.llm.common import WORD, text_of
-from cartwake.sources.files import stored
+from cartwake.sources.files import shared_folder, stored
 
-#: Depths of a band.
-BAND = 4
+#: Depths of a band: the most ancestors that a node's row becomes in a round.
+BAND = 8
 #: Ids of a node joined into one piece of text, before its digest reads them in order.
 CHUNK = 4096
 
@@ -108,13 +108,19 @@ def roll_up(nodes: DataFrame, values: list[str], band: int = BAND) -> DataFrame:
     Bands are worked on from the deepest; a node's rows in a round are itself and its
     ancestors in the band, and a finished band root's total goes to the band above.
     """
-    deepest = nodes.agg(F.max("depth")).first()[0]
+    # A round reads the folder of its band alone.
+    path = shared_folder(nodes.sparkSession, "bands")
+    ups = [f"u{k}_{i}" for i in range(1, band + 1) for k in (1, 2)]
+    nodes = nodes.select(*KEY, *ups, *values).withColumn("band", F.floor(F.col("depth") / band))
+    nodes.write.partitionBy("band").parquet(path)
+    nodes = nodes.sparkSession.read.schema(nodes.schema).parquet(path)
+    deepest = nodes.agg(F.max("band")).first()[0]
     if deepest is None:
         return nodes.select(*KEY, *values)
     itself = F.array(F.struct(*KEY))
     done, roots = [], None
-    for b in range(deepest // band, -1, -1):
-        rows = nodes.where(F.col("depth").between(b * band, (b + 1) * band - 1))
+    for b in range(deepest, -1, -1):
+        rows = nodes.where(F.col("band") == b)
         # A band root's ancestors lie in the band above; its total goes there when it is finished.
         inside = F.when(F.col("depth") % band == 0, itself).otherwise(F.concat(itself, _ancestors(band)))
         given = rows.select(F.explode(inside).alias("to"), *values)
@@ -123,7 +129,6 @@ def roll_up(nodes: DataFrame, values: list[str], band: int = BAND) -> DataFrame:
         total = given.groupBy("to").agg(*[F.sum(v).alias(v) for v in values]).select("to.*", *values)
         done.append(stored(total, "band"))
         if b:
-            ups = [f"u{k}_{i}" for i in range(1, band + 1) for k in (1, 2)]
             at = F.col("depth") == b * band
             roots = done[-1].where(at).join(rows.where(at).select(*KEY, *ups), KEY)
     return reduce(DataFrame.unionByName, done)
