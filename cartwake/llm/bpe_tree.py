@@ -14,7 +14,6 @@ neighbour before it that this token had there, and so on the right.
 
 from __future__ import annotations
 
-import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -26,28 +25,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwake.llm.common import slices, text_of
-from cartwake.llm.token_codes import Encoder, piece_tokenizer
+from cartwake.llm.token_codes import _encoder, as_bytes, blanks_only, piece_tokenizer
 
 #: Symbols of a leaf; texts of no more characters are encoded at once.
 LEAF = 16_384
 #: Tokens on each side of a join that the first window holds.
 WINDOW = 8
-#: One-letter pieces that stand for special tokens in a row of symbols.
-MARK = 0xE000
 
 
 class TreeEncoder:
     """Symbols, leaves and joins of one vocabulary."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.words = Encoder(path)
-        self.model = self.words.model
-        special = {t.content: chr(MARK + k) for k, t in enumerate(self.model.get_added_tokens_decoder().values())}
-        self.special = special
+        self.words = _encoder(path)
+        self.whole, self.open = self.words.pieces, piece_tokenizer(path, ends=False)
+        self.plain = re.compile(self.words.plain)
+        special = self.words.special
         self.any_special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
-        self.whole = piece_tokenizer(path, marks={t: f"{m}</w>" for t, m in special.items()})
-        self.open = piece_tokenizer(path, ends=False)
         vocab = self.whole.get_vocab()
         # Symbols of each token; a blank where a piece ends.
         self.symbols = [""] * (max(vocab.values()) + 1)
@@ -56,13 +50,21 @@ class TreeEncoder:
 
     def row(self, text: str) -> str:
         """The text as symbols, each piece with a blank behind it."""
+        words = blanks_only(text).split(" ")
+        rows = {w: self._row(w) for w in set(words)}
+        return "".join([rows[w] for w in words])
+
+    def _row(self, word: str) -> str:
+        if found := self.plain.match(word):
+            # Visible ASCII stands for itself.
+            return "".join([(p if p.isascii() else as_bytes(p)) + " " for p in found.groups() if p])
         out = []
-        for part in self.any_special.split(text) if self.any_special else [text]:
-            if part in self.special:
-                out.append(self.special[part])
+        for part in self.any_special.split(word) if self.any_special else [word]:
+            if part in self.words.special:
+                out.append(self.words.special[part])
             elif part:
-                shown = self.model.normalizer.normalize_str(part)
-                out += [p for p, _ in self.model.pre_tokenizer.pre_tokenize_str(shown)]
+                shown = self.words.model.normalizer.normalize_str(part)
+                out += [p for p, _ in self.words.model.pre_tokenizer.pre_tokenize_str(shown)]
         return "".join([p + " " for p in out])
 
     def encode(self, row: str) -> list[int]:
@@ -138,8 +140,8 @@ def encode(
     long = long.withColumn("key", F.sha2("text", 256))
 
     def at_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _tree_encoder(tokenizer).words
-        for batch in slices(batches, "text", 8 << 20):
+        words = _encoder(tokenizer)
+        for batch in slices(batches, "text"):
             ids = words.texts(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 

@@ -43,6 +43,8 @@ RANK_BITS = 512
 SHARD_TOKENS = 2_000_000
 #: Text whose different words are encoded in one call.
 SLICE_BYTES = 8 << 20
+#: Words that go to the library at a time; it needs some hundred bytes for each of their tokens.
+CALL_WORDS = 16_384
 
 
 # -- the code ---------------------------------------------------------------
@@ -149,6 +151,10 @@ def _shard(partition: int, number: int, docs: list[int | None], parts: list[byte
 
 
 # -- tokens -----------------------------------------------------------------
+#: One-letter pieces that stand for special tokens among pieces.
+MARK = 0xE000
+
+
 def piece_tokenizer(path: str, ends: bool = True, marks: dict[str, str] | None = None):
     """The merges of a byte-level BPE file alone, over pieces that stand between blanks.
 
@@ -211,7 +217,9 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.model, self.pieces = Tokenizer.from_file(path), piece_tokenizer(path)
+        self.model = Tokenizer.from_file(path)
+        self.special = {t.content: chr(MARK + k) for k, t in enumerate(self.model.get_added_tokens_decoder().values())}
+        self.pieces = piece_tokenizer(path, marks={t: f"{m}</w>" for t, m in self.special.items()})
         vocab = self.model.get_vocab()
         # A token that ends with this suffix ends a piece of the pre-tokenizer.
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
@@ -222,8 +230,9 @@ class Encoder:
         """First token of each word (and the end), and the ids of all words in a row."""
         found = pc.extract_regex(words, self.plain)
         stem, tail = found.field("stem"), found.field("tail")
-        joined = " ".join(pc.binary_join_element_wise(stem, tail, pa.scalar(" ", stem.type)).drop_null().to_pylist())
-        ids = _ids(self.pieces.encode_batch_fast([as_bytes(joined)], add_special_tokens=False)[0])
+        joined = pc.binary_join_element_wise(stem, tail, pa.scalar(" ", stem.type)).drop_null().to_pylist()
+        calls = [as_bytes(" ".join(joined[i : i + CALL_WORDS])) for i in range(0, len(joined), CALL_WORDS)]
+        ids = np.concatenate([np.zeros(0, "<u4"), *(_ids(self.pieces.encode_batch_fast([c], add_special_tokens=False)[0]) for c in calls)])
         n_pieces = sum(pc.fill_null(pc.not_equal(part, ""), False).to_numpy(False).astype(np.int64) for part in (stem, tail))
         piece_ends = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1])
         word_ends = piece_ends[np.cumsum(n_pieces)]
@@ -240,8 +249,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """First token of each text (and the end), and the ids of all texts in a row."""
-        texts = [_lower(t).replace("\n", " ").replace("\t", " ").replace("\r", " ") for t in texts]
-        words = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        words = pc.split_pattern(pa.array(list(map(blanks_only, texts)), pa.large_string()), " ")
         flat = words.flatten().dictionary_encode()
         if not len(flat):
             return np.zeros(len(texts) + 1, np.int64), np.zeros(0, "<u4")
@@ -263,6 +271,11 @@ def _ids(encoding) -> np.ndarray:
     return np.array(encoding.ids, dtype="<u4")
 
 
+def blanks_only(text: str) -> str:
+    """The text with blanks for ASCII white space, in lower case where that is safe."""
+    return _lower(text).replace("\n", " ").replace("\t", " ").replace("\r", " ")
+
+
 def _lower(text: str) -> str:
     """The text in lower case where that cannot change its ids.
 

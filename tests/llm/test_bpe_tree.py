@@ -33,7 +33,7 @@ def ids_of(model, text):
 def test_any_cut_gives_the_ids_of_the_whole(text, leaf, window):
     tree = B._tree_encoder(PATH)
     parts = B.halves(tree.row(text), leaf)
-    assert tree.tree([tree.encode(p) for p in parts], window) == ids_of(tree.model, text)
+    assert tree.tree([tree.encode(p) for p in parts], window) == ids_of(tree.words.model, text)
 
 
 @pytest.mark.parametrize("letters", ["a", "ab", "!", "hehe", "etaoinshrdlu", "ＡＢ中"])
