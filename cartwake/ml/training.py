@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from cartwake import schema as S
 from cartwake.layout import SEG, SessionLayout
 from cartwake.ml import metrics
+from cartwake.ml.neighbours import nearest
 
 CODE = "device_code"
 FEATURES = [*S.MODEL_NUMERIC, CODE]
@@ -104,6 +105,44 @@ def oversample(
     return copies.drop("position", "class_size")
 
 
+def synthetic_minority(
+    df: DataFrame, columns: list[str], label: str = S.LABEL, key: str = "session_id",
+    k: int = S.SMOTE_NEIGHBOURS, seed: int = S.SEED,
+) -> DataFrame:
+    """New rows of the smaller class, as many as it lacks.
+
+    Each lies between a row of the class and one of its ``k`` nearest rows of the class, by
+    the z-scores of ``columns`` over the class.  Rows are used equally often, as far as that
+    goes, and those left over in hash order; which neighbour and how far follow from a hash
+    of seed, key and copy, so a rerun makes the same rows.  Columns: ``key`` (of the row it
+    starts from), ``copy``, ``neighbour``, ``share`` (0 at the row, below 1), the label and
+    ``columns``.  A class of one row has no neighbour and gives none.
+    """
+    neg, pos = class_counts(df, label)
+    small, lack = (0, pos - neg) if neg < pos else (1, neg - pos)
+    few = df.where(F.col(label) == small).select(key, label, *[F.col(c).cast("double").alias(c) for c in columns])
+    scaled = fit_scaler(few, columns).transform(few)
+    pairs = nearest(scaled.select(F.col(key).cast("string").alias("key"), F.array(*[f"z_{c}" for c in columns]).alias("v")), k)
+    pairs = pairs.withColumnRenamed("key", "_key")
+
+    size = F.col("class_size")
+    base = F.call_function("div", F.lit(lack).cast("bigint"), size)
+    times = base + (F.col("position") <= F.lit(lack) - base * size).cast("bigint")
+    made = class_positions(few.select(key, label), label, key, seed).where(times > 0)
+    made = made.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), times)))
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"), F.col("copy").cast("string")))
+    part = lambda start: F.conv(F.substring(digest, start, 8), 16, 10).cast("bigint")
+    known = pairs.groupBy("_key").agg(F.max("rank").alias("_known"))
+    made = made.join(known, F.col(key).cast("string") == F.col("_key")).drop("_key").select(
+        key, label, "copy", (part(1) % F.col("_known") + 1).alias("_rank"), (part(9) / F.lit(float(1 << 32))).alias("share")
+    )
+    made = made.join(pairs, (F.col(key).cast("string") == F.col("_key")) & (F.col("_rank") == F.col("rank")))
+    ends = [few.select(F.col(key).cast("string").alias(f"_{n}"), *[F.col(c).alias(f"_{n}_{c}") for c in columns]) for n in "ab"]
+    made = made.join(ends[0], F.col(key).cast("string") == F.col("_a")).join(ends[1], F.col("neighbour") == F.col("_b"))
+    between = [(F.col(f"_a_{c}") + F.col("share") * (F.col(f"_b_{c}") - F.col(f"_a_{c}"))).alias(c) for c in columns]
+    return made.select(key, "copy", "neighbour", "share", label, *between)
+
+
 # -- scaling ----------------------------------------------------------------
 def fit_scaler(df: DataFrame, columns: list[str]) -> SQLTransformer:
     """Zero mean and unit population deviation, as a stage that can be saved.

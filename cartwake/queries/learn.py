@@ -103,6 +103,36 @@ def _oversample(t: Tables) -> DataFrame:
     return training.oversample(_gold(t).select("session_id", "abandoned"))
 
 
+_Z = ", ".join(
+    f"(({c})::double - avg({c}) over ()) / (case when stddev_pop({c}) over () = 0 then 1 else stddev_pop({c}) over () end)"
+    for c in S.MODEL_NUMERIC
+)
+
+
+@query(
+    "synthetic_minority",
+    f"""with {GOLD}, sizes as (select count(*) filter (where abandoned = 0) as neg, count(*) filter (where abandoned = 1) as pos from gold),
+    few as (select gold.*, abs(neg - pos) as lack, count(*) over () as class_size from gold, sizes where abandoned = case when neg < pos then 0 else 1 end),
+    z as (select session_id, [{_Z}] as v from few),
+    nb as (select a.session_id, b.session_id as neighbour,
+      row_number() over (partition by a.session_id order by round(list_distance(a.v, b.v), 9), b.session_id) as rank
+      from z a join z b on a.session_id <> b.session_id qualify rank <= 5),
+    known as (select session_id, max(rank) as known from nb group by session_id),
+    ps as (select session_id, lack // class_size + ((row_number() over (order by md5('42:' || session_id))) <= lack - (lack // class_size) * class_size)::bigint as times from few),
+    cp as (select session_id, unnest(range(1, times + 1)) as copy from ps),
+    dg as (select *, md5('42:' || session_id || ':' || copy) as h from cp),
+    pick as (select dg.session_id, copy, ('0x' || substr(h, 1, 8))::bigint % known + 1 as rank, ('0x' || substr(h, 9, 8))::bigint / 4294967296.0::double as share
+      from dg join known using (session_id))
+    select pick.session_id, copy, neighbour, round(share, 6) as share, a.abandoned,
+      {", ".join(f"round(a.{c} + share * (b.{c} - a.{c}), 4) + 0.0 as {c}" for c in S.MODEL_NUMERIC)}
+    from pick join nb using (session_id, rank) join few a using (session_id) join few b on b.session_id = neighbour""",
+)
+def _synthetic_minority(t: Tables) -> DataFrame:
+    """Rows between sessions of the smaller class and their nearest, until both classes are equal."""
+    made = training.synthetic_minority(stored(_gold(t), "gold"), S.MODEL_NUMERIC)
+    return rounded(made.withColumn("share", F.round("share", 6)), 4, skip=("share",))
+
+
 CONFUSION = """
 cm as (select count(*) filter (where score >= 0.5 and abandoned = 1) as true_positives, count(*) filter (where score >= 0.5 and abandoned = 0) as false_positives,
   count(*) filter (where score < 0.5 and abandoned = 1) as false_negatives, count(*) filter (where score < 0.5 and abandoned = 0) as true_negatives from sc)"""

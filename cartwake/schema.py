@@ -109,6 +109,7 @@ MODEL_COLUMNS = MODEL_NUMERIC + MODEL_CATEGORICAL
 LABEL = "abandoned"
 SEED = 42
 TEST_SHARE = 0.2
+SMOTE_NEIGHBOURS = 5
 BOOSTING = {
     "maxIter": 300,
     "maxDepth": 6,
