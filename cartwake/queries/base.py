@@ -13,7 +13,7 @@ from cartwake.layout import SessionLayout, profile_sessions
 from cartwake.operators.replay import upserted
 from cartwake.sources.click_view import click_view, read_events, with_quantities
 
-_LAYOUTS: dict[tuple[str, tuple[str, ...]], SessionLayout] = {}
+_LAYOUTS: dict[tuple, SessionLayout] = {}
 
 
 class Tables:
@@ -44,14 +44,14 @@ class Tables:
 
     def _layout(self, order: tuple[str, ...]) -> SessionLayout:
         # Like table statistics: profiled once per table folder and reused.
-        place = (self.sf_dir, order)
+        place = (self.spark.sparkContext.applicationId, self.sf_dir, order)
         if place not in _LAYOUTS:
             _LAYOUTS[place] = profile_sessions(self.clicks, order=order)
         return _LAYOUTS[place]
 
     @property
     def long_layout(self) -> SessionLayout:
-        place = (self.sf_dir, ("long",))
+        place = (self.spark.sparkContext.applicationId, self.sf_dir, "long")
         if place not in _LAYOUTS:
             _LAYOUTS[place] = profile_sessions(self.long_clicks)
         return _LAYOUTS[place]
@@ -70,19 +70,47 @@ class Tables:
     def layout(self) -> SessionLayout:
         return self._layout(("ts_us", "event_id"))
 
+    @property
+    def late_layout(self) -> SessionLayout:
+        """Long sessions by the time at which their events arrived."""
+        place = (self.spark.sparkContext.applicationId, self.sf_dir, "late")
+        if place not in _LAYOUTS:
+            _LAYOUTS[place] = profile_sessions(late_clicks(self.clicks), order=LATE_ORDER)
+        return _LAYOUTS[place]
+
+    @cached_property
+    def late_split_layout(self) -> SessionLayout:
+        return profile_sessions(late_clicks(self.clicks), hot_rows=40, segment_rows=200, fraction=1.0, order=LATE_ORDER)
+
     @property
     def arrival(self) -> SessionLayout:
         return self._layout(("event_id",))
 
 
-# Sessions of the click view are short; grouped by user they pass every bound of the history.
-LONG_SESSIONS = 8
+# Sessions of the click view are short; those of so many users as one pass every bound of the
+# history, and their number grows with the users.
+USERS_A_SESSION = 20
+
+
+def as_long_sessions(df: DataFrame) -> DataFrame:
+    """Users of the click view, some twenty to a session."""
+    group = F.call_function("div", F.substring("user_id", 2, 20).cast("bigint"), F.lit(USERS_A_SESSION))
+    return df.withColumn("session_id", F.concat(F.lit("s"), group.cast("string")))
 
 
 def long_sessions(df: DataFrame) -> DataFrame:
-    """Users of the click view in a few long sessions, one event per instant."""
-    group = F.substring("user_id", 2, 20).cast("bigint") % LONG_SESSIONS
-    return upserted(df.withColumn("session_id", F.concat(F.lit("s"), group.cast("string"))))
+    """The long sessions with one event per instant."""
+    return upserted(as_long_sessions(df))
+
+
+LATE_ORDER = ("arrived_us", "event_id")
+
+
+def late_clicks(df: DataFrame) -> DataFrame:
+    """Long sessions whose events arrive up to 20 s late, so out of order; instants repeat."""
+    late = F.col("ts_us") + F.col("event_id") * 7919 % 1009 * 20_000
+    rows = as_long_sessions(df).withColumn("arrived_us", late)
+    return rows.withColumn("ts_us", F.col("ts_us") - F.col("ts_us") % 50_000)
 
 
 class SplitTables(Tables):
@@ -96,6 +124,10 @@ class SplitTables(Tables):
     def long_layout(self) -> SessionLayout:
         return self.long_split_layout
 
+    @property
+    def late_layout(self) -> SessionLayout:
+        return self.late_split_layout
+
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -150,7 +182,7 @@ from b)"""
 
 LONG = CLICK + f""",
 longer as (
-  select * from (select * replace ('s' || (cast(substr(user_id, 2) as bigint) % {LONG_SESSIONS}) as session_id) from click)
+  select * from (select * replace ('s' || (cast(substr(user_id, 2) as bigint) // {USERS_A_SESSION}) as session_id) from click)
   qualify row_number() over (partition by session_id, ts_us order by event_id desc) = 1)"""
 
 SILVER = CLICK + """,

@@ -197,14 +197,15 @@ def _threshold_tuning(t: Tables) -> DataFrame:
     return rounded(metrics.best_threshold(metrics.by_threshold(_scored(t), THRESHOLDS)), 6)
 
 
-_TRAINED: dict[str, tuple] = {}
+_TRAINED: dict[tuple[str, str], tuple] = {}
 
 
 def _trained(t: Tables):
     """The boosted model of the train split and its report, fitted once per table folder."""
-    if t.sf_dir not in _TRAINED:
-        _TRAINED[t.sf_dir] = training.train_and_report(stored(_gold(t), "gold"))
-    return _TRAINED[t.sf_dir]
+    place = (t.spark.sparkContext.applicationId, t.sf_dir)
+    if place not in _TRAINED:
+        _TRAINED[place] = training.train_and_report(stored(_gold(t), "gold"))
+    return _TRAINED[place]
 
 
 @query(

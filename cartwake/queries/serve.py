@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,10 @@ from cartwake import schema as S
 from cartwake.functions import maps as M
 from cartwake.operators import decision as D
 from cartwake.operators import replay as R
-from cartwake.queries.base import LONG, Tables, query, round_sql, rounded
+from cartwake.operators.arrival import with_arrived_history
+from cartwake.queries.base import (
+    CLICK, LONG, USERS_A_SESSION, Tables, late_clicks, query, round_sql, rounded,
+)
 from cartwake.queries.online import (
     MOTION_DOUBLES, MOTION_WHOLE, WINDOW_DOUBLES, flat_windows,
 )
@@ -32,8 +37,12 @@ st as (
 
 
 def offer_clicks(t: Tables) -> DataFrame:
+    return with_offers(t.long_carts)
+
+
+def with_offers(df: DataFrame) -> DataFrame:
     viewed = F.col("event_type") == "view_product"
-    return t.long_carts.withColumn(
+    return df.withColumn(
         "event_type",
         F.when(viewed & (F.col("product_count") == 1), "accept_offer")
         .when(viewed & (F.col("product_count") == 2), "reject_offer")
@@ -72,7 +81,42 @@ def _offer_state(t: Tables) -> DataFrame:
 def _history_180s(t: Tables) -> DataFrame:
     # The view lasts about a minute; an hour here, so that 180 s are a few events.
     slow = offer_clicks(t).withColumn("ts_us", F.col("ts_us") * 60)
-    return R.with_history(slow, window_s=180).select("event_id", F.col("history_beats").alias("beats"))
+    layout = replace(t.long_layout, cuts=tuple((k, tuple(c * 60 for c in cuts)) for k, cuts in t.long_layout.cuts))
+    return R.with_history(slow, layout, window_s=180).select("event_id", F.col("history_beats").alias("beats"))
+
+
+# Each arrival beside all that arrived before it in its session; of an instant the last counts.
+LATE = CLICK + f""",
+late as (
+  select * replace ('s' || (cast(substr(user_id, 2) as bigint) // {USERS_A_SESSION}) as session_id, ts_us - ts_us % 50000 as ts_us,
+      case when event_type = 'view_product' and product_count = 1 then 'accept_offer'
+           when event_type = 'view_product' and product_count = 2 then 'reject_offer' else event_type end as event_type),
+    ts_us + event_id * 7919 % 1009 * 20000 as arrived_us
+  from click),
+seen as (
+  select e.event_id, h.event_id as other, h.ts_us, h.event_type
+  from late e join late h on h.session_id = e.session_id and (h.arrived_us, h.event_id) <= (e.arrived_us, e.event_id)
+  qualify row_number() over (partition by e.event_id, h.ts_us order by h.arrived_us desc, h.event_id desc) = 1),
+newest as (select * from seen qualify row_number() over (partition by event_id order by ts_us desc) <= 150)"""
+
+
+@query(
+    "arrived_history",
+    f"""with {LATE} select event_id, count(*) filter (where event_type = 'heartbeat') as history_beats,
+      arg_max(case event_type when 'accept_offer' then 'accepted' when 'reject_offer' then 'rejected' end, ts_us)
+        filter (where event_type in ('accept_offer', 'reject_offer')) as offer_state,
+      min(ts_us) filter (where event_type = 'heartbeat') as oldest_us, max(ts_us) filter (where event_type = 'heartbeat') as newest_us,
+      sum(ts_us) filter (where event_type = 'heartbeat')::bigint as sum_us
+    from newest group by event_id""",
+)
+def _arrived_history(t: Tables) -> DataFrame:
+    """History of each event as of its arrival, events up to 20 s late."""
+    rows = with_arrived_history(with_offers(late_clicks(t.carts)), t.late_layout)
+    us = F.transform("history", lambda h: h["us"])
+    return rows.select(
+        "event_id", "history_beats", "offer_state", F.array_min(us).alias("oldest_us"), F.array_max(us).alias("newest_us"),
+        F.when(F.size(us) > 0, F.aggregate(us, F.lit(0).cast("bigint"), lambda a, x: a + x)).alias("sum_us"),
+    )
 
 
 def _window(s: int) -> str:

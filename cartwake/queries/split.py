@@ -12,7 +12,7 @@ from cartwake.queries.base import ORACLES, QUERIES, SplitTables, Tables, query
 
 SPLIT = (
     "gold_sessions", "online_features", "session_rows", "buffer_flush", "warmup_gate", "history_180s",
-    "replay_features", "offer_lifecycle",
+    "replay_features", "offer_lifecycle", "arrived_history",
 )
 
 
