@@ -3,6 +3,7 @@ DuckDB text that must give the same rows."""
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from functools import cached_property
 
@@ -16,10 +17,23 @@ from cartwake.sources.click_view import click_view, read_events, with_quantities
 _LAYOUTS: dict[tuple, SessionLayout] = {}
 
 
+def on_workers(spark: SparkSession) -> None:
+    """Let Python workers of this machine import the package from where the driver did.
+
+    On a cluster the package is installed or sent along; then this changes nothing.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    own = spark.sparkContext.environment
+    have = own.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in have:
+        own["PYTHONPATH"] = os.pathsep.join([root, *filter(None, have)])
+
+
 class Tables:
     """Inputs of a query: the click view of one table folder and its layout."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        on_workers(spark)
         self.spark = spark
         self.sf_dir = sf_dir
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwake.operators import ingest as I
-from cartwake.queries.base import ORACLES, Tables, query
+from cartwake.queries.base import CLICK, ORACLES, Tables, query
 from cartwake.queries.ingest import MESSY, messy_json
 from cartwake.queries.serve import linear_score, offer_clicks, shipped
 from cartwake.sources import files
@@ -52,3 +52,23 @@ def _stream_ingest(t: Tables) -> DataFrame:
     return stored.unionByName(refused).groupBy("event_type", "error").agg(
         F.count(F.lit(1)).alias("event_count")
     )
+
+
+@query(
+    "stream_dedup",
+    f"with {CLICK} select event_type, count(*) as event_count, sum(ts_us)::bigint as sum_us from click group by event_type",
+)
+def _stream_dedup(t: Tables) -> DataFrame:
+    """Each event once, though the files of the stream repeat every third event in another file."""
+    folder = files.shared_folder(t.spark, "dedup")
+    lines = _as_lines(t.clicks)
+    lines.write.text(f"{folder}/in")
+    _as_lines(t.clicks.filter(F.col("event_id") % 3 == 0)).write.mode("append").text(f"{folder}/in")
+    events = I.bronze(I.parse_events(jobs.read_lines(t.spark, f"{folder}/in", files_per_batch=4)))
+    jobs.start_deduplicated(events, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    kept = t.spark.read.schema("event_type string, ts_us bigint, batch bigint").parquet(f"{folder}/out")
+    return kept.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("event_count"),
+        # Counted from the start of the view, as everywhere in it.
+        F.sum(F.col("ts_us") - F.unix_micros(F.lit("2024-01-01").cast("timestamp"))).alias("sum_us"),
+    )

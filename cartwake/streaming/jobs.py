@@ -10,7 +10,7 @@ import logging
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -61,6 +61,28 @@ def without_repeats(events: DataFrame, delay: str = "1 hour") -> DataFrame:
     )
 
 
+def start_deduplicated(
+    events: DataFrame, path: str, checkpoint: str, delay: str = "1 hour", **trigger
+) -> StreamingQuery:
+    """Store each typed event once, under the number of its batch.
+
+    A repeat within ``delay`` of the newest event time is dropped; state older than that is
+    too, so state follows the events of ``delay`` and not the age of the stream.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(_batch_folder(path, batch_id))
+
+    settings = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+    with _settings(events.sparkSession, settings):
+        return (
+            without_repeats(events, delay).writeStream.foreachBatch(store)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True}))
+            .start()
+        )
+
+
 _OFFER = "session_id string, position bigint, shown_at timestamp"
 
 
@@ -98,23 +120,90 @@ def start_ingest(
     )
 
 
+#: Batches after which the offers still alive are gathered in one folder.
+OFFER_BATCHES = 32
+
+
 def _earlier_offers(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
     """Last offer of each session up to the batch before, while it is alive.
 
-    Each batch writes all offers still alive, so only one folder is read and its
-    size follows the sessions of the last hour, not the age of the stream.  A folder that
+    A batch writes its own offers; every ``OFFER_BATCHES`` batches those still alive are
+    written together, so the folders read are that one and the few after it.  A folder that
     should be there and is not ends the query: without it offers would be made again.
     """
     if batch_id == 0:
         return None
-    shown = spark.read.schema(_OFFER).parquet(_batch_folder(path, batch_id - 1))
+    base = (batch_id - 1) // OFFER_BATCHES * OFFER_BATCHES
+    folders = [f"{path}/alive={base}"] if base else []
+    folders += [_batch_folder(path, b) for b in range(base, batch_id)]
+    shown = spark.read.schema(_OFFER).parquet(*folders)
     limit = F.current_timestamp() - F.make_dt_interval(secs=F.lit(S.STATE_TTL_S))
-    return shown.filter(F.col("shown_at") > limit)
+    return _last_offers(shown.filter(F.col("shown_at") > limit))
+
+
+def _last_offers(offers: DataFrame) -> DataFrame:
+    return offers.groupBy("session_id").agg(F.max("position").alias("position"), F.max("shown_at").alias("shown_at"))
+
+
+Scorer = Callable[[DataFrame], DataFrame]
+
+#: Parts of a batch that are scored again to find the rows that cannot be.
+SCORE_TRIES = 48
+
+
+def _scores(rows: DataFrame, score: Scorer) -> bool:
+    try:
+        score(rows).select(*replay.SCORED).write.format("noop").mode("overwrite").save()
+    except Exception:
+        return False
+    return True
+
+
+def unscorable(rows: DataFrame, score: Scorer, tries: int = SCORE_TRIES) -> Column:
+    """Which rows of a batch that cannot be scored whole are to blame.
+
+    Parts by a hash of session and time are halved while they fail, down to single rows or
+    until ``tries`` parts were scored; what fails then counts as unscorable.
+    """
+    place, bad, failing = F.xxhash64("session_id", "ts_us"), F.lit(False), [(1, 0)]
+    while failing:
+        parts, rest = failing.pop(0)
+        inside = F.pmod(place, F.lit(parts)) == rest
+        if tries <= 0 or len(rows.filter(inside).select("ts_us").head(2)) < 2:
+            bad = bad | inside
+            continue
+        for half in (rest, rest + parts):
+            tries -= 1
+            if not _scores(rows.filter(F.pmod(place, F.lit(2 * parts)) == half), score):
+                failing.append((2 * parts, half))
+    return bad
+
+
+def score_or_neutral(rows: DataFrame, score: Scorer, use: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``use`` of the scored rows; rows that cannot be scored have no probability.
+
+    Only failures to score are forgiven: if the rows can be scored, what failed was ``use``,
+    and its error ends the query.
+    """
+    neutral = lambda r: r.withColumn("probability", F.lit(None).cast("double")).select(*replay.SCORED)
+    try:
+        scored = score(rows).select(*replay.SCORED)
+    except Exception:
+        _LOG.exception("no scorer, so all answers are neutral")
+        return use(neutral(rows))
+    try:
+        return use(scored)
+    except Exception:
+        if _scores(rows, score):
+            raise
+        _LOG.exception("some rows cannot be scored")
+    bad = unscorable(rows, score)
+    return use(score(rows.filter(~bad)).select(*replay.SCORED).unionByName(neutral(rows.filter(bad))))
 
 
 def start_answers(
     events: DataFrame,
-    score: Callable[[DataFrame], DataFrame],
+    score: Scorer,
     out: str,
     checkpoint: str,
     threshold: float = S.RETENTION_THRESHOLD,
@@ -124,9 +213,9 @@ def start_answers(
 ) -> StreamingQuery:
     """Answer every event: history, features, score, offer, enriched record.
 
-    ``score`` takes a frame with the model columns and adds ``probability``.
-    Offers are also kept in a table; the next batches read from it how long each
-    session stays without another offer.
+    ``score`` takes a frame with the model columns and adds ``probability``; a row that it
+    cannot score gets the neutral answer.  Offers are also kept in a table; the next batches
+    read from it how long each session stays without another offer.
     """
     settings = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
     if not trigger or trigger.get("availableNow"):
@@ -154,20 +243,15 @@ def start_answers(
             made.write.mode("overwrite").parquet(answers_at)
             return made
 
-        try:
-            decided = decide(score(rows))
-        except Exception:  # any failure to score gives the neutral answer
-            _LOG.exception("batch %s is answered without scores", batch_id)
-            decided = decide(rows.withColumn("probability", F.lit(None).cast("double")))
+        decided = score_or_neutral(rows, score, decide)
         decided = session.read.schema(decided.schema).parquet(answers_at)
         offers = decided.filter("trigger_retention").select(
             "session_id", "position", F.current_timestamp().alias("shown_at")
         )
-        if earlier is not None:
-            offers = offers.unionByName(earlier)
-        offers.groupBy("session_id").agg(
-            F.max("position").alias("position"), F.max("shown_at").alias("shown_at")
-        ).write.mode("overwrite").parquet(_batch_folder(f"{out}/offers", batch_id))
+        offers.write.mode("overwrite").parquet(_batch_folder(f"{out}/offers", batch_id))
+        if batch_id and batch_id % OFFER_BATCHES == 0:
+            # Before this batch; the folders from here on are read beside it.
+            earlier.write.mode("overwrite").parquet(f"{out}/offers/alive={batch_id}")
 
         # One event of an instant is left in a session, so its time names it.
         told = decided.drop("event_id", "position").withColumnsRenamed({"session_id": "_s", "ts_us": "_t"})

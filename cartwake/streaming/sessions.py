@@ -8,15 +8,12 @@ depends on how the rows of a key are cut into frames.
 
 from __future__ import annotations
 
-import time
-from collections.abc import Callable, Iterator
-from io import StringIO
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from cartwake import schema as S
 from cartwake.operators.replay import gate, with_history
@@ -44,52 +41,63 @@ EVENT_COLUMNS = {
 }
 _ADDED = {"is_new": "boolean", "seen": "bigint"}
 OUTPUT = ", ".join(f"{n} {t}" for n, t in {**EVENT_COLUMNS, **_ADDED}.items())
-_KINDS = {"bigint": "Int64", "double": "Float64", "string": "object"}
 
 
-def _newest(rows: pd.DataFrame, items: int) -> pd.DataFrame:
-    """The last write of each instant, and of those the newest ``items``."""
-    ordered = rows.sort_values(["ts_us", "_new", "event_id"], kind="stable")
-    return ordered.drop_duplicates("ts_us", keep="last").tail(items)
+_ITEM = [n for n in EVENT_COLUMNS if n not in ("session_id", "ts_us")]
+#: Instants of a key that are held before repeats among them are dropped.
+_INSTANTS = 100_000
 
 
-def session_items(items: int = S.HISTORY_ITEMS, ttl_s: int = S.STATE_TTL_S) -> Callable:
-    """State update that keeps the newest ``items`` of each session.
+class SessionItems(StatefulProcessor):
+    """Keeps the newest ``items`` of each session, each for ``ttl_s`` after it was written.
 
-    A later event of the same instant replaces the item.  An item is forgotten ``ttl_s``
-    after it was written.  Memory holds one frame, ``items`` items and eight bytes for each
-    event of the key in the batch.  State is the items as JSON text and the number of
-    instants seen.
+    The state is a map from instant to item and the number of instants seen; a batch writes
+    the items that it adds and removes those that they push out, nothing else.  A later event
+    of an instant replaces its item; of events of one batch the larger event_id counts.
+    Memory holds ``items`` items twice and eight bytes for each event of the key in the batch.
     """
-    ttl_ms = ttl_s * 1000
-    kinds = {n: _KINDS[t] for n, t in EVENT_COLUMNS.items()}
-    columns = [*EVENT_COLUMNS, *_ADDED]
-
-    def update(key, frames, state) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        now = int(time.time() * 1000)
-        stored, seen = state.get if state.exists else (None, 0)
-        kept = pd.DataFrame(columns=[*EVENT_COLUMNS, "_written"])
-        if stored:
-            kept = pd.read_json(StringIO(stored), orient="records", dtype=False, convert_dates=False)
-        kept = kept.astype({**kinds, "_written": "Int64"})
-        kept = kept[kept["_written"] > now - ttl_ms].assign(_new=False)
-        if len(kept):
-            yield kept.assign(is_new=False, seen=seen)[columns]
-        before, instants = kept["ts_us"].to_numpy(np.int64), np.zeros(0, np.int64)
-        for frame in frames:
-            yield frame.assign(is_new=True, seen=seen)[columns]
-            instants = np.union1d(instants, frame["ts_us"].to_numpy(np.int64))
-            rows = frame.astype(kinds).assign(_written=now, _new=True)
-            both = pd.DataFrame({c: [*kept[c], *rows[c]] for c in rows.columns}) if len(kept) else rows
-            kept = _newest(both.astype({**kinds, "_written": "Int64"}), items)
-        text = kept.drop(columns="_new").to_json(orient="records", double_precision=15)
-        state.update((text, seen + len(np.setdiff1d(instants, before))))
-        state.setTimeoutDuration(ttl_ms)
-
-    return update
+
+    def __init__(self, items: int = S.HISTORY_ITEMS, ttl_s: int = S.STATE_TTL_S):
+        self.most, self.ttl_ms = items, ttl_s * 1000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        kinds = ", ".join(f"{n} {EVENT_COLUMNS[n]}" for n in _ITEM)
+        self.items = handle.getMapState("items", "ts_us bigint", kinds, self.ttl_ms)
+        self.seen = handle.getValueState("seen", "instants bigint", self.ttl_ms)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timer_values) -> Iterator[Row]:
+        before = {us[0]: tuple(item) for us, item in self.items.iterator()}
+        seen = self.seen.get()[0] if self.seen.exists() else 0
+        event = lambda us, item, new: _OUT(key[0], item[0], us, *item[1:], new, seen)
+        for us in sorted(before):
+            yield event(us, before[us], False)
+        new: dict[int, tuple] = {}
+        instants, recent = np.zeros(0, np.int64), []
+        for r in rows:
+            us, item = r["ts_us"], tuple(r[n] for n in _ITEM)
+            yield event(us, item, True)
+            if us is None:
+                continue
+            if us not in new or (item[0] or 0) >= (new[us][0] or 0):
+                new[us] = item
+            if len(new) > 2 * self.most:
+                new = dict(sorted(new.items())[-self.most :])
+            if us not in before:
+                recent.append(us)
+            if len(recent) == _INSTANTS:
+                instants, recent = np.union1d(instants, recent), []
+        kept = set(sorted(before.keys() | new.keys())[-self.most :])
+        for us in before.keys() - kept:
+            self.items.removeKey((us,))
+        for us in new.keys() & kept:
+            self.items.updateValue((us,), new[us])
+        self.seen.update((seen + len(np.union1d(instants, np.array(recent, np.int64))),))
+
+    def close(self) -> None:
+        pass
+
+
+_OUT = Row("session_id", "event_id", "ts_us", *_ITEM[1:], *_ADDED)
 
 
 def with_session_items(
@@ -103,12 +111,8 @@ def with_session_items(
             for n, t in EVENT_COLUMNS.items()
         ]
     )
-    return rows.groupBy("session_id").applyInPandasWithState(
-        session_items(items, ttl_s),
-        outputStructType=OUTPUT,
-        stateStructType="items string, seen bigint",
-        outputMode="append",
-        timeoutConf=GroupStateTimeout.ProcessingTimeTimeout,
+    return rows.groupBy("session_id").transformWithState(
+        SessionItems(items, ttl_s), outputStructType=OUTPUT, outputMode="append", timeMode="processingTime"
     )
 
 

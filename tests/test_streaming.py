@@ -4,6 +4,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from cartwake.operators import replay as R
@@ -131,29 +132,130 @@ def test_no_line_is_lost(spark, tmp_path):
     assert refused.where("error = 'Invalid timestamp'").count() == 3
 
 
-def test_a_stored_item_is_emitted_once_per_batch():
-    class State:
-        exists, hasTimedOut, value = False, False, None
+class Store:
+    """State of one key as the processor sees it; counts what it reads and writes."""
+
+    def __init__(self):
+        self.map, self.value, self.writes = {}, None, 0
+
+    def getMapState(self, *_):
+        return self
+
+    def getValueState(self, *_):
+        store = self
+
+        class Value:
+            exists = staticmethod(lambda: store.value is not None)
+            get = staticmethod(lambda: store.value)
+            update = staticmethod(lambda v: setattr(store, "value", v))
 
-        @property
-        def get(self):
-            return self.value
+        return Value()
 
-        def update(self, v):
-            self.value, self.exists = v, True
+    def iterator(self):
+        return ((k, v) for k, v in list(self.map.items()))
 
-        def setTimeoutDuration(self, ms):
-            pass
+    def removeKey(self, k):
+        del self.map[k]
 
-    import pandas as pd
+    def updateValue(self, k, v):
+        self.map[k], self.writes = v, self.writes + 1
 
-    def frame(ids):
-        rows = [{c: None for c in sessions.EVENT_COLUMNS} | {"session_id": "s", "event_id": i, "ts_us": i, "event_type": "heartbeat"} for i in ids]
-        return pd.DataFrame(rows)
 
-    state, update = State(), sessions.session_items(items=3)
-    out = pd.concat(update(("s",), iter([frame([5, 1]), frame([9, 5])]), state))
-    assert out["is_new"].tolist() == [True] * 4 and set(out["seen"]) == {0}
-    out = pd.concat(update(("s",), iter([frame([10, 9])]), state))
-    assert out[~out["is_new"].astype(bool)]["event_id"].tolist() == [1, 5, 9] and set(out["seen"]) == {3}
-    assert state.value[1] == 4
+def stored_rows(ids, at=None):
+    names = list(sessions.EVENT_COLUMNS)
+    rows = [dict.fromkeys(names) | {"session_id": "s", "event_id": i, "ts_us": i if at is None else at, "event_type": "heartbeat"} for i in ids]
+    return iter([Row(**r) for r in rows])
+
+
+def test_a_stored_item_is_emitted_once_per_batch():
+    store, keeper = Store(), sessions.SessionItems(items=3)
+    keeper.init(store)
+    out = list(keeper.handleInputRows(("s",), stored_rows([5, 1, 9, 5]), None))
+    assert [r.is_new for r in out] == [True] * 4 and {r.seen for r in out} == {0}
+    out = list(keeper.handleInputRows(("s",), stored_rows([10, 9]), None))
+    assert [r.event_id for r in out if not r.is_new] == [1, 5, 9] and {r.seen for r in out} == {3}
+    assert store.value == (4,) and sorted(store.map) == [(5,), (9,), (10,)]
+
+
+def test_state_writes_follow_the_new_events():
+    store, keeper = Store(), sessions.SessionItems(items=150)
+    keeper.init(store)
+    list(keeper.handleInputRows(("s",), stored_rows(range(1000)), None))
+    assert store.writes == 150 and len(store.map) == 150
+    list(keeper.handleInputRows(("s",), stored_rows(range(1000, 1003)), None))
+    assert store.writes == 153 and len(store.map) == 150 and store.value == (1003,)
+    # Of one instant the larger event id of a batch counts, and any of a later batch.
+    list(keeper.handleInputRows(("s",), stored_rows([7, 9, 8], at=2000), None))
+    assert store.map[(2000,)][0] == 9
+    list(keeper.handleInputRows(("s",), stored_rows([3], at=2000), None))
+    assert store.map[(2000,)][0] == 3 and store.value == (1004,)
+
+
+def test_items_expire(spark, tmp_path, monkeypatch):
+    """With one second to live, an item of the batch before is gone."""
+    plain = sessions.SessionItems
+    monkeypatch.setattr(sessions, "SessionItems", lambda items, ttl_s: plain(items, 1))
+    rows = events(40)
+    features, _ = run(spark, tmp_path, [rows[:20], rows[20:]], items=30)
+    last = {r.event_id: (r.position, r.history_beats) for r in features.collect()}
+    assert last[19] == (20, 20) and last[39] == (20, 20)
+
+
+def test_one_bad_row_gets_one_neutral_answer(spark, tmp_path):
+    def score(df):
+        odd = F.col("cart_value_max") == 27
+        return df.withColumn("probability", F.when(odd, F.raise_error(F.lit("bad row"))).otherwise(F.lit(0.9)))
+
+    _, answers = run(spark, tmp_path, [events(40)], score=score)
+    found = {r.event_id: r for r in answers.collect()}
+    assert sorted(found) == list(range(9, 40))
+    assert found[27].abandon_probability == 0 and not found[27].trigger_retention
+    # All others are scored; the first shows its offer, which suppresses the rest.
+    assert [e for e, r in found.items() if r.trigger_retention] == [9]
+    probe = spark.createDataFrame([("s", i, i * 1000, i, "x", float(i)) for i in range(200)], "session_id string, event_id long, ts_us long, position long, shipping_type string, cart_value_max double")
+    assert [r.event_id for r in probe.where(jobs.unscorable(probe, score)).collect()] == [27]
+
+
+def test_a_store_that_fails_ends_the_query(spark, tmp_path):
+    (tmp_path / "out-a").mkdir()
+    (tmp_path / "out-a" / "answers").write_text("a file where a folder should be")
+    with pytest.raises(Exception, match="answers|out-a"):
+        run(spark, tmp_path, [events(30)])
+
+
+def test_offers_are_gathered_now_and_then(spark, tmp_path, monkeypatch):
+    rows = [e for i in range(8) for e in events(12, f"s{i}")]
+    cut = [[e for e in rows if e["session_id"] in (f"s{2 * i}", f"s{2 * i + 1}")] for i in range(4)]
+    always = lambda df: df.withColumn("probability", F.lit(0.9))
+    _, many = run(spark, tmp_path, [*cut, rows], "many", always, items=20)
+    monkeypatch.setattr(jobs, "OFFER_BATCHES", 2)
+    _, few = run(spark, tmp_path, [*cut, rows], "few", always, items=20)
+    same(many, few)
+    assert many.where("trigger_retention").count() == 8
+    names = sorted(f.name for f in (tmp_path / "out-few" / "offers").iterdir())
+    assert names == ["alive=2", "alive=4", *[f"batch={i}" for i in range(5)]]
+    # A batch writes its own offers alone.
+    for i in range(4):
+        assert spark.read.parquet(str(tmp_path / "out-many" / "offers" / f"batch={i}")).count() == 2
+
+
+def test_repeats_are_dropped_while_their_state_lives(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    found = []
+
+    def feed(i, rows):
+        (tmp_path / "in" / f"{i}.json").write_text("\n".join(json.dumps(e) for e in rows))
+        typed = jobs.typed_events(jobs.read_lines(spark, str(tmp_path / "in")))
+        job = jobs.start_deduplicated(typed, str(tmp_path / "out"), str(tmp_path / "c"), delay="10 seconds")
+        job.awaitTermination(120)
+        found.append(job.lastProgress["stateOperators"][0]["numRowsTotal"])
+
+    rows = events(200)
+    feed(0, [*rows[:5], rows[2], rows[4]])
+    feed(1, [rows[1], *rows[5:9]])
+    feed(2, rows[100:105])
+    feed(3, [rows[102], *rows[190:195]])
+    read = spark.read.parquet(str(tmp_path / "out")).groupBy("event_id").count()
+    assert {r.event_id: r["count"] for r in read.collect()} == {i: 1 for i in [*range(9), *range(100, 105), *range(190, 195)]}
+    # State of events older than the delay is gone.
+    assert max(found) <= 15
