@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwake import schema as S
 from cartwake.layout import SEG, SessionLayout
 from cartwake.ml import metrics
 from cartwake.ml.neighbours import nearest
+from cartwake.sources.files import stored
 
 CODE = "device_code"
 FEATURES = [*S.MODEL_NUMERIC, CODE]
@@ -248,19 +251,74 @@ def train_and_report(
         split.unpersist()
 
 
+def folds_of(
+    df: DataFrame, folds: int = S.FOLDS, label: str = S.LABEL, key: str = "session_id", seed: int = S.SEED
+) -> DataFrame:
+    """Add ``fold`` (from 0); each class is dealt out in hash order, so folds differ by one row of it."""
+    rows = class_positions(df, label, key, seed)
+    return rows.withColumn("fold", ((F.col("position") - 1) % folds).cast("int")).drop("position", "class_size")
+
+
+def candidates(**changes) -> dict[str, Estimator]:
+    """The kinds of model that are compared: a linear one, a forest and boosted trees."""
+    settings = {"featuresCol": "features", "labelCol": S.LABEL, "weightCol": "weight"}
+    return {
+        "linear": LogisticRegression(regParam=0.01, **settings),
+        "forest": RandomForestClassifier(numTrees=S.FOREST_TREES, maxDepth=S.BOOSTING["maxDepth"], seed=S.SEED, **settings),
+        "boosted": booster(**{"maxIter": S.FOLD_TREES, **changes}),
+    }
+
+
+def out_of_fold(gold: DataFrame, kinds: dict[str, Estimator], folds: int = S.FOLDS) -> DataFrame:
+    """``candidate``, ``fold``, session, label and ``probability``: every row once per candidate,
+    scored by a model that did not see its fold.
+
+    Encoder, scaler and class weights are fitted without the fold, too.  A fold whose
+    training rows have one class alone is left out.
+    """
+    parts = stored(folds_of(gold, folds), "folds")
+    sizes = {(r["fold"], r[S.LABEL]): r["n"] for r in parts.groupBy("fold", S.LABEL).agg(F.count("*").alias("n")).collect()}
+    scores = []
+    for fold in sorted({f for f, _ in sizes}):
+        train, held = parts.filter(F.col("fold") != fold), parts.filter(F.col("fold") == fold)
+        if any(sum(n for (f, y), n in sizes.items() if f != fold and y == c) == 0 for c in (0, 1)):
+            continue
+        for name, estimator in kinds.items():
+            seen = score(fit(train, estimator), held, ("session_id", S.LABEL))
+            scores.append(seen.withColumns({"candidate": F.lit(name), "fold": F.lit(fold)}))
+    if not scores:
+        return parts.limit(0).select("session_id", S.LABEL, F.lit(0.0).alias("probability"), F.lit("").alias("candidate"), "fold")
+    return stored(reduce(DataFrame.unionByName, scores), "out-of-fold")
+
+
+def fold_metrics(scores: DataFrame) -> DataFrame:
+    """Rows, positives, AUC and average precision of each candidate and fold, in one pass.
+
+    Equal scores are counted together first, so what is ranked are distinct scores.
+    """
+    group = ["candidate", "fold"]
+    counts = scores.groupBy(*group, "probability").agg(
+        F.count_if(F.col(S.LABEL) == 1).alias("pos"), F.count_if(F.col(S.LABEL) == 0).alias("neg")
+    )
+    down = Window.partitionBy(*group).orderBy(F.col("probability").desc())
+    counts = counts.withColumns({"tp": F.sum("pos").over(down), "fp": F.sum("neg").over(down)})
+    lost = F.sum(F.col("pos") * (F.col("fp") - F.col("neg") / 2))
+    return counts.groupBy(*group).agg(
+        F.sum(F.col("pos") + F.col("neg")).alias("n_rows"), F.sum("pos").alias("positives"),
+        (F.lit(1.0) - F.try_divide(lost, F.sum("pos").cast("double") * F.sum("neg"))).alias("auc_roc"),
+        F.try_divide(F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp"))), F.sum("pos")).alias("auc_pr"),
+    )
+
+
 def best_of(
-    gold: DataFrame, candidates: dict[str, Estimator]
-) -> tuple[str, PipelineModel, dict[str, float]]:
-    """Fit each candidate and keep the one with the best average precision."""
-    split = stratified_split(gold).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        train, test = (split.filter(F.col("split") == n) for n in ("train", "test"))
-        models, found = {}, {}
-        for name, estimator in candidates.items():
-            models[name] = fit(train, estimator)
-            scored = score(models[name], test, ("session_id", S.LABEL))
-            found[name] = metrics.ranking(scored, "probability").first()["auc_pr"] or 0.0
-        best = max(sorted(found), key=found.__getitem__)
-        return best, models[best], found
-    finally:
-        split.unpersist()
+    gold: DataFrame, kinds: dict[str, Estimator] | None = None, folds: int = S.FOLDS
+) -> tuple[str, PipelineModel, DataFrame]:
+    """The candidate of the best mean average precision over folds, fitted on all rows.
+
+    Of equal ones the first by name.  Also gives the metrics of every fold.
+    """
+    kinds = kinds or candidates()
+    found = stored(fold_metrics(out_of_fold(gold, kinds, folds)), "fold-metrics")
+    means = {r["candidate"]: r["m"] or 0.0 for r in found.groupBy("candidate").agg(F.avg("auc_pr").alias("m")).collect()}
+    best = max(sorted(kinds), key=lambda name: means.get(name, 0.0))
+    return best, fit(gold, kinds[best]), found

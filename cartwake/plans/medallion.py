@@ -20,13 +20,14 @@ def build_layers(
 ) -> dict[str, int]:
     """Write ``bronze``, ``silver``, ``gold`` and ``rejects`` below ``out``.
 
-    Returns the rows of each.  Silver and gold read the typed bronze files, so
+    Returns the rows of each.  Days that the raw text has events of are replaced, others
+    stay.  Silver and gold read the typed bronze files, so
     each scans only the columns it needs; gold needs no silver.
     """
     raw = files.read_raw(spark, raw_path)
     typed = ingest.bronze(raw)
     rows = {
-        "bronze_rows": files.write_layer(typed, f"{out}/bronze", ("year", "month", "day")),
+        "bronze_rows": files.write_days(typed, f"{out}/bronze"),
         "rejected_rows": files.write_layer(ingest.bad_timestamps(raw), f"{out}/rejects"),
     }
     bronze = files.read_layer(spark, f"{out}/bronze", typed.schema)
@@ -37,9 +38,8 @@ def build_layers(
     gold = sessions.gold(bronze, layout, whole_seconds)
     if gold_by_date:
         day = F.coalesce("session_start", F.lit(None).cast("timestamp_ntz"))
-        rows["gold_rows"] = files.write_layer(
-            files.date_columns(gold.withColumn("_day", day), "_day").drop("_day"),
-            f"{out}/gold", ("year", "month", "day"),
+        rows["gold_rows"] = files.write_days(
+            files.date_columns(gold.withColumn("_day", day), "_day").drop("_day"), f"{out}/gold"
         )
     else:
         rows["gold_rows"] = files.write_layer(gold, f"{out}/gold")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwake import schema as S
@@ -276,15 +276,22 @@ def _scaled_on_all(t: Tables) -> DataFrame:
     )
 
 
-@query("best_candidate", "select 'plain' as candidate, true as has_best union all select 'tree', true")
+@query(
+    "best_candidate",
+    f"""with {SPLIT}, fd as (select *, (position - 1) % {S.FOLDS} as fold from rk),
+    ok as (select distinct a.fold from fd a where exists (select 1 from fd b where b.fold <> a.fold and b.abandoned = 0)
+      and exists (select 1 from fd b where b.fold <> a.fold and b.abandoned = 1))
+    select candidate, fold::int as fold, count(*) as n_rows, sum(abandoned)::bigint as positives, true as ranks_agree
+    from fd join ok using (fold), (select unnest(['linear', 'forest', 'boosted']) as candidate) group by candidate, fold""",
+)
 def _best_candidate(t: Tables) -> DataFrame:
-    """Each candidate, and whether the chosen one has the best average precision."""
-    from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
-
-    settings = {"featuresCol": "features", "labelCol": S.LABEL, "weightCol": "weight"}
-    best, _, found = training.best_of(
-        stored(_gold(t), "gold"),
-        {"plain": LogisticRegression(regParam=0.01, **settings), "tree": DecisionTreeClassifier(seed=S.SEED, **settings)},
-    )
-    rows = [(name, found[best] == max(found.values())) for name in found]
-    return t.spark.createDataFrame(rows, "candidate string, has_best boolean")
+    """Rows of each candidate and fold, and whether another way finds the same average precision:
+    the mean, over positives, of the share of positives among rows that score as high."""
+    scores = training.out_of_fold(stored(_gold(t), "gold"), training.candidates())
+    # Row by row, ties included, where the operator counts equal scores together.
+    down = Window.partitionBy("candidate", "fold").orderBy(F.col("probability").desc()).rangeBetween(Window.unboundedPreceding, 0)
+    rows = scores.withColumn("precision", F.sum("abandoned").over(down) / F.count("*").over(down))
+    again = rows.groupBy("candidate", "fold").agg(F.avg(F.when(F.col("abandoned") == 1, F.col("precision"))).alias("again"))
+    found = training.fold_metrics(scores).join(again, ["candidate", "fold"], "left")
+    same = F.coalesce(F.abs(F.col("auc_pr") - F.col("again")) < 1e-9, F.col("auc_pr").isNull() & F.col("again").isNull())
+    return found.select("candidate", "fold", "n_rows", "positives", same.alias("ranks_agree"))

@@ -110,6 +110,9 @@ LABEL = "abandoned"
 SEED = 42
 TEST_SHARE = 0.2
 SMOTE_NEIGHBOURS = 5
+FOLDS = 3
+FOREST_TREES = 10
+FOLD_TREES = 5
 BOOSTING = {
     "maxIter": 300,
     "maxDepth": 6,

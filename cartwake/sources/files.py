@@ -75,6 +75,28 @@ def write_layer(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) ->
     return read_layer(df.sparkSession, path).count()
 
 
+def write_days(df: DataFrame, path: str, by: tuple[str, ...] = ("year", "month", "day")) -> int:
+    """Replace the days that ``df`` has rows of, leave others; returns the rows of the layer.
+
+    Rows are first brought together by day: a day is a few files whatever the number of
+    tasks, and one with very many rows is spread over tasks by size.
+    """
+    together = df.hint("rebalance", *by)
+    together.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    return read_layer(df.sparkSession, path).count()
+
+
+def last_batch(spark: SparkSession, checkpoint: str) -> int:
+    """The last batch that a stream with this checkpoint finished, -1 before the first."""
+    try:
+        done = spark.read.format("binaryFile").load(f"{checkpoint.rstrip('/')}/commits").select("path")
+    except AnalysisException:
+        return -1
+    number = F.regexp_extract("path", r"/commits/(\d+)$", 1)
+    last = done.filter(number != "").agg(F.max(number.cast("bigint"))).first()[0]
+    return -1 if last is None else last
+
+
 def short_id(*parts: Column) -> Column:
     """Eight hex digits that are the same on every run of a task."""
     return F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, 8)
@@ -160,10 +182,14 @@ def write_enriched(records: DataFrame, path: str, mode: str = "append") -> None:
 
 def compact(
     spark: SparkSession, source: str, target: str, files: int | None = None,
-    consolidated: str = "all_events.ndjson", pattern: str = "*.json",
+    consolidated: str = "all_events.ndjson", pattern: str = "*.json", checkpoint: str | None = None,
 ) -> None:
     """Gather small text files below ``source`` into few large text files.
 
+    ``checkpoint`` is that of the stream that writes ``source``, one folder a batch: then only
+    batches that it finished are read, so a batch that is being written or is written again
+    adds nothing.
+
     A consolidated file there is taken as it is.  Otherwise Spark packs the small
     files into read tasks of ``spark.sql.files.maxPartitionBytes`` and each task
     writes one file, with no shuffle; ``files`` asks for an exact number.
@@ -171,6 +197,12 @@ def compact(
     try:
         lines = spark.read.text(f"{source.rstrip('/')}/{consolidated}")
     except AnalysisException:
+        lines = None
+    if lines is None and checkpoint is not None:
+        last = last_batch(spark, checkpoint)
+        # The folder names are columns, so unfinished ones are not even listed for reading.
+        lines = spark.read.text(source).filter(F.col("batch") <= last)
+    elif lines is None:
         lines = (
             spark.read.option("pathGlobFilter", pattern)
             .option("recursiveFileLookup", "true")

@@ -210,3 +210,29 @@ def test_stream_drops_repeats_and_keeps_order_state(spark, tmp_path):
     stored = spark.read.parquet(str(tmp_path / "out" / "features")).orderBy("event_id").collect()
     assert [r["history_beats"] for r in stored] == [*range(1, 12), 12, 12, 12]
     assert sum(r["velocity_trend"] is not None for r in stored) == 5
+
+
+def test_a_day_is_few_files_and_replaced_alone(spark, tmp_path):
+    path = str(tmp_path / "layer")
+    days = lambda *d: spark.range(400).selectExpr("id", "2026 as year", "7 as month", f"{d[0]} + id % {len(d)} as day").repartition(20)
+    assert files.write_days(days(1, 2, 3), path) == 400
+    each = [len(list(f.glob("*.parquet"))) for f in (tmp_path / "layer").glob("year=*/month=*/day=*")]
+    assert len(each) == 3 and max(each) <= 2
+    kept = {f for d in (1, 3) for f in (tmp_path / "layer").glob(f"year=*/month=*/day={d}/*.parquet")}
+    assert files.write_days(days(2).limit(50), path) == 400 - 133 + 50
+    assert kept == {f for d in (1, 3) for f in (tmp_path / "layer").glob(f"year=*/month=*/day={d}/*.parquet")}
+
+
+def test_only_finished_batches_are_compacted(spark, tmp_path):
+    raw, state = tmp_path / "raw", tmp_path / "state"
+    for batch in range(4):
+        folder = raw / f"batch={batch}" / "year=2026" / "month=07" / "day=24"
+        folder.mkdir(parents=True)
+        (folder / "a.txt").write_text(f"line {batch}")
+    assert files.last_batch(spark, str(state)) == -1
+    (state / "commits").mkdir(parents=True)
+    for batch in (1, 2):
+        (state / "commits" / str(batch)).write_text("v1\n{}")
+    (state / "commits" / ".3.tmp").write_text("")
+    files.compact(spark, str(raw), str(tmp_path / "out"), checkpoint=str(state))
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "out")).collect()) == ["line 0", "line 1", "line 2"]

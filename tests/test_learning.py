@@ -94,12 +94,46 @@ def test_unseen_device_fails(gold):
         training.score(model, odd, ("session_id",)).collect()
 
 
+def average_precision(rows):
+    """Plain: precision at each positive, rows of equal score taken together."""
+    hits = [sum(y for p, y in rows if p >= at) / sum(p >= at for p, _ in rows) for at, y in rows if y]
+    return sum(hits) / len(hits) if hits else None
+
+
 def test_candidates(gold):
     common = {"featuresCol": "features", "labelCol": S.LABEL, "weightCol": "weight"}
-    name, model, found = training.best_of(gold, {
+    kinds = {
         "logistic": LogisticRegression(maxIter=5, **common),
-        "forest": RandomForestClassifier(numTrees=3, maxDepth=3, seed=1, **common)})
-    assert found[name] == max(found.values()) and model is not None
+        "forest": RandomForestClassifier(numTrees=3, maxDepth=3, seed=1, **common)}
+    scores = training.out_of_fold(gold, kinds, folds=3)
+    rows = scores.collect()
+    sessions = {r.session_id for r in gold.collect()}
+    for name in kinds:
+        assert sorted(r.session_id for r in rows if r.candidate == name) == sorted(sessions)
+    found = {(r.candidate, r.fold): r for r in training.fold_metrics(scores).collect()}
+    assert len(found) == 6
+    for (name, fold), r in found.items():
+        part = [(x.probability, x.abandoned) for x in rows if (x.candidate, x.fold) == (name, fold)]
+        assert (r.n_rows, r.positives) == (len(part), sum(y for _, y in part))
+        want = average_precision(part)
+        assert r.auc_pr is None and want is None or abs(r.auc_pr - want) < 1e-9
+    name, model, metrics = training.best_of(gold, kinds, folds=3)
+    means = {n: sum((r.auc_pr or 0.0) for (c, _), r in found.items() if c == n) / 3 for n in kinds}
+    assert means[name] == max(means.values()) and model is not None and metrics.count() == 6
+
+
+def test_a_model_that_says_the_same_of_all_ranks_by_chance(spark):
+    rows = [("c", 0, f"s{i}", int(i % 4 == 0), 0.5) for i in range(40)]
+    scores = spark.createDataFrame(rows, "candidate string, fold int, session_id string, abandoned int, probability double")
+    r = training.fold_metrics(scores).first()
+    assert (r.auc_roc, r.auc_pr) == (0.5, 0.25)
+
+
+def test_folds_deal_out_each_class(gold):
+    counts = training.folds_of(gold, 3).groupBy("fold", S.LABEL).count().collect()
+    for label in (0, 1):
+        n = [r["count"] for r in counts if r[S.LABEL] == label]
+        assert max(n) - min(n) <= 1 and len(n) == 3
 
 
 def test_default_booster_has_the_fixed_settings():
