@@ -101,15 +101,26 @@ class Tables:
         return self._layout(("event_id",))
 
 
-# Sessions of the click view are short; those of so many users as one pass every bound of the
-# history, and their number grows with the users.
+# Sessions of the click view are short; those of so many users, one after another, pass every
+# bound of the history, and their number grows with the users.
 USERS_A_SESSION = 20
+USER_US = 70_000_000
+USER_CLICKS = 234
 
 
 def as_long_sessions(df: DataFrame) -> DataFrame:
-    """Users of the click view, some twenty to a session."""
-    group = F.call_function("div", F.substring("user_id", 2, 20).cast("bigint"), F.lit(USERS_A_SESSION))
-    return df.withColumn("session_id", F.concat(F.lit("s"), group.cast("string")))
+    """Users of the click view, some twenty to a session, each after the one before."""
+    user = F.substring("user_id", 2, 20).cast("bigint")
+    group = F.call_function("div", user, F.lit(USERS_A_SESSION))
+    later = user % USERS_A_SESSION * USER_US
+    return df.withColumns(
+        {
+            "session_id": F.concat(F.lit("s"), group.cast("string")),
+            "ts_us": F.col("ts_us") + later,
+            "mouse_click_count": F.col("mouse_click_count") + user % USERS_A_SESSION * USER_CLICKS,
+            "event_timestamp": F.timestamp_add("MICROSECOND", later, F.col("event_timestamp")),
+        }
+    )
 
 
 def long_sessions(df: DataFrame) -> DataFrame:
@@ -122,8 +133,8 @@ LATE_ORDER = ("arrived_us", "event_id")
 
 def late_clicks(df: DataFrame) -> DataFrame:
     """Long sessions whose events arrive up to 20 s late, so out of order; instants repeat."""
-    late = F.col("ts_us") + F.col("event_id") * 7919 % 1009 * 20_000
-    rows = as_long_sessions(df).withColumn("arrived_us", late)
+    rows = as_long_sessions(df)
+    rows = rows.withColumn("arrived_us", F.col("ts_us") + F.col("event_id") * 7919 % 1009 * 20_000)
     return rows.withColumn("ts_us", F.col("ts_us") - F.col("ts_us") % 50_000)
 
 
@@ -194,9 +205,14 @@ select event_id, 's' || cast(uid as varchar) as session_id, 'u' || cast(uid as v
   case when k % 3 = 0 then 'credit_card' when k % 3 = 1 then 'debit_card' end as payment_method_selected
 from b)"""
 
+_USER = "cast(substr(user_id, 2) as bigint)"
+AS_LONG = f"""'s' || ({_USER} // {USERS_A_SESSION}) as session_id, ts_us + {_USER} % {USERS_A_SESSION} * {USER_US} as ts_us,
+    mouse_click_count + {_USER} % {USERS_A_SESSION} * {USER_CLICKS} as mouse_click_count,
+    event_timestamp + to_microseconds({_USER} % {USERS_A_SESSION} * {USER_US}) as event_timestamp"""
+
 LONG = CLICK + f""",
 longer as (
-  select * from (select * replace ('s' || (cast(substr(user_id, 2) as bigint) // {USERS_A_SESSION}) as session_id) from click)
+  select * from (select * replace ({AS_LONG}) from click)
   qualify row_number() over (partition by session_id, ts_us order by event_id desc) = 1)"""
 
 SILVER = CLICK + """,

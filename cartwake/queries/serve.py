@@ -13,7 +13,7 @@ from cartwake.operators import decision as D
 from cartwake.operators import replay as R
 from cartwake.operators.arrival import with_arrived_history
 from cartwake.queries.base import (
-    CLICK, LONG, USERS_A_SESSION, Tables, late_clicks, query, round_sql, rounded,
+    AS_LONG, CLICK, LONG, Tables, late_clicks, query, round_sql, rounded,
 )
 from cartwake.queries.online import (
     MOTION_DOUBLES, MOTION_WHOLE, WINDOW_DOUBLES, flat_windows,
@@ -87,12 +87,13 @@ def _history_180s(t: Tables) -> DataFrame:
 
 # Each arrival beside all that arrived before it in its session; of an instant the last counts.
 LATE = CLICK + f""",
+longs as (select * replace ({AS_LONG}) from click),
 late as (
-  select * replace ('s' || (cast(substr(user_id, 2) as bigint) // {USERS_A_SESSION}) as session_id, ts_us - ts_us % 50000 as ts_us,
+  select * replace (ts_us - ts_us % 50000 as ts_us,
       case when event_type = 'view_product' and product_count = 1 then 'accept_offer'
            when event_type = 'view_product' and product_count = 2 then 'reject_offer' else event_type end as event_type),
     ts_us + event_id * 7919 % 1009 * 20000 as arrived_us
-  from click),
+  from longs),
 seen as (
   select e.event_id, h.event_id as other, h.ts_us, h.event_type
   from late e join late h on h.session_id = e.session_id and (h.arrived_us, h.event_id) <= (e.arrived_us, e.event_id)
