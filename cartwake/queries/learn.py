@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwake import schema as S
-from cartwake.ml import metrics, training
+from cartwake.ml import boosting, metrics, training
 from cartwake.operators import reports, sessions
 from cartwake.queries.base import GOLD, Tables, query, round_sql, rounded
 from cartwake.sources import files
@@ -295,3 +295,60 @@ def _best_candidate(t: Tables) -> DataFrame:
     found = training.fold_metrics(scores).join(again, ["candidate", "fold"], "left")
     same = F.coalesce(F.abs(F.col("auc_pr") - F.col("again")) < 1e-9, F.col("auc_pr").isNull() & F.col("again").isNull())
     return found.select("candidate", "fold", "n_rows", "positives", same.alias("ranks_agree"))
+
+
+# Small enough to be written out in SQL tree by tree.
+_SMALL = boosting.Settings(trees=3, depth=3, rate=0.3, bins=16)
+
+
+def _boosted_sql(s: boosting.Settings, columns: list[str]) -> str:
+    """Each tree and level as one step: sums per bin, running sums, best gain, next nodes."""
+    unit, names = "16777216.0::double", "[" + ", ".join(f"'{c}'" for c in columns) + "]"
+    share = "[" + ", ".join(f"{i / s.bins}" for i in range(1, s.bins)) + "]"
+    steps = [
+        f"num as materialized (select session_id, abandoned, {round_sql(columns)} from gold)",
+        f"""lab as materialized (select session_id, abandoned as y, case when abandoned = 1 then
+          (count(*) filter (where abandoned = 0) over ()) / greatest(count(*) filter (where abandoned = 1) over (), 1)::double else 1.0::double end as w from num)""",
+        f"xs as materialized (select session_id, unnest(range(1, {len(columns) + 1})) as f, unnest([{', '.join(f'{c}::double' for c in columns)}]) as x from num)",
+        f"qs as (select f, min(x) as least, unnest(quantile_disc(x, {share})) as cut from xs group by f)",
+        "cuts as materialized (select distinct f, cut from qs where cut > least)",
+        "bn as materialized (select session_id, xs.f, count(cut) as bin from xs left join cuts on cuts.f = xs.f and cut <= x group by all)",
+        "m0 as materialized (select session_id, 0.0::double as margin from lab)",
+    ]
+    for t in range(s.trees):
+        steps += [
+            f"""u{t} as materialized (select i as f from (select i, row_number() over (order by md5('{s.seed}:{t}:' || {names}[i])) as r
+              from (select unnest(range(1, {len(columns) + 1})) as i)) where r <= {max(1, int(s.column_share * len(columns)))})""",
+            f"p{t} as materialized (select session_id, y, w, 1 / (1 + exp(-margin)) as p from lab join m{t} using (session_id))",
+            f"""g{t} as materialized (select session_id, round_even((p - y) * w * {unit}, 0)::bigint as g, round_even(greatest(p * (1 - p), 1e-16::double) * w * {unit}, 0)::bigint as h
+              from p{t} where ('0x' || substr(md5('{s.seed}:{t}:' || session_id), 1, 8))::bigint < {int(s.row_share * (1 << 32))})""",
+            f"n{t}_0 as materialized (select session_id, 0 as node from lab)",
+        ]
+        for d in range(s.depth):
+            steps += [
+                f"""h{t}_{d} as materialized (select node, f, bin, sum(g)::bigint as g, sum(h)::bigint as h from n{t}_{d} join g{t} using (session_id)
+                  join bn using (session_id) join u{t} using (f) where node >= {(1 << d) - 1} group by all)""",
+                f"""c{t}_{d} as materialized (select node, f, bin, (sum(g) over up)::double / {unit} as gl, (sum(h) over up)::double / {unit} as hl,
+                  (sum(g) over whole)::double / {unit} as ga, (sum(h) over whole)::double / {unit} as ha from h{t}_{d}
+                  window up as (partition by node, f order by bin), whole as (partition by node, f))""",
+                f"""s{t}_{d} as materialized (select node, gl, hl, ga, ha, f, bin, gl * gl / (hl + {s.shrink}::double) + (ga - gl) * (ga - gl) / (ha - hl + {s.shrink}::double) - ga * ga / (ha + {s.shrink}::double) as gain from c{t}_{d}
+                  where hl >= {s.least_curvature} and ha - hl >= {s.least_curvature})""",
+                f"b{t}_{d} as materialized (select node, f, bin as cut from s{t}_{d} where gain > 1e-6::double qualify row_number() over (partition by node order by gain desc, f, bin) = 1)",
+                f"""n{t}_{d + 1} as materialized (select a.session_id, case when b.f is null then a.node else 2 * a.node + 1 + (bn.bin > b.cut)::int end as node
+                  from n{t}_{d} a left join b{t}_{d} b on b.node = a.node left join bn on bn.session_id = a.session_id and bn.f = b.f)""",
+            ]
+        steps += [
+            f"""v{t} as materialized (select node, -(sum(g)::double / {unit}) / (sum(h)::double / {unit} + {s.shrink}::double) * {s.rate}::double as value
+              from n{t}_{s.depth} join g{t} using (session_id) group by node)""",
+            f"""m{t + 1} as materialized (select session_id, margin + coalesce(value, 0) as margin
+              from m{t} join n{t}_{s.depth} using (session_id) left join v{t} using (node))""",
+        ]
+    return f"with {GOLD}, {', '.join(steps)} select session_id, y as abandoned, round(1 / (1 + exp(-margin)), 6) + 0.0 as probability from m{s.trees} join lab using (session_id)"
+
+
+@query("second_order_trees", _boosted_sql(_SMALL, S.MODEL_NUMERIC))
+def _second_order_trees(t: Tables) -> DataFrame:
+    """Probabilities by three second-order trees, each split and leaf found again in SQL."""
+    rows = stored(rounded(training.numeric_matrix(_gold(t), ("session_id", S.LABEL))), "gold")
+    model = boosting.fit(rows, S.MODEL_NUMERIC, settings=_SMALL)
+    return rounded(model.score(rows, ("session_id", S.LABEL)), 6)
