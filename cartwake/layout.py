@@ -84,8 +84,17 @@ class SessionLayout:
         """Partitioning columns of an ordered window."""
         return [self.key, *extra, SEG] if self.hot else [self.key, *extra]
 
-    def window(self, *extra: str):
-        return Window.partitionBy(*self.by(*extra)).orderBy(*self.order)
+    def window(self, *extra: str, backwards: bool = False):
+        order = [F.col(c).desc() if backwards else F.col(c) for c in self.order]
+        return Window.partitionBy(*self.by(*extra)).orderBy(*order)
+
+    def together(self, df: DataFrame) -> DataFrame:
+        """Bring the rows of an ordinary session into one task by one exchange.
+
+        Windows over a session and any of its parts then share it, where a window over a
+        part that comes first would make an exchange of its own.
+        """
+        return df if self.hot else df.repartition(F.col(self.key))
 
     # -- bounded look-back -------------------------------------------------
     def look_back(self, df: DataFrame, rows: int, *extra: str) -> DataFrame:
@@ -169,10 +178,13 @@ class SessionLayout:
         return df.filter(~F.col(HALO)).drop(HALO)
 
     # -- unbounded prefixes ------------------------------------------------
-    def running_sum(self, df: DataFrame, **values: Column) -> DataFrame:
-        """Inclusive running total of each value along each session, by name."""
+    def running_sum(self, df: DataFrame, backwards: bool = False, **values: Column) -> DataFrame:
+        """Inclusive running total of each value along each session, by name.
+
+        ``backwards`` runs from the end of the session.
+        """
         part = self.split(df)
-        so_far = self.window().rowsBetween(Window.unboundedPreceding, 0)
+        so_far = self.window(backwards=backwards).rowsBetween(Window.unboundedPreceding, 0)
         local = part.withColumns({n: F.sum(v).over(so_far) for n, v in values.items()})
         if not self.hot:
             return local
@@ -180,6 +192,7 @@ class SessionLayout:
             part,
             {n: F.sum(v) for n, v in values.items()},
             lambda c, before: F.sum(c).over(before),
+            backwards,
         )
         zero = F.lit(0)
         joined = self._attach(local, carry)
@@ -190,10 +203,14 @@ class SessionLayout:
             }
         ).drop(*[f"_carry_{n}" for n in values])
 
-    def running_last(self, df: DataFrame, **values: Column) -> DataFrame:
-        """Latest non-null value up to and including each row, by name."""
+    def running_last(self, df: DataFrame, backwards: bool = False, **values: Column) -> DataFrame:
+        """Latest non-null value up to and including each row, by name.
+
+        ``backwards`` gives the earliest one from each row on.
+        """
         part = self.split(df)
-        so_far = self.window().rowsBetween(Window.unboundedPreceding, 0)
+        so_far = self.window(backwards=backwards).rowsBetween(Window.unboundedPreceding, 0)
+        nearest = F.min_by if backwards else F.max_by
         local = part.withColumns(
             {n: F.last(v, ignorenulls=True).over(so_far) for n, v in values.items()}
         )
@@ -202,20 +219,24 @@ class SessionLayout:
         carry = self._carry(
             part,
             {
-                n: F.max_by(v, F.when(v.isNotNull(), F.struct(*self.order)))
+                n: nearest(v, F.when(v.isNotNull(), F.struct(*self.order)))
                 for n, v in values.items()
             },
             lambda c, before: F.last(c, ignorenulls=True).over(before),
+            backwards,
         )
         joined = self._attach(local, carry)
         return joined.withColumns(
             {n: F.coalesce(F.col(n), F.col(f"_carry_{n}")) for n in values}
         ).drop(*[f"_carry_{n}" for n in values])
 
-    def _carry(self, part: DataFrame, aggs: dict[str, Column], combine) -> DataFrame:
-        """What the segments before each segment add up to, one row per segment."""
+    def _carry(
+        self, part: DataFrame, aggs: dict[str, Column], combine, backwards: bool = False
+    ) -> DataFrame:
+        """What the segments before (or after) each segment add up to, one row per segment."""
+        order = F.col(SEG).desc() if backwards else F.col(SEG)
         before = (
-            Window.partitionBy(self.key).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
+            Window.partitionBy(self.key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         )
         return (
             part.filter(F.col(SEG) > 0)

@@ -7,7 +7,7 @@ the trend is a fitted slope when there are enough pairs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwake import schema as S
@@ -24,7 +24,7 @@ def _rows(df: DataFrame, layout: SessionLayout, funnel: bool = False) -> DataFra
 
     With ``funnel`` also its page and payment changes, from the same shuffle.
     """
-    rows = df.withColumn("_beat", F.col("event_type") == "heartbeat")
+    rows = layout.together(df).withColumn("_beat", F.col("event_type") == "heartbeat")
     if funnel:
         rows = O.funnel_flags(rows, ignore_nulls=True)
         rows = layout.look_back(rows, 2, "_beat", "_paged", "_pay")
@@ -127,6 +127,50 @@ def product_tallies(df: DataFrame) -> DataFrame:
     )
 
 
+def _with_tallies(rows: DataFrame, layout: SessionLayout) -> DataFrame:
+    """Mark one row per product and session (or piece of one) with what was added and removed.
+
+    The window over (session, product) needs no exchange after one over the session.
+    """
+    kind = F.col("event_type")
+    rows = rows.withColumn("_pid", F.coalesce("product_id", F.lit("unknown")))
+    same = Window.partitionBy(*layout.by("_pid"))
+    tally = F.struct(
+        F.col("_pid").alias("pid"),
+        F.count_if(kind == "add_to_cart").over(same).alias("adds"),
+        F.count_if(kind == "remove_from_cart").over(same).alias("removes"),
+    )
+    first = F.row_number().over(same.orderBy(*layout.order)) == 1
+    return rows.withColumns({"_tally": tally, "_first": first}).withColumn(
+        "_tally", F.when(F.col("_first") & (F.col("_tally")["adds"] + F.col("_tally")["removes"] > 0), F.col("_tally"))
+    )
+
+
+def _tally_aggregates() -> dict[str, Column]:
+    return {"_tallies": F.collect_list("_tally"), "_beats": F.count_if("_beat")}
+
+
+def _tally_maps(sessions: DataFrame, layout: SessionLayout) -> DataFrame:
+    """Product maps from the collected tallies; pieces of one session are added up."""
+
+    def total(count: str) -> Column:
+        found = F.filter("_tallies", lambda e: e[count] > 0)
+        entry = lambda e: F.struct(e["pid"], e[count])
+        if layout.hot:
+            pids = F.array_distinct(F.transform(found, lambda e: e["pid"]))
+            part = lambda p: F.filter(found, lambda e: e["pid"] == p)
+            summed = lambda p: F.aggregate(part(p), F.lit(0).cast("bigint"), lambda n, e: n + e[count])
+            entries = F.transform(pids, lambda p: F.struct(p, summed(p)))
+        else:
+            entries = F.transform(found, entry)
+        return F.when(
+            F.col("_beats") >= 2, M.sorted_json(F.map_from_entries(entries))
+        ).otherwise(F.lit("{}"))
+
+    maps = {"product_removals": total("removes"), "product_additions": total("adds")}
+    return sessions.withColumns(maps).drop("_tallies", "_beats")
+
+
 def _cart_aggregates() -> dict[str, Column]:
     last = F.max_by(F.struct("cart_value", "p_value", "p_us"), O._beat_at())
     zero = F.lit(0.0)
@@ -143,12 +187,12 @@ def _cart_aggregates() -> dict[str, Column]:
 
 
 def cart_features(df: DataFrame, layout: SessionLayout = PLAIN) -> DataFrame:
-    return (
-        _rows(df, layout)
+    found = (
+        _with_tallies(_rows(df, layout), layout)
         .groupBy("session_id")
-        .agg(*_named(_cart_aggregates()))
-        .join(product_tallies(df), "session_id")
+        .agg(*_named(_cart_aggregates()), *_named(_tally_aggregates()))
     )
+    return _tally_maps(found, layout)
 
 
 def funnel_features(df: DataFrame, layout: SessionLayout = PLAIN) -> DataFrame:
@@ -167,7 +211,7 @@ def terminal_labels(df: DataFrame) -> DataFrame:
 
 
 def session_rows(df: DataFrame, layout: SessionLayout = PLAIN) -> DataFrame:
-    """Identity, label and features of each session.
+    """Identity, label and features of each session, from one scan and one aggregate.
 
     Motion features are null for sessions with fewer than two heartbeats.
     """
@@ -175,7 +219,7 @@ def session_rows(df: DataFrame, layout: SessionLayout = PLAIN) -> DataFrame:
         F.max_by(c, F.when(F.col(c).isNotNull(), O.at())), F.lit("")
     )
     base = (
-        _rows(df, layout, funnel=True)
+        _with_tallies(_rows(df, layout, funnel=True), layout)
         .groupBy("session_id")
         .agg(
             F.min_by("user_id", O.at()).alias("user_id"),
@@ -189,10 +233,11 @@ def session_rows(df: DataFrame, layout: SessionLayout = PLAIN) -> DataFrame:
             *_named(_session_aggregates()),
             *_named(_cart_aggregates()),
             *_named(O.funnel_aggregates()),
+            *_named(_tally_aggregates()),
         )
     )
     enough = F.col("heartbeat_count") >= 2
     base = base.withColumns({c: F.when(enough, F.col(c)) for c in FEATURES}).drop(
         "heartbeat_count"
     )
-    return base.join(product_tallies(df), "session_id")
+    return _tally_maps(base, layout)

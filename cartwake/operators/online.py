@@ -305,7 +305,7 @@ def funnel_features(
     df: DataFrame, layout: SessionLayout = PLAIN, ignore_nulls: bool = False
 ) -> DataFrame:
     return (
-        funnel_rows(df, layout, ignore_nulls)
+        funnel_rows(layout.together(df), layout, ignore_nulls)
         .groupBy("session_id")
         .agg(*_named(funnel_aggregates()))
     )
@@ -335,7 +335,7 @@ def all_features(
     history, and after them the session's newest event of any type when
     ``with_current``.  Sessions with fewer than two heartbeats give no row.
     """
-    rows = df.withColumn("_beat", F.col("event_type") == "heartbeat")
+    rows = layout.together(df).withColumn("_beat", F.col("event_type") == "heartbeat")
     rows = layout.look_back(rows, 2, "_beat")
     w = layout.window("_beat")
     rows = cart_pair_columns(pair_columns(rows, w), w)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwake import schema as S
@@ -79,25 +79,16 @@ def buffer_flush(
 
     Tracked events go at once.  The others wait for the next tracked event; of
     each wait only the newest ``limit`` go, and a wait that never ends is lost.
+    Release and place in the wait both come from one pass from the end of the session.
     """
+    tracked = F.col("_tracked")
     rows = df.withColumn("_tracked", is_tracked(hidden))
-    rows = layout.running_sum(rows, _wait=F.col("_tracked").cast("bigint")).drop(SEG)
-    # The ranking runs on untracked rows alone: a rank filter there keeps `limit`
-    # rows per wait and task before the shuffle.
-    newest = Window.partitionBy("session_id", "_wait").orderBy(
-        F.col("ts_us").desc(), F.col("event_id").desc()
+    rows = layout.running_sum(rows, True, _later=(~tracked).cast("bigint"))
+    release = F.struct("ts_us", "_later")
+    rows = layout.running_last(rows, True, _release=F.when(tracked, release)).drop(SEG)
+    waited = F.col("_later") - F.col("_release")["_later"]
+    return (
+        rows.filter(tracked | (waited <= limit))
+        .withColumns({"sent_us": F.col("_release")["ts_us"], "buffered": ~tracked})
+        .drop("_tracked", "_later", "_release")
     )
-    held = (
-        rows.filter(~F.col("_tracked"))
-        .withColumn("_rank", F.row_number().over(newest))
-        .filter(F.col("_rank") <= limit)
-        .drop("_rank")
-    )
-    releases = rows.filter("_tracked").select(
-        "session_id", (F.col("_wait") - 1).alias("_wait"), F.col("ts_us").alias("sent_us")
-    )
-    flushed = held.join(releases, ["session_id", "_wait"]).withColumn("buffered", F.lit(True))
-    direct = rows.filter("_tracked").withColumns(
-        {"sent_us": F.col("ts_us"), "buffered": F.lit(False)}
-    )
-    return direct.unionByName(flushed).drop("_wait", "_tracked")

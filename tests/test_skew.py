@@ -83,3 +83,26 @@ def test_top_k_is_limited_before_the_shuffle(tables):
     plan = R.newest_items(tables.clicks)._jdf.queryExecution().executedPlan().toString()
     before = plan[plan.index("Exchange hashpartitioning"):]
     assert "WindowGroupLimit" in before
+
+
+def test_tallies_and_buffer_need_one_scan(spark, skewed, tmp_path):
+    skewed.write.parquet(str(tmp_path / "clicks"))
+    clicks = spark.read.parquet(str(tmp_path / "clicks"))
+    builds = [lambda d: H.session_rows(labelled(d)), H.cart_features, H.funnel_features, O.all_features, T.buffer_flush]
+    for build in builds:
+        text = build(clicks)._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in text
+        assert (text.count("Exchange"), text.count("FileScan")) == (1, 1)
+
+
+def test_tallies_of_pieces_add_up(skewed, tiny_layout):
+    names = ["session_id", "product_removals", "product_additions"]
+    want = H.product_tallies(skewed).select(*names)
+    same(H.cart_features(skewed, tiny_layout).select(*names), want)
+    same(H.cart_features(skewed).select(*names), want)
+
+
+@pytest.mark.parametrize("limit", [1, 7])
+def test_buffer_in_tiny_segments(skewed, tiny_layout, limit):
+    d = skewed.withColumn("product_count", F.when(F.col("event_id") % 9 == 0, F.col("product_count")).otherwise(0))
+    same(text_maps(T.buffer_flush(d, tiny_layout, limit)), text_maps(T.buffer_flush(d, PLAIN, limit)))
