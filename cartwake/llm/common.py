@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -43,6 +44,40 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def others(columns: list[str], added: list[str]) -> list[str]:
+    """Columns but those that ``added`` ones replace; case does not tell names apart."""
+    new = {c.lower() for c in added}
+    return [c for c in columns if c.lower() not in new]
+
+
+def free(columns: list[str], name: str) -> str:
+    """``name``, made longer until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def per_text(docs: DataFrame, text: str, keep: list[str], added: dict[str, str | T.DataType], work) -> DataFrame:
+    """The ``keep`` columns and the ``added`` ones, which ``work`` makes from a list of texts.
+
+    Names of the user's may hold dots or differ in case alone; inside, numbers stand in.
+    """
+    kept = [F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)]
+    rows = docs.select(*kept, F.col(f"`{text}`").alias("text"))
+    schema = rows.drop("text").schema
+    for i, kind in enumerate(added.values()):
+        schema = schema.add(f"n{i}", kind)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = work()
+        for batch in slices(batches, "text"):
+            found = made(batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *found], schema.names)
+
+    return rows.mapInArrow(run, schema).toDF(*keep, *added)
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = WORD_BYTES):
     """Batches cut so that each holds about ``most`` bytes of ``text``, or one row.
 

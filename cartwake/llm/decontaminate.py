@@ -4,13 +4,17 @@ Texts are normalised (A-Z lower, every ASCII character that is no letter or digi
 break) and each text is scanned once for all windows of all items.  Hits are mapped back
 to character offsets of the original text.
 
-Items are shipped to the tasks in blocks of at most ``BLOCK_BYTES`` of text; more than
-one block means one more pass over the documents each, so no broadcast grows unchecked.
+Items are cut into pieces that overlap by a window less a word, and shipped to the tasks in
+blocks of about ``BLOCK_BYTES`` of text; more than one block means one more pass over the
+documents each, so no broadcast grows unchecked.  The automaton steps from word to word, a
+word of a block being one sign, and a worker keeps that of one block for its next tasks.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import ahocorasick
 import numpy as np
@@ -19,11 +23,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartwake.llm.common import slices
+from cartwake.llm.common import others, per_text, slices
 from cartwake.sources.files import stored
 
 WINDOW = 13
-BLOCK_BYTES = 16 << 20
+#: A window per word and a node per word of a window: about 0.3 GB a worker at most.
+BLOCK_BYTES = 1 << 20
+#: Windows of a piece of an item.
+PIECE = 4096
+#: Words of a block are signs from here on, above the surrogates; others are ``_OTHER``.
+_FIRST_SIGN, _OTHER = 0xE000, "\x01"
 
 _NORMAL = bytes(
     c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or 48 <= c <= 57 or c > 127 else 32
@@ -38,39 +47,49 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").translate(_NORMAL).split()
 
 
-def _joined(words: list[bytes]) -> str:
-    # One character per byte keeps the automaton small and exact.
-    return " " + b" ".join(words).decode("latin-1") + " "
-
-
 class Windows:
     """The automaton of a block of items."""
 
     def __init__(self, items: list[tuple[str, str | None]], window: int = WINDOW):
+        self.signs: dict[bytes, str] = {}
         found: dict[str, tuple[int, set[str]]] = {}
         for item, text in items:
             words = words_of(text)
-            size = min(window, len(words))
+            for w in words:
+                if w not in self.signs:
+                    self.signs[w] = chr(_FIRST_SIGN + len(self.signs))
+            line, size = self._signs_of(words), min(window, len(words))
             for i in range(len(words) - size + 1) if words else ():
-                found.setdefault(_joined(words[i : i + size]), (size, set()))[1].add(item)
+                found.setdefault(line[i : i + size], (size, set()))[1].add(item)
         self.machine = ahocorasick.Automaton()
-        for key, (size, ids) in found.items():
-            self.machine.add_word(key, (len(key), size, ids))
+        for key, value in found.items():
+            self.machine.add_word(key, value)
         self.empty = not found
         if found:
             self.machine.make_automaton()
 
+    def _signs_of(self, words: list[bytes]) -> str:
+        return "".join(map(self.signs.get, words, repeat(_OTHER)))
+
     def hits(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Runs of word places (first, past the last) in any window, and the items."""
         if self.empty or not words:
             return [], set()
-        text = _joined(words)
-        found = [(end + 1 - size, n, ids) for end, (size, n, ids) in self.machine.iter(text)]
+        found = [(end + 1 - n, end + 1, ids) for end, (n, ids) in self.machine.iter(self._signs_of(words))]
         if not found:
             return [], set()
-        blanks = np.flatnonzero(np.frombuffer(text.encode("latin-1"), np.uint8) == 32)
-        first = np.searchsorted(blanks, [f[0] for f in found]).tolist()
-        return merge_runs([(a, a + f[1]) for a, f in zip(first, found)]), set().union(*(f[2] for f in found))
+        return merge_runs([f[:2] for f in found]), set().union(*(f[2] for f in found))
+
+
+_KEPT: dict[str, Windows] = {}
+
+
+def windows_of(key: str, items, window: int) -> Windows:
+    """The automaton of the block of this key; a worker keeps the last one."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = Windows(items.value, window)
+    return _KEPT[key]
 
 
 def merge_runs(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -95,28 +114,43 @@ def offsets(text: str, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(int(starts[a]), int(ends[b - 1])) for a, b in runs]
 
 
-def _pass(docs: DataFrame, items: list[tuple[str, str | None]], text: str, window: int, keep: list[str], last: bool) -> DataFrame:
+def _pieces(items: DataFrame, window: int) -> DataFrame:
+    """``id`` and ``text`` of pieces of items; every window of an item lies in one of them."""
+
+    def work():
+        def cut(text: str) -> list[str]:
+            words = [w.decode("utf-8", "replace") for w in words_of(text)]
+            starts = range(0, max(1, len(words) - window + 1), PIECE) if words else ()
+            return [" ".join(words[i : i + PIECE + window - 1]) for i in starts]
+
+        return lambda texts: [pa.array([cut(t) for t in texts], pa.list_(pa.string()))]
+
+    found = per_text(items, "text", ["id"], {"pieces": T.ArrayType(T.StringType())}, work)
+    return found.select("id", F.explode("pieces").alias("text"))
+
+
+def _pass(docs: DataFrame, items: list[tuple[str, str]], window: int, last: bool) -> DataFrame:
     """One scan of the documents for one block of items."""
     again = RUNS in docs.columns
-    cache: list[Windows] = []
+    key = hashlib.sha256(repr((window, sorted(items))).encode("utf-8", "replace")).hexdigest()
+    shared = docs.sparkSession.sparkContext.broadcast(items)  # about a block
     pair = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())]))
     arrow_pair = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
     new = [("n_words", T.LongType()), ("n_hit", T.LongType()), (RUNS, pair), (ITEMS, T.ArrayType(T.StringType()))]
     new += [(SPANS, pair)] if last else []
-    kept = [c for c in keep if c not in {n for n, _ in new}]
+    kept = [c for c in docs.columns if c not in {n for n, _ in new} and not (last and c == "text")]
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(n, t) for n, t in new])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not cache:
-            cache.append(Windows(items, window))
-        for batch in slices(batches, text):
-            texts = batch.column(text).to_pylist()
+        machine = windows_of(key, shared, window)
+        for batch in slices(batches, "text"):
+            texts = batch.column("text").to_pylist()
             before = batch.column(RUNS).to_pylist() if again else [[]] * len(texts)
             known = batch.column(ITEMS).to_pylist() if again else [[]] * len(texts)
             n_words, runs, ids = [], [], []
             for t, r, k in zip(texts, before, known):
                 words = words_of(t)
-                got, names = cache[0].hits(words)
+                got, names = machine.hits(words)
                 n_words.append(len(words))
                 runs.append(merge_runs(got + [(x["start"], x["stop"]) for x in r]) if r else got)
                 ids.append(sorted(names.union(k)))
@@ -148,29 +182,28 @@ def scan(
     has words.  Adds to the ``keep`` columns (all by default): n_words, n_hit,
     hit_runs (word places), hit_items (item ids as sorted strings), hit_spans (offsets
     in the original text) and contaminated: at least a twentieth of the words are hit.
-    Columns of these names in ``docs`` are replaced.
+    Columns of these names in ``docs``, in any case, are replaced.
 
     Null texts have no words.  An item without an id hits like any other and is listed
     as the empty string; rows of one item id count as one item.  Without items, or with
     items that have no words, nothing is hit.  Repeated rows stay.
     """
-    keep = list(docs.columns if keep is None else keep)
     rows = items.select(
-        F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("id"), F.col(item_text).alias("text")
+        F.coalesce(F.col(f"`{item_id}`").cast("string"), F.lit("")).alias("id"), F.col(f"`{item_text}`").alias("text")
     ).where(F.col("text").isNotNull())
+    rows = stored(_pieces(rows, window), "benchmark-pieces")
     size = rows.agg(F.sum(F.octet_length("text") + F.octet_length("id") + 1)).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
-    own = [RUNS, ITEMS, SPANS, "n_words", "n_hit", "contaminated"]
-    keep = [c for c in keep if c not in own]
-    out = docs.select(*dict.fromkeys([*keep, text]))
+    added = ["n_words", "n_hit", RUNS, ITEMS, SPANS]
+    keep = others(docs.columns if keep is None else keep, [*added, "contaminated"])
+    # Names of the user's may hold dots or differ in case alone: numbers stand in.
+    out = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col(f"`{text}`").alias("text"))
     for k in range(blocks):
         block = rows if blocks == 1 else rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k)
-        part = [(r.id, r.text) for r in block.collect()]  # at most about block_bytes
+        part = [(r.id, r.text) for r in block.collect()]  # about block_bytes
         last = k == blocks - 1
-        out = _pass(out, part, text, window, keep if last else list(dict.fromkeys([*keep, text])), last)
+        out = _pass(out, part, window, last)
         if not last:
             out = stored(out, "contamination")
-    return out.withColumn(
-        "contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
-    )
-
+    bad = (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+    return out.withColumn("contaminated", bad).toDF(*keep, *added, "contaminated")
