@@ -2,7 +2,7 @@
 
 Indicators of n-grams are scaled by the log-count ratio of the two classes, then a linear
 hinge-loss model is fitted by dual coordinate descent.  The ratios count all labelled
-training rows; the fit uses about ``FIT_ROWS`` of each class, chosen by hash, and
+training rows; the fit uses ``FIT_ROWS`` of each class, chosen by hash, and
 a fifth of them sets the probability curve.
 """
 
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwake.llm.common import slices, text_of
+from cartwake.llm.common import others, per_text, slices, text_of
 from cartwake.sources.files import stored
 
 BUCKETS = 1 << 18
@@ -137,12 +137,16 @@ def fit_curve(margin: np.ndarray, good: np.ndarray) -> tuple[float, float]:
 
 
 def fit(texts: list[str], good: list[bool], ratio: np.ndarray, strength: float = 10.0) -> Model:
-    """The model of a bounded sample; with one class or none, its share for every text."""
+    """The model of some texts; with one class or none, its share for every text."""
+    return fit_buckets([features(t).astype(np.int32) for t in texts], good, ratio, strength)
+
+
+def fit_buckets(rows: list[np.ndarray], good: list[bool], ratio: np.ndarray, strength: float = 10.0) -> Model:
+    """As ``fit``, from the buckets of each text."""
     y = np.array(good, dtype=bool)
     if y.all() or not y.any():
         p = (y.sum() + 1) / (len(y) + 2)
         return Model(np.zeros(len(ratio)), 0.0, 1.0, float(np.log(p / (1 - p))))
-    rows = [features(t).astype(np.int32) for t in texts]
     check = np.arange(len(rows)) % 5 == 4
     if len({*y[check].tolist()}) < 2:
         check[:] = False
@@ -184,35 +188,47 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     """A model of the labelled documents that are not held out.
 
     Labels are 0 or 1; rows with another label, without a label or without an id are not
-    used.  Only texts are inputs.
+    used.  An id with both labels counts once for each.  Only texts are inputs.  The fit
+    takes ``fit_rows`` different (id, text) of each class, those of the lowest hashes, and
+    gets their buckets, at most BUCKETS numbers a text; repeats of a row take up no place.
     """
-    marks = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull() & ~held_out(F.col(doc_id)))
-    marks = marks.select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("label")).distinct()
+    marks = labels.where(F.col(f"`{label}`").isin(0, 1) & F.col(f"`{doc_id}`").isNotNull() & ~held_out(F.col(f"`{doc_id}`")))
+    marks = marks.select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{label}`").cast("int").alias("label")).distinct()
     # The same join at every size; labels grow with the documents.
-    rows = docs.select(F.col(doc_id).alias("_id"), text_of(text).alias("text")).join(marks.hint("merge"), "_id")
+    rows = docs.select(F.col(f"`{doc_id}`").alias("_id"), text_of(f"`{text}`").alias("text")).join(marks.hint("merge"), "_id")
     rows = stored(rows.select("_id", "text", "label"), "labelled")
     sizes = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     good, bad = _class_counts(rows)
     ratio = log_ratios(good, bad, sizes.get(1, 0), sizes.get(0, 0))
-    # About fit_rows of each class: those whose hash lies in the lowest part of the range.
-    unit = F.xxhash64("_id", "text").cast("double") / float(1 << 64) + 0.5
-    shares = {q: fit_rows / n for q, n in sizes.items()}
-    chosen = F.coalesce(*[F.when(F.col("label") == q, unit < p) for q, p in shares.items()], F.lit(False))
-    part = rows.where(chosen).select("_id", "text", "label").collect()
-    part.sort(key=lambda r: (r.label, str(r["_id"]), r.text))
-    return fit([r.text for r in part], [r.label == 1 for r in part], ratio)
+    # Hashes first, then the texts they belong to: a repeated row is one hash.
+    hashed = rows.select("label", F.xxhash64("_id", "text").alias("h"))
+    lowest = [hashed.where(F.col("label") == q).select("h").distinct().orderBy("h").limit(fit_rows).agg(F.max("h")).first()[0] for q in sizes]
+    chosen = [(F.col("label") == q) & (F.xxhash64("_id", "text") <= h) for q, h in zip(sizes, lowest)]
+    part = rows.where(F.lit(False) if not chosen else chosen[0] | chosen[-1]).dropDuplicates(["label", "_id", "text"])
+    found = _buckets_of(part).collect()  # at most fit_rows of each class
+    found.sort(key=lambda r: (r.label, str(r["id"]), r.h))
+    return fit_buckets([np.frombuffer(r.buckets, np.int32) for r in found], [r.label == 1 for r in found], ratio)
+
+
+def _buckets_of(rows: DataFrame) -> DataFrame:
+    keep = rows.select("label", F.col("_id").alias("id"), F.xxhash64("_id", "text").alias("h"), "text")
+
+    def work():
+        return lambda texts: [pa.array([features(t).astype(np.int32).tobytes() for t in texts], pa.binary())]
+
+    return per_text(keep, "text", ["label", "id", "h"], {"buckets": "binary"}, work)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The ``keep`` columns (all by default) and ``score``; null texts count as empty."""
-    keep = [c for c in (docs.columns if keep is None else keep) if c != "score"]
-    schema = docs.select(*keep).schema.add("score", "double")
+    """The ``keep`` columns (all by default) and ``score``; null texts count as empty.
+
+    A column named ``score``, in any case, is replaced.
+    """
+    keep = others(docs.columns if keep is None else keep, ["score"])
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS doubles
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def work():
         own = shared.value
-        for batch in slices(batches, text):
-            values = pa.array([own.score(t) for t in batch.column(text).to_pylist()], pa.float64())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), values], schema.names)
+        return lambda texts: [pa.array([own.score(t) for t in texts], pa.float64())]
 
-    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(work, schema)
+    return per_text(docs, text, keep, {"score": "double"}, work)
