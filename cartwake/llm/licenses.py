@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartwake.llm.common import slices
+from cartwake.llm.common import others, per_text
 from cartwake.llm.decontaminate import words_of
 
 LEAST_DICE = 0.8
@@ -205,17 +205,14 @@ def scan(
     match; a template of fewer than two words is never matched.  A column named
     ``licenses`` is replaced.  Templates of one name count as one.
     """
-    keep = [c for c in (docs.columns if keep is None else keep) if c != "licenses"]
-    schema = docs.select(*keep).schema.add("licenses", MATCHES)
+    keep = others(docs.columns if keep is None else keep, ["licenses"])
+    names = ["license", "dice", "first_line", "last_line"]
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def work():
         own = Templates(templates, least)
-        names = ["license", "dice", "first_line", "last_line"]
-        for batch in slices(batches, text):
-            found = [[dict(zip(names, m)) for m in own.matches(t)] for t in batch.column(text).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(found, _ARROW)], schema.names)
+        return lambda texts: [pa.array([[dict(zip(names, m)) for m in own.matches(t)] for t in texts], _ARROW)]
 
-    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(work, schema)
+    return per_text(docs, text, keep, {"licenses": MATCHES}, work)
 
 
 def digest(scanned: DataFrame) -> DataFrame:

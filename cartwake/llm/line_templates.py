@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwake.llm.common import slices, text_of
+from cartwake.llm.common import free, others, slices, text_of
 from cartwake.llm.components import stars
 from cartwake.sources.files import stored
 
@@ -267,18 +267,19 @@ def drop_recurring(
     Copies of a document count, so with few documents take one of each group first.
     """
     own = ["n_lines", "n_dropped"]
-    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in own])
-    keyed = docs.withColumn("_row", _row(docs))
-    lines = stored(_lines(keyed.select(F.col("_row").alias("row"), text_of(text).alias("text")), leading, least_tokens), "document-lines")
+    docs = docs.select(*[F.col(f"`{c}`") for c in others(docs.columns, own)])
+    row, places_of = free(docs.columns, "_row"), free(docs.columns, "_places")
+    keyed = docs.withColumn(row, _row(docs))
+    lines = stored(_lines(keyed.select(F.col(row).alias("row"), text_of(f"`{text}`").alias("text")), leading, least_tokens), "document-lines")
     gone = recurring(lines, leading, least, min_docs, leaf_lines, long_docs)
     places = lines.select("row", "place", "mask").join(gone, "mask", "left_semi").groupBy("row").agg(
-        F.collect_set("place").alias("_places")
+        F.collect_set("place").alias(places_of)
     )
-    parts = F.split(F.col(text), "\n", -1)
-    kept = F.array_join(F.filter(parts, lambda _, i: ~F.array_contains(F.col("_places"), i)), "\n")
-    joined = keyed.join(places.withColumnRenamed("row", "_row"), "_row", "left")
+    parts = F.split(F.col(f"`{text}`"), "\n", -1)
+    kept = F.array_join(F.filter(parts, lambda _, i: ~F.array_contains(F.col(places_of), i)), "\n")
+    joined = keyed.join(places.withColumnRenamed("row", row), row, "left")
     return joined.withColumns({
         "n_lines": F.coalesce(F.size(parts), F.lit(0)).cast("long"),
-        "n_dropped": F.coalesce(F.size("_places"), F.lit(0)).cast("long"),
-        text: F.when(F.col("_places").isNull(), F.col(text)).otherwise(kept),
-    }).drop("_row", "_places")
+        "n_dropped": F.coalesce(F.size(places_of), F.lit(0)).cast("long"),
+        text: F.when(F.col(places_of).isNull(), F.col(f"`{text}`")).otherwise(kept),
+    }).drop(row, places_of)

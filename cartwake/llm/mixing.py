@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwake.llm.common import WORD
+from cartwake.llm.common import WORD, free
 from cartwake.sources.files import stored
 
 WEIGHTS = (5, 2, 1)
@@ -148,8 +148,8 @@ def mix(
     """
     light = stored(
         docs.select(
-            F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"),
-            n_words(F.col(text)).alias("size"), _row(docs, seed).alias("row"),
+            F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{source}`").cast("string").alias("source"),
+            n_words(F.col(f"`{text}`")).alias("size"), _row(docs, seed).alias("row"),
         ),
         "sizes",
     )
@@ -190,11 +190,13 @@ def _picked(some: DataFrame) -> DataFrame:
 
 def repeat(docs: DataFrame, mixed: DataFrame, seed: int = 0) -> DataFrame:
     """The rows of ``docs``, each as often as ``mixed`` (made from them) uses it."""
-    uses = mixed.where("uses > 0").groupBy("row").agg(F.sum("uses").cast("int").alias("_uses"))
-    joined = docs.withColumn("_row", _row(docs, seed)).join(uses.withColumnRenamed("row", "_row"), "_row")
+    row, n, copy = (free(docs.columns, c) for c in ("_row", "_uses", "_copy"))
+    uses = mixed.where("uses > 0").groupBy(F.col("row").alias(row)).agg(F.sum("uses").cast("int").alias(n))
+    joined = docs.withColumn(row, _row(docs, seed)).join(uses, row)
     # Rows of one hash are repeats of one row and share the uses.
-    once = joined.dropDuplicates(["_row"])
-    return once.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_uses")))).select(*docs.columns)
+    once = joined.dropDuplicates([row])
+    kept = [F.col(f"`{c}`") for c in docs.columns]
+    return once.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*kept)
 
 
 def _row(docs: DataFrame, seed: int) -> Column:

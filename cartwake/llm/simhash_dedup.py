@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwake.llm.common import slices
+from cartwake.llm.common import free, others, per_text
 from cartwake.llm.components import stars
 from cartwake.sources.files import stored
 
@@ -63,15 +63,8 @@ def _signed(values: list[int]) -> pa.Array:
 
 def with_fingerprints(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The ``keep`` columns and ``fp``, a signed long.  Null texts count as empty."""
-    keep = [c for c in (docs.columns if keep is None else keep) if c != "fp"]
-    schema = docs.select(*keep).schema.add("fp", "long")
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text):
-            fps = [fingerprint(t) for t in batch.column(text).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), _signed(fps)], schema.names)
-
-    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(work, schema)
+    keep = others(docs.columns if keep is None else keep, ["fp"])
+    return per_text(docs, text, keep, {"fp": "long"}, lambda: lambda texts: [_signed([fingerprint(t) for t in texts])])
 
 
 def _list_links(fps: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -194,7 +187,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     empty.  Documents without an id take part and have the component of the others, null
     if none of those has an id.  Repeated rows stay; other columns are not read.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     marked = stored(with_fingerprints(rows, keep=["doc_id"]), "fingerprints")
     return _grouped(marked).select("doc_id", "fp", "component_id")
 
@@ -207,13 +200,14 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     """
     kinds = [f.name for f in docs.schema if "map<" not in f.dataType.simpleString()]
     row = F.xxhash64(*[F.col(f"`{c}`") for c in kinds])
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), row.alias("row"))
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), row.alias("row"))
     grouped = _grouped(stored(with_fingerprints(rows, keep=["doc_id", "row"]), "fingerprints"))
     chosen = grouped.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    chosen = chosen.groupBy("root").agg(F.min("row").alias("_row")).select("_row").distinct()
+    own = free(docs.columns, "_row")
+    chosen = chosen.groupBy("root").agg(F.min("row").alias(own)).select(own).distinct()
     # Rows of one hash are repeats of one row.
-    kept = docs.withColumn("_row", row).join(chosen, "_row", "left_semi")
-    return kept.dropDuplicates(["_row"]).drop("_row")
+    kept = docs.withColumn(own, row).join(chosen, own, "left_semi")
+    return kept.dropDuplicates([own]).drop(own)
 
 
 def hex_digits(fp: Column) -> Column:
