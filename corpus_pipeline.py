@@ -14,10 +14,24 @@ from cartwake.sources.files import stored
 LEAST_SCORE = 0.5
 
 
+#: Columns that stages read; all others only come along.
+READ = ("doc_id", "text", "source")
+
+
+def _apart(docs: DataFrame) -> DataFrame:
+    """``docs`` with names for the other columns that no operator makes."""
+    return docs.toDF(*[c if c in READ else f"other_{i}" for i, c in enumerate(docs.columns)])
+
+
+def _back(rows: DataFrame, inner: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.select(*inner.columns).toDF(*docs.columns)
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality classifier, trained on the labelled documents of this input."""
-    model = quality.train(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model).where(f"score >= {LEAST_SCORE}").select(*docs.columns)
+    inner = _apart(docs)
+    model = quality.train(inner, table(spark, sf_dir, "labels"))
+    return _back(quality.score(inner, model).where(f"score >= {LEAST_SCORE}"), inner, docs)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,8 +41,9 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with benchmark passages go."""
-    marked = decontaminate.scan(docs, table(spark, sf_dir, "benchmark"))
-    return marked.where("not contaminated").select(*docs.columns)
+    inner = _apart(docs)
+    marked = decontaminate.scan(inner, table(spark, sf_dir, "benchmark"))
+    return _back(marked.where("not contaminated"), inner, docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
