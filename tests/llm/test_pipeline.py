@@ -115,3 +115,17 @@ def test_odd_documents(spark, odd, tmp_path):
         for _, stage in P.STAGES:
             start = stored(stage(spark, start, str(tmp_path)), "stage")
         start.collect()
+
+
+def test_stages_with_clashing_columns(spark):
+    from pyspark.sql import functions as F
+
+    names = ["a.b", "Score", "n_words", "_row", "FP", "hit_runs"]
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("*", *[F.lit("own").alias(n) for n in names])
+    for name, stage in P.STAGES[:-1]:
+        after = stored(stage(spark, docs, SMALL), "stage")
+        assert after.columns == docs.columns and after.count() > 0
+        for r in after.select(*[F.col(f"`{n}`").alias(f"x{i}") for i, n in enumerate(names)]).distinct().collect():
+            assert set(r) == {"own"}
+        docs = after
+    assert P.STAGES[-1][1](spark, docs, SMALL).count() > 0
