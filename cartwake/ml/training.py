@@ -21,6 +21,9 @@ from cartwake.sources.files import stored
 CODE = "device_code"
 FEATURES = [*S.MODEL_NUMERIC, CODE]
 _HASH_SPAN = 1 << 48
+#: Training rows of one task.  A fit makes some 2,000 jobs over the same rows, so tasks follow
+#: the rows and not the shuffle partitions of the session.
+FIT_ROWS = 50_000
 
 
 def numeric_matrix(gold: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -85,7 +88,10 @@ def class_counts(df: DataFrame, label: str = S.LABEL) -> tuple[int, int]:
 
 def with_class_weight(df: DataFrame, label: str = S.LABEL) -> DataFrame:
     """Weight positives by negatives over positives."""
-    neg, pos = class_counts(df, label)
+    return _weighted(df, *class_counts(df, label), label)
+
+
+def _weighted(df: DataFrame, neg: int, pos: int, label: str = S.LABEL) -> DataFrame:
     weight = F.when(F.col(label) == 1, neg / max(pos, 1)).otherwise(1.0)
     return df.withColumn("weight", weight)
 
@@ -184,9 +190,9 @@ def fit(train: DataFrame, classifier: Estimator | None = None, fit_on: DataFrame
     scaler = fit_scaler(indexer.transform(base), FEATURES)
     assembler = VectorAssembler(inputCols=[f"z_{c}" for c in FEATURES], outputCol="features")
     prepare = PipelineModel([indexer, scaler, assembler])
-    ready = with_class_weight(
-        prepare.transform(rows).select(S.LABEL, "features")
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    neg, pos = class_counts(rows)
+    ready = _weighted(prepare.transform(rows).select(S.LABEL, "features"), neg, pos)
+    ready = ready.repartition(-(-(neg + pos) // FIT_ROWS) or 1).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         fitted = (classifier or booster()).fit(ready)
     finally:

@@ -87,6 +87,20 @@ def test_train_report_save_and_score(gold, tmp_path):
     assert a == b and all(0 <= r["probability"] <= 1 for r in a)
 
 
+def test_training_tasks_follow_the_rows(gold, monkeypatch):
+    tasks = []
+
+    class Spy:
+        def fit(self, rows):
+            tasks.append(rows.rdd.getNumPartitions())
+            return LogisticRegression(featuresCol="features", labelCol=S.LABEL, maxIter=1).fit(rows)
+
+    training.fit(gold.repartition(40), Spy())
+    monkeypatch.setattr(training, "FIT_ROWS", 3)
+    training.fit(gold.repartition(40), Spy())
+    assert tasks == [1, -(-gold.count() // 3)]
+
+
 def test_unseen_device_fails(gold):
     model = training.fit(gold, LogisticRegression(featuresCol="features", labelCol=S.LABEL, maxIter=2))
     odd = gold.limit(1).withColumn("device", F.lit("watch"))
