@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwake import schema as S
+from cartwake.layout import profile_sessions
 from cartwake.sources.files import stored
 
 UNITS = float(1 << 24)
@@ -137,13 +138,21 @@ def _matrix(batch: pa.RecordBatch, name: str) -> np.ndarray:
 
 
 def find_cuts(rows: DataFrame, columns: list[str], bins: int) -> list[list[float]]:
-    """Quantiles of each column, above its least value; few rows give them exactly."""
-    shares = [i / bins for i in range(1, bins)]
-    found = rows.agg(
-        *[F.percentile_approx(_number(c), shares, 100_000).alias(f"q{i}") for i, c in enumerate(columns)],
-        *[F.min(_number(c)).alias(f"m{i}") for i, c in enumerate(columns)],
-    ).first()
-    return [sorted({v for v in found[f"q{i}"] or [] if v > found[f"m{i}"]}) for i in range(len(columns))]
+    """Quantiles of each column, above its least value, exact at any number of rows.
+
+    The i-th is the least value that i of ``bins`` parts of the rows reach at most.  Rows are
+    counted per value; a column of very many values is counted up in ranges of them.
+    """
+    numbers = F.posexplode(F.array(*[_number(c) for c in columns])).alias("i", "value")
+    counts = rows.select(numbers).groupBy(F.col("i").cast("string").alias("place"), "value")
+    counts = stored(counts.agg(F.count(F.lit(1)).alias("n")), "values")
+    total = counts.where("place = '0'").agg(F.sum("n")).first()[0] or 1
+    layout = profile_sessions(counts, key="place", order=("value",))
+    upto = layout.running_sum(counts, upto=F.col("n")).withColumn("before", F.col("upto") - F.col("n"))
+    parts = lambda c: F.call_function("div", F.col(c) * bins, F.lit(total).cast("bigint"))
+    cut = F.least(parts("upto"), F.lit(bins - 1)) > parts("before")
+    found = upto.where(cut & (F.col("before") > 0)).select("place", "value").collect()  # bins - 1 a column at most
+    return [sorted(r["value"] for r in found if r["place"] == str(i)) for i in range(len(columns))]
 
 
 def _binned(rows: DataFrame, columns: list[str], cuts: list[list[float]], keep: list[Column]) -> DataFrame:

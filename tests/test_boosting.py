@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from cartwake.layout import profile_sessions
 from cartwake.ml import boosting as B
 from cartwake.ml import metrics
 
@@ -118,3 +119,20 @@ def test_odd_rows(spark):
     ones = B.fit(df.where("abandoned = 1"), COLUMNS, settings=s)
     assert len({r.probability for r in ones.score(df, ("session_id",)).collect()}) == 1
     assert model.score(df.limit(0), ("session_id",)).count() == 0
+
+
+def test_cuts_are_exact_at_many_rows(spark, monkeypatch):
+    n, bins = 120_011, 16
+    rows = spark.range(n).select(
+        (F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / 7.0).alias("wide"), (F.col("id") % 11).alias("few"),
+        F.when(F.col("id") % 5 > 0, F.lit(-0.0)).otherwise(F.col("id")).alias("zeros"), F.lit(3).alias("one"),
+    ).repartition(8)
+    want = []
+    for c in rows.columns:
+        values = sorted(r[0] for r in rows.select(F.col(c).cast("double")).collect())
+        want.append(sorted({values[-(-i * n // bins) - 1] for i in range(1, bins)} - {values[0]}))
+    assert B.find_cuts(rows, rows.columns, bins) == want
+    ranges = lambda df, **k: profile_sessions(df, 1000, 500, 1.0, **k)
+    monkeypatch.setattr(B, "profile_sessions", ranges)
+    assert B.find_cuts(rows, rows.columns, bins) == want
+    assert B.find_cuts(rows.limit(0), rows.columns, bins) == [[], [], [], []]
