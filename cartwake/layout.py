@@ -22,13 +22,15 @@ their measured size allows.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SEG = "_seg"
 HALO = "_halo"
+#: Rows that one task sorts for its windows where the number of rows is known.
+TASK_ROWS = 250_000
 
 
 def bucket_index(value: Column, cuts: Column, steps: int) -> Column:
@@ -47,11 +49,15 @@ def bucket_index(value: Column, cuts: Column, steps: int) -> Column:
 
 @dataclass(frozen=True)
 class SessionLayout:
-    """Where the rows of each session go.  ``cuts`` names the hot sessions."""
+    """Where the rows of each session go.  ``cuts`` names the hot sessions.
+
+    ``rows`` is about how many rows there are, 0 if that is not known.
+    """
 
     cuts: tuple[tuple[str | None, tuple[float, ...]], ...] = ()
     key: str = "session_id"
     order: tuple[str, ...] = ("ts_us", "event_id")
+    rows: int = field(default=0, compare=False)
 
     @property
     def hot(self) -> bool:
@@ -92,9 +98,14 @@ class SessionLayout:
         """Bring the rows of an ordinary session into one task by one exchange.
 
         Windows over a session and any of its parts then share it, where a window over a
-        part that comes first would make an exchange of its own.
+        part that comes first would make an exchange of its own.  Tasks grow in number with
+        the rows, so that what one of them sorts does not.
         """
-        return df if self.hot else df.repartition(F.col(self.key))
+        if self.hot:
+            return df
+        usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        needed = -(-self.rows // TASK_ROWS)
+        return df.repartition(*([needed] if needed > usual else []), F.col(self.key))
 
     # -- bounded look-back -------------------------------------------------
     def look_back(self, df: DataFrame, rows: int, *extra: str) -> DataFrame:
@@ -288,7 +299,7 @@ def profile_sessions(
     key: str = "session_id",
     order: tuple[str, ...] = ("ts_us", "event_id"),
 ) -> SessionLayout:
-    """Find sessions of about ``hot_rows`` or more and choose their cut points.
+    """Find sessions of about ``hot_rows`` or more and choose their cut points; count rows, too.
 
     One pass over two columns of a sample.  What reaches the driver is bounded by
     the sample: at most ``1 / (hot_rows * fraction)`` of the sampled rows as keys, and for
@@ -298,10 +309,11 @@ def profile_sessions(
     if fraction < 1.0:
         sample = sample.sample(fraction=fraction, seed=seed)
     counts = sample.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    hot = counts.filter(F.col("n") >= hot_rows * fraction)
-    sizes = hot.collect()
+    hot = F.when(F.col("n") >= hot_rows * fraction, F.struct(key, "n"))
+    seen, sizes = counts.agg(F.sum("n"), F.collect_list(hot)).first()
+    rows = int((seen or 0) / fraction)
     if not sizes:
-        return SessionLayout(key=key, order=order)
+        return SessionLayout(key=key, order=order, rows=rows)
     spark = df.sparkSession
     needed = {}
     for row in sizes:
@@ -329,4 +341,5 @@ def profile_sessions(
         cuts=tuple(sorted(((r["_hot_key"], tuple(r["_cuts"])) for r in cuts), key=str)),
         key=key,
         order=order,
+        rows=rows,
     )

@@ -1,7 +1,7 @@
 from helpers import same
 from pyspark.sql import functions as F
 
-from cartwake.layout import PLAIN, SEG, SessionLayout, bucket_index, profile_sessions
+from cartwake.layout import PLAIN, SEG, TASK_ROWS, SessionLayout, bucket_index, profile_sessions
 from cartwake.operators import motion, sessions
 
 
@@ -16,6 +16,14 @@ def test_profile_of_ordinary_sessions_is_plain(tables):
     assert profile_sessions(tables.clicks) == PLAIN
 
 
+def test_tasks_grow_with_the_rows(tables):
+    usual = int(tables.spark.conf.get("spark.sql.shuffle.partitions"))
+    many = SessionLayout(rows=5 * usual * TASK_ROWS)
+    assert many.together(tables.clicks).rdd.getNumPartitions() == 5 * usual
+    assert SessionLayout(rows=1).together(tables.clicks).rdd.getNumPartitions() <= usual
+    assert profile_sessions(tables.clicks, fraction=1.0).rows == tables.clicks.count()
+
+
 def test_bucket_index(spark):
     df = spark.createDataFrame([(v,) for v in (0, 10, 11, 25, 30, 99)], "v bigint")
     cuts = F.array(*[F.lit(c).cast("bigint") for c in (10, 20, 30)])
