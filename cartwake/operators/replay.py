@@ -147,7 +147,14 @@ def offers_shown(
             i = int(np.searchsorted(pos, int(pos[i]) + items))
         return pdf.loc[chosen, ["session_id", "event_id", "ts_us"]]
 
-    return rows.groupBy("session_id", SEG).applyInPandas(walk, schema)
+    return _spread(rows).groupBy("session_id", SEG).applyInPandas(walk, schema)
+
+
+def _spread(rows: DataFrame) -> DataFrame:
+    """Segments over all shuffle partitions: a walk is long for its few bytes, by which
+    Spark would put them into one task."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return rows.repartition(parts, "session_id", SEG)
 
 
 def _with_entries(rows: DataFrame, items: int) -> DataFrame:
@@ -192,7 +199,7 @@ def _with_entries(rows: DataFrame, items: int) -> DataFrame:
             {"_ek": pdf["session_id"], "_es": pdf[seg], "_from": entries}
         )
 
-    hot = rows.filter(F.col(SEG) > 0)
+    hot = _spread(rows.filter(F.col(SEG) > 0))
     tables = hot.groupBy("session_id", SEG).applyInPandas(
         table, f"session_id string, {SEG} int, low bigint, exits array<bigint>, enter bigint"
     )

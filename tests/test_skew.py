@@ -79,6 +79,16 @@ def test_offers_against_a_plain_walk(spark):
         assert got == want
 
 
+def test_offers_are_chosen_by_many_tasks(spark):
+    """A few bytes of candidates are much work; they do not end up in one task."""
+    df = spark.range(2000).select(
+        F.concat(F.lit("s"), F.col("id") % 50).alias("session_id"), F.col("id").alias("event_id"),
+        F.col("id").alias("ts_us"), (F.col("id") + 1).alias("position"))
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for layout in (PLAIN, SessionLayout(cuts=(("s1", tuple(range(100, 2000, 100))),))):
+        assert R.offers_shown(df, layout).rdd.getNumPartitions() == usual > 1
+
+
 def test_top_k_is_limited_before_the_shuffle(tables):
     plan = R.newest_items(tables.clicks)._jdf.queryExecution().executedPlan().toString()
     before = plan[plan.index("Exchange hashpartitioning"):]
