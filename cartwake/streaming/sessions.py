@@ -9,6 +9,7 @@ depends on how the rows of a key are cut into frames.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame, Row, Window
@@ -40,10 +41,12 @@ EVENT_COLUMNS = {
     "payment_method_selected": "string",
 }
 _ADDED = {"is_new": "boolean", "seen": "bigint"}
-OUTPUT = ", ".join(f"{n} {t}" for n, t in {**EVENT_COLUMNS, **_ADDED}.items())
+#: What names an event; the rest goes through the state function as one text.
+_NAMES = ("session_id", "event_id", "ts_us")
+_REST = ", ".join(f"{n} {t}" for n, t in EVENT_COLUMNS.items() if n not in _NAMES)
+_ITEM = "event_id bigint, rest string"
+OUTPUT = "session_id string, event_id bigint, ts_us bigint, rest string, is_new boolean, seen bigint"
 
-
-_ITEM = [n for n in EVENT_COLUMNS if n not in ("session_id", "ts_us")]
 #: Instants of a key that are held before repeats among them are dropped.
 _INSTANTS = 100_000
 
@@ -55,27 +58,29 @@ class SessionItems(StatefulProcessor):
     the items that it adds and removes those that they push out, nothing else.  A later event
     of an instant replaces its item; of events of one batch the larger event_id counts.
     Memory holds ``items`` items twice and eight bytes for each event of the key in the batch.
+    Rows are session, event_id and instant, then whatever is kept of the event with its id.
     """
 
     def __init__(self, items: int = S.HISTORY_ITEMS, ttl_s: int = S.STATE_TTL_S):
         self.most, self.ttl_ms = items, ttl_s * 1000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        kinds = ", ".join(f"{n} {EVENT_COLUMNS[n]}" for n in _ITEM)
-        self.items = handle.getMapState("items", "ts_us bigint", kinds, self.ttl_ms)
+        self.items = handle.getMapState("items", "ts_us bigint", _ITEM, self.ttl_ms)
         self.seen = handle.getValueState("seen", "instants bigint", self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[Row], timer_values) -> Iterator[Row]:
         before = {us[0]: tuple(item) for us, item in self.items.iterator()}
         seen = self.seen.get()[0] if self.seen.exists() else 0
-        event = lambda us, item, new: _OUT(key[0], item[0], us, *item[1:], new, seen)
+        first = next(rows)
+        told = Row(*first.__fields__, *_ADDED)
         for us in sorted(before):
-            yield event(us, before[us], False)
+            item = before[us]
+            yield told(key[0], item[0], us, *item[1:], False, seen)
         new: dict[int, tuple] = {}
         instants, recent = np.zeros(0, np.int64), []
-        for r in rows:
-            us, item = r["ts_us"], tuple(r[n] for n in _ITEM)
-            yield event(us, item, True)
+        for r in chain([first], rows):
+            us, item = r[2], (r[1], *r[3:])
+            yield told(*r, True, seen)
             if us is None:
                 continue
             if us not in new or (item[0] or 0) >= (new[us][0] or 0):
@@ -97,9 +102,6 @@ class SessionItems(StatefulProcessor):
         pass
 
 
-_OUT = Row("session_id", "event_id", "ts_us", *_ITEM[1:], *_ADDED)
-
-
 def with_session_items(
     events: DataFrame, items: int = S.HISTORY_ITEMS, ttl_s: int = S.STATE_TTL_S
 ) -> DataFrame:
@@ -111,9 +113,12 @@ def with_session_items(
             for n, t in EVENT_COLUMNS.items()
         ]
     )
-    return rows.groupBy("session_id").transformWithState(
+    # One text instead of some fourteen columns: Python converts each value of a row.
+    rest = F.to_json(F.struct(*[n for n in rows.columns if n not in _NAMES])).alias("rest")
+    kept = rows.select(*_NAMES, rest).groupBy("session_id").transformWithState(
         SessionItems(items, ttl_s), outputStructType=OUTPUT, outputMode="append", timeMode="processingTime"
     )
+    return kept.select(*_NAMES, F.inline(F.array(F.from_json("rest", _REST))), *_ADDED)
 
 
 def batch_history(

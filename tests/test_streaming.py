@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cartwake.operators import replay as R
 from cartwake.streaming import jobs, sessions
@@ -191,6 +192,28 @@ def test_state_writes_follow_the_new_events():
     assert store.map[(2000,)][0] == 3 and store.value == (1004,)
 
 
+def test_events_pass_the_state_unchanged_as_one_text(spark, tmp_path):
+    """Python converts each column of each row, so there are few; odd values come back as they were."""
+    assert len(StructType.fromDDL(sessions.OUTPUT)) == 6
+    schema = ", ".join(f"{n} {t}" for n, t in sessions.EVENT_COLUMNS.items())
+    odd = dict.fromkeys(sessions.EVENT_COLUMNS) | {"ts_us": 1}
+    rows = [
+        odd | {"session_id": "s", "event_id": (1 << 62) + 1, "page": '"\\\n', "mouse_x": -0.0, "mouse_y": float("inf"), "user_id": ""},
+        odd | {"session_id": None, "event_id": 2, "cart_value": 0.1 + 0.2, "product_quantities": '{"a":1}', "product_count": (1 << 53) + 1},
+        odd | {"session_id": "t", "event_id": 3, "ts_us": None, "page": "\u00e9\U0001f600", "cart_value": 5e-324},
+    ]
+    spark.createDataFrame([tuple(r.values()) for r in rows], schema).write.parquet(str(tmp_path / "in"))
+    kept = sessions.with_session_items(spark.readStream.schema(schema).parquet(str(tmp_path / "in")))
+    settings = {"spark.sql.streaming.stateStore.providerClass": sessions.ROCKSDB, "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+    with jobs._settings(spark, settings):
+        job = kept.writeStream.foreachBatch(lambda b, i: b.write.mode("append").parquet(str(tmp_path / "out"))).option(
+            "checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+        job.awaitTermination(120)
+    got = sorted(spark.read.parquet(str(tmp_path / "out")).drop("is_new", "seen").collect(), key=lambda r: r.event_id)
+    want = sorted(rows, key=lambda r: r["event_id"])
+    assert [repr(r.asDict()) for r in got] == [repr({n: r[n] for n in got[0].__fields__}) for r in want]
+
+
 def test_items_expire(spark, tmp_path, monkeypatch):
     """With one second to live, an item of the batch before is gone."""
     plain = sessions.SessionItems
