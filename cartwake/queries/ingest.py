@@ -11,7 +11,7 @@ from cartwake.operators import decision as D
 from cartwake.operators import ingest as I
 from cartwake.operators import replay as R
 from cartwake.plans.medallion import build_layers
-from cartwake.queries.base import CLICK, GOLD, ORACLES, Tables, query, rounded
+from cartwake.queries.base import CLICK, GOLD, ORACLES, Tables, as_long_sessions, query, rounded
 from cartwake.queries.serve import LINEAR_SQL, MODEL_SQL, _PAYLOAD, REPLAY
 from cartwake.queries.serve import linear_score, offer_clicks, payload_columns, shipped
 from cartwake.sources import files
@@ -333,7 +333,8 @@ def _parse_payload(t: Tables) -> DataFrame:
     fields = [c for c in sent.columns if c != "event_id"]
     text = sent.select(F.to_json(F.struct(F.col("event_id").cast("string").alias("session_id"), *[c for c in fields if c != "session_id"])).alias("value"))
     back = D.parse_requests(text).filter("error is null").withColumn("event_id", F.col("session_id").cast("bigint"))
-    return payload_columns(back.drop("session_id").join(sent.select("event_id", "session_id"), "event_id"))
+    # The session as the events have it: the features are not made a second time for it.
+    return payload_columns(back.drop("session_id").join(as_long_sessions(t.clicks).select("event_id", "session_id"), "event_id"))
 
 
 @query(

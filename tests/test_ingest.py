@@ -236,3 +236,10 @@ def test_only_finished_batches_are_compacted(spark, tmp_path):
     (state / "commits" / ".3.tmp").write_text("")
     files.compact(spark, str(raw), str(tmp_path / "out"), checkpoint=str(state))
     assert sorted(r.value for r in spark.read.text(str(tmp_path / "out")).collect()) == ["line 0", "line 1", "line 2"]
+
+
+def test_requests_are_made_from_one_replay(tables):
+    from cartwake.queries import QUERIES
+
+    plan = QUERIES["parse_payload"](tables)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1 and plan.count("max_by") == 1
