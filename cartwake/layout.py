@@ -31,6 +31,8 @@ SEG = "_seg"
 HALO = "_halo"
 #: Rows that one task sorts for its windows where the number of rows is known.
 TASK_ROWS = 250_000
+#: Rows of a block (see ``SessionLayout.blocks``).
+BLOCK_ROWS = 4_096
 
 
 def bucket_index(value: Column, cuts: Column, steps: int) -> Column:
@@ -151,6 +153,43 @@ class SessionLayout:
             halo.withColumn(HALO, F.lit(True))
         )
 
+    def blocks(self, df: DataFrame, rows: int, position: str | None = None) -> DataFrame:
+        """Like ``look_back``, from segments cut anew into blocks of equally many rows.
+
+        A row's position in the session tells its block and if the next one needs it, so
+        only ``rows`` rows a block are sent twice, however short the segments are, and
+        nothing but the start of each segment is joined.  ``position`` names a column
+        that counts the rows of a session from 1, if there is one.
+        """
+        if not self.hot:
+            return df
+        size = max(BLOCK_ROWS, rows)
+        part = df if position else self._positions(self.split(df))
+        at = F.col(position or "_pos") - 1
+        own = F.call_function("div", at, F.lit(size).cast("bigint"))
+        to = F.when(at % size >= size - rows, F.array(own, own + 1)).otherwise(F.array(own))
+        placed = part.drop(SEG).withColumns({"_own": own, "_to": to})
+        placed = placed.withColumn(SEG, F.explode("_to")).withColumn(HALO, F.col(SEG) != F.col("_own"))
+        return placed.drop("_own", "_to", "_pos")
+
+    def _positions(self, part: DataFrame) -> DataFrame:
+        """Count the rows of each session in ``_pos``.
+
+        The rows before each segment are one number, as its cut point is, and go the same way.
+        """
+        before = Window.partitionBy("_ck").orderBy("_cs").rowsBetween(Window.unboundedPreceding, -1)
+        starts = (
+            part.groupBy(F.col(self.key).alias("_ck"), F.col(SEG).alias("_cs"))
+            .agg(F.count(F.lit(1)).alias("_n"))
+            .withColumn("_before", F.sum("_n").over(before))
+            .filter(F.col("_before").isNotNull())
+        )
+        on = F.col(self.key).eqNullSafe(F.col("_ck")) & (F.col(SEG) == F.col("_cs"))
+        counted = part.withColumn("_pos", F.row_number().over(self.window()))
+        joined = counted.join(F.broadcast(starts.drop("_n")), on, "left")
+        pos = F.col("_pos") + F.coalesce(F.col("_before"), F.lit(0))
+        return joined.withColumn("_pos", pos).drop("_ck", "_cs", "_before")
+
     def _starts(self, tail: DataFrame, seq: list[str]) -> DataFrame:
         """Where each segment begins in the tail of each sequence.
 

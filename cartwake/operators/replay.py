@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from cartwake import schema as S
 from cartwake.functions.history import add_history_features, item
 from cartwake.functions.scalar import MICROS
-from cartwake.layout import PLAIN, SEG, SessionLayout
+from cartwake.layout import HALO, PLAIN, SEG, SessionLayout
 from cartwake.operators.ingest import last_per_key
 from cartwake.operators.decision import decide, model_row, payload
 from cartwake.sources.files import stored
@@ -52,30 +52,84 @@ def with_history(
     items: int = S.HISTORY_ITEMS,
     window_s: int | None = None,
     arrays: bool = True,
+    where: Column | None = None,
+    position: str | None = None,
 ) -> DataFrame:
     """Add ``history_beats``, ``offer_state`` and (with ``arrays``) ``history``.
 
-    ``window_s`` also limits history to that many seconds before the event.
+    ``window_s`` also limits history to that many seconds before the event.  Only rows that
+    satisfy ``where`` (which may use the other two) get an array, the rest null.
+    Counts are differences of running counts, so an event costs the same at any ``items``.
     The arrays are made and used inside one stage; they are never shuffled.
     """
-    rows = layout.look_back(df, items - 1)
-    frame = layout.window().rowsBetween(-(items - 1), 0)
+    rows = layout.blocks(df, items - 1, position)
+    w = layout.window()
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
     beat = F.col("event_type") == "heartbeat"
     state = explicit_offer()
     if "offer_state" in df.columns:
         state = F.coalesce(state, F.col("offer_state"))
-    added = {
-        "history_beats": F.count_if(beat).over(frame),
-        "offer_state": F.last(state, ignorenulls=True).over(frame),
-    }
-    if arrays or window_s is not None:
-        added["history"] = F.collect_list(F.when(beat, item())).over(frame)
-    rows = layout.settle(rows.withColumns(added)).drop(SEG)
+    rows = rows.withColumns({"_n": F.row_number().over(w), "_beats": F.count_if(beat).over(so_far)})
+    answer = F.when(state.isNotNull(), F.struct(F.col("_n").alias("n"), state.alias("state")))
+    rows = rows.withColumns(
+        {
+            "_gone": F.lag("_beats", items, 0).over(w),
+            "_answer": F.last(answer, ignorenulls=True).over(so_far),
+        }
+    )
+    if window_s is not None:
+        back = -window_s * MICROS - 1
+        older = Window.partitionBy(*layout.by()).orderBy("ts_us").rangeBetween(Window.unboundedPreceding, back)
+        rows = rows.withColumn("_older", F.max("_beats").over(older))
+        rows = rows.withColumn("_gone", F.greatest("_gone", "_older"))
+        # An event without a time is in no window.
+        rows = rows.withColumn("_gone", F.when(F.col("ts_us").isNull(), F.col("_beats")).otherwise(F.col("_gone")))
+    recent = F.col("_answer")["n"] > F.col("_n") - items
+    rows = rows.withColumns(
+        {
+            "history_beats": F.col("_beats") - F.col("_gone"),
+            "offer_state": F.when(recent, F.col("_answer")["state"]),
+        }
+    ).drop("_beats", "_gone", "_answer")
+    if not arrays:
+        return layout.settle(rows).drop(SEG, "_n")
+    return _with_arrays(rows, layout, items, window_s, F.lit(True) if where is None else where)
+
+
+def _with_arrays(
+    rows: DataFrame, layout: SessionLayout, items: int, window_s: int | None, where: Column
+) -> DataFrame:
+    """Add ``history`` where asked for; ``_n`` counts the rows of each window.
+
+    Runs of ``items`` rows are gathered once, each with the heartbeats of the run before it,
+    where a sliding frame would gather ``items`` rows for every event.  The exchange of the
+    windows serves this grouping, too.
+    """
+    out = [c for c in rows.columns if c not in (SEG, HALO, "_n")]
+    run = F.call_function("div", F.col("_n"), F.lit(items))
+    beat = F.col("event_type") == "heartbeat"
+    own = ~F.col(HALO) if HALO in rows.columns else F.lit(True)
+    key = [F.col(c).alias(f"_k_{c}") for c in layout.by()]
+    noted = rows.select(
+        *key,
+        F.explode(F.when(beat, F.array(run, run + 1)).otherwise(F.array(run))).alias("_run"),
+        run.alias("_own"),
+        F.when(own, F.struct("_n", where.alias("_wanted"), *out)).alias("_row"),
+        F.when(beat, F.struct(F.col("_n").alias("n"), item().alias("item"))).alias("_item"),
+    )
+    gathered = noted.groupBy(*[f"_k_{c}" for c in layout.by()], "_run").agg(
+        F.collect_list(F.when(F.col("_run") == F.col("_own"), F.col("_row"))).alias("_rows"),
+        F.array_sort(F.collect_list("_item"), lambda a, b: a["n"] - b["n"]).alias("_items"),
+    )
+    each = gathered.select("_items", F.explode("_rows").alias("_row")).select("_items", "_row.*")
+    seen = lambda e: (e["n"] <= F.col("_n")) & (e["n"] > F.col("_n") - items)
     if window_s is not None:
         edge = F.col("ts_us") - window_s * MICROS
-        rows = rows.withColumn("history", F.filter("history", lambda e: e["us"] >= edge))
-        rows = rows.withColumn("history_beats", F.size("history").cast("bigint"))
-    return rows
+        near = lambda e: seen(e) & (e["item"]["us"] >= edge)
+    else:
+        near = seen
+    found = F.filter("_items", near)["item"]
+    return each.withColumn("history", F.when(F.col("_wanted"), found)).select(*out, "history")
 
 
 def gate(warmup: int = S.WARMUP_HEARTBEATS) -> Column:
@@ -95,10 +149,12 @@ def enrich(
     newest_first_funnel: bool = True,
     window_s: int | None = None,
     items: int = S.HISTORY_ITEMS,
+    position: str | None = None,
 ) -> DataFrame:
     """Online features of every event that reaches scoring, null for the rest."""
-    rows = with_history(df, layout, items, window_s).withColumn("status", gate(warmup))
-    rows = rows.withColumn("history", F.when(F.col("status") == "scored", F.col("history")))
+    scored = gate(warmup) == "scored"
+    rows = with_history(df, layout, items, window_s, where=scored, position=position)
+    rows = rows.withColumn("status", gate(warmup))
     return add_history_features(rows, newest_first_funnel=newest_first_funnel).withColumn(
         "heartbeat_count", F.when(F.col("history").isNotNull(), F.col("history_beats"))
     )
@@ -233,7 +289,7 @@ def decisions(
     """
     keep = ("event_id", "ts_us", "status", "position")
     rows = with_positions(upserted(df), layout)
-    rows = enrich(rows, layout, warmup=warmup, items=items)
+    rows = enrich(rows, layout, warmup=warmup, items=items, position="position")
     asked = payload(rows.filter(F.col("velocity_trend").isNotNull()), keep)
     scored = score(model_row(asked, (*keep, "session_id", "shipping_type")))
     return answers(stored(scored.select(*SCORED), "scores"), layout, items, threshold)

@@ -67,7 +67,7 @@ class Tables:
     def long_layout(self) -> SessionLayout:
         place = (self.spark.sparkContext.applicationId, self.sf_dir, "long")
         if place not in _LAYOUTS:
-            _LAYOUTS[place] = profile_sessions(self.long_clicks)
+            _LAYOUTS[place] = profile_sessions(long_instants(self.clicks))
         return _LAYOUTS[place]
 
     @cached_property
@@ -78,7 +78,7 @@ class Tables:
 
     @cached_property
     def long_split_layout(self) -> SessionLayout:
-        return profile_sessions(self.long_clicks, hot_rows=40, segment_rows=200, fraction=1.0)
+        return profile_sessions(long_instants(self.clicks), hot_rows=40, segment_rows=200, fraction=1.0)
 
     @property
     def layout(self) -> SessionLayout:
@@ -128,6 +128,11 @@ def long_sessions(df: DataFrame) -> DataFrame:
     return upserted(as_long_sessions(df))
 
 
+def long_instants(df: DataFrame) -> DataFrame:
+    """Session and instant of each of their events: all that a profile reads."""
+    return as_long_sessions(df).select("session_id", "ts_us").distinct()
+
+
 LATE_ORDER = ("arrived_us", "event_id")
 
 

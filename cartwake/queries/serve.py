@@ -82,7 +82,7 @@ def _history_180s(t: Tables) -> DataFrame:
     # The view lasts about a minute; an hour here, so that 180 s are a few events.
     slow = offer_clicks(t).withColumn("ts_us", F.col("ts_us") * 60)
     layout = replace(t.long_layout, cuts=tuple((k, tuple(c * 60 for c in cuts)) for k, cuts in t.long_layout.cuts))
-    return R.with_history(slow, layout, window_s=180).select("event_id", F.col("history_beats").alias("beats"))
+    return R.with_history(slow, layout, window_s=180, arrays=False).select("event_id", F.col("history_beats").alias("beats"))
 
 
 # Each arrival beside all that arrived before it in its session; of an instant the last counts.

@@ -116,3 +116,46 @@ def test_tallies_of_pieces_add_up(skewed, tiny_layout):
 def test_buffer_in_tiny_segments(skewed, tiny_layout, limit):
     d = skewed.withColumn("product_count", F.when(F.col("event_id") % 9 == 0, F.col("product_count")).otherwise(0))
     same(text_maps(T.buffer_flush(d, tiny_layout, limit)), text_maps(T.buffer_flush(d, PLAIN, limit)))
+
+
+@pytest.mark.parametrize("window_s", [None, 2])
+@pytest.mark.parametrize("items", [1, 7, 40])
+def test_history_of_a_split_session_equals_a_plain_walk(skewed, hot_layout, monkeypatch, items, window_s):
+    monkeypatch.setattr("cartwake.layout.BLOCK_ROWS", 50)
+    found = skewed.select("session_id", "ts_us", "event_id", "event_type").collect()
+    sessions = {}
+    for r in sorted(found, key=lambda r: (r["ts_us"], r["event_id"])):
+        sessions.setdefault(r["session_id"], []).append(r)
+    want = {}
+    for rows in sessions.values():
+        for i, r in enumerate(rows):
+            beats = [b["ts_us"] for b in rows[max(0, i - items + 1) : i + 1] if b["event_type"] == "heartbeat"]
+            want[r["event_id"]] = [b for b in beats if window_s is None or b >= r["ts_us"] - window_s * 1_000_000]
+    for layout in (PLAIN, hot_layout):
+        rows = R.with_history(skewed, layout, items=items, window_s=window_s)
+        got = {r["event_id"]: (r["us"], r["history_beats"]) for r in rows.select("event_id", "history.us", "history_beats").collect()}
+        assert got == {e: (us, len(us)) for e, us in want.items()}
+        counts = R.with_history(skewed, layout, items=items, window_s=window_s, arrays=False)
+        assert "history" not in counts.columns
+        assert {r["event_id"]: r["history_beats"] for r in counts.collect()} == {e: len(us) for e, us in want.items()}
+
+
+def test_history_is_not_gathered_for_every_event(skewed, hot_layout, tmp_path):
+    skewed.write.parquet(str(tmp_path / "clicks"))
+    clicks = skewed.sparkSession.read.parquet(str(tmp_path / "clicks"))
+    plan = R.enrich(clicks, hot_layout)._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.split("\n") if "Window [" in line]
+    assert windows and not any("collect_list" in w for w in windows)
+    # The rows to their segments and to their blocks; the sizes of segments twice.
+    assert sum("Exchange hashpartitioning" in line for line in plan.split("\n")) == 4
+    assert "SortMergeJoin" not in plan
+
+
+def test_long_profile_reads_two_columns(spark):
+    from cartwake.queries.base import Tables, long_instants
+    from helpers import SMALL
+
+    t = Tables(spark, SMALL)
+    df = long_instants(t.clicks)
+    same(df, t.long_clicks.select("session_id", "ts_us"))
+    assert "max_by" not in df._jdf.queryExecution().executedPlan().toString()
