@@ -43,7 +43,8 @@ def _neighbours(a: Column, join) -> Column:
     return F.zip_with(F.slice(a, F.lit(1), n), F.slice(a, F.lit(2), n), join)
 
 
-def _pair(a: Column, b: Column) -> Column:
+def pair_between(a: Column, b: Column) -> Column:
+    """Measures between a heartbeat and the next one."""
     raw = X.exact_seconds(a["us"], b["us"])
     dt = F.when(raw > 0, raw).otherwise(F.lit(S.HEARTBEAT_S))
     dist = X.distance(
@@ -137,8 +138,21 @@ def _window(seconds: int) -> Column:
     )
 
 
+def change_between(a: Column, b: Column) -> Column:
+    """Change from a pair to the next one."""
+    return F.struct(
+        ((b["v"] - a["v"]) / b["dt_s"]).alias("acc"),
+        X.trend_vote(b["v"], a["v"]).alias("vote"),
+    )
+
+
+def _later(a: Column, first: int) -> Column:
+    """The elements from the ``first`` on."""
+    return F.slice(a, F.lit(first), F.greatest(F.size(a) - (first - 1), F.lit(0)))
+
+
 def add_history_features(
-    df: DataFrame, history: str = "history", newest_first_funnel: bool = True
+    df: DataFrame, history: str = "history", newest_first_funnel: bool = True, measured: bool = False
 ) -> DataFrame:
     """Add the online features of ``history`` and of the event on the row.
 
@@ -146,27 +160,29 @@ def add_history_features(
     served newest first, so by default it counts moves from cart to checkout;
     ``newest_first_funnel=False`` walks in time order and counts returns.
     Everything is null where history has fewer than two heartbeats.
+    With ``measured`` the columns ``_pairs`` and ``_changes`` hold, for each heartbeat of
+    history, its pair with the one before and that pair's change.
     """
     h = F.col(history)
     zero = F.lit(0.0)
     rows = df.withColumn(history, F.when(F.size(h) >= 2, h))
-    rows = rows.withColumn("_pairs", _neighbours(h, _pair))
+    if measured:
+        known = F.col(history).isNotNull()
+        rows = rows.withColumns(
+            {
+                "_pairs": F.when(known, _later(F.col("_pairs"), 2)),
+                "_changes": F.when(known, _later(F.col("_changes"), 3)),
+            }
+        )
+    else:
+        rows = rows.withColumn("_pairs", _neighbours(h, pair_between))
+        rows = rows.withColumn("_changes", _neighbours(F.col("_pairs"), change_between))
     pairs = F.col("_pairs")
-    rows = rows.withColumn(
-        "_changes",
-        _neighbours(
-            pairs,
-            lambda a, b: F.struct(
-                ((b["v"] - a["v"]) / b["dt_s"]).alias("acc"),
-                X.trend_vote(b["v"], a["v"]).alias("vote"),
-            ),
-        ),
-    )
     changes = F.col("_changes")
     # Arrays that several measures share become columns, so each is made once.
     shared = {
-        "_v": F.transform(pairs, lambda p: p["v"]),
-        "_acc": F.transform(changes, lambda c: c["acc"]),
+        "_v": pairs["v"],
+        "_acc": changes["acc"],
     }
     newest = F.element_at(h, -1)["us"]
     for s in S.WINDOWS_S:
@@ -175,7 +191,7 @@ def add_history_features(
         shared[f"_moved_{s}"] = _since(pairs, "p_us", edge)
     rows = rows.withColumns(shared)
     rows = rows.withColumns(
-        {f"_v_{s}": F.transform(f"_moved_{s}", lambda p: p["v"]) for s in S.WINDOWS_S}
+        {f"_v_{s}": F.col(f"_moved_{s}")["v"] for s in S.WINDOWS_S}
     )
     averaged = ["_v", "_acc", *[f"_v_{s}" for s in S.WINDOWS_S]]
     rows = rows.withColumns({f"{c}_mean": _mean(c) for c in averaged})
@@ -191,7 +207,7 @@ def add_history_features(
     neighbour = first["page"] if newest_first_funnel else last["page"]
     moves = _count(steps, lambda s: (s[after] == "cart") & (s[before] == "checkout"))
     own_move = F.coalesce((page == "cart") & (neighbour == "checkout"), F.lit(False))
-    at_checkout = F.transform(F.filter(h, lambda e: e["page"] == "checkout"), lambda e: e["us"])
+    at_checkout = F.filter(h, lambda e: e["page"] == "checkout")["us"]
     own_us = F.when(page == "checkout", F.col("ts_us"))
     hesitation = X.exact_seconds(
         F.least(F.array_min(at_checkout), own_us), F.greatest(F.array_max(at_checkout), own_us)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwake import schema as S
-from cartwake.functions.history import add_history_features, item
+from cartwake.functions.history import add_history_features, change_between, item, pair_between
 from cartwake.functions.scalar import MICROS
 from cartwake.layout import HALO, PLAIN, SEG, SessionLayout
 from cartwake.operators.ingest import last_per_key
@@ -54,6 +54,7 @@ def with_history(
     arrays: bool = True,
     where: Column | None = None,
     position: str | None = None,
+    measured: bool = False,
 ) -> DataFrame:
     """Add ``history_beats``, ``offer_state`` and (with ``arrays``) ``history``.
 
@@ -61,6 +62,8 @@ def with_history(
     satisfy ``where`` (which may use the other two) get an array, the rest null.
     Counts are differences of running counts, so an event costs the same at any ``items``.
     The arrays are made and used inside one stage; they are never shuffled.
+    ``measured`` adds ``_pairs`` and ``_changes`` beside history: what lies between a
+    heartbeat and the one before it is found once, not in every history that holds it.
     """
     rows = layout.blocks(df, items - 1, position)
     w = layout.window()
@@ -93,11 +96,12 @@ def with_history(
     ).drop("_beats", "_gone", "_answer")
     if not arrays:
         return layout.settle(rows).drop(SEG, "_n")
-    return _with_arrays(rows, layout, items, window_s, F.lit(True) if where is None else where)
+    where = F.lit(True) if where is None else where
+    return _with_arrays(rows, layout, items, window_s, where, measured)
 
 
 def _with_arrays(
-    rows: DataFrame, layout: SessionLayout, items: int, window_s: int | None, where: Column
+    rows: DataFrame, layout: SessionLayout, items: int, window_s: int | None, where: Column, measured: bool
 ) -> DataFrame:
     """Add ``history`` where asked for; ``_n`` counts the rows of each window.
 
@@ -110,12 +114,24 @@ def _with_arrays(
     beat = F.col("event_type") == "heartbeat"
     own = ~F.col(HALO) if HALO in rows.columns else F.lit(True)
     key = [F.col(c).alias(f"_k_{c}") for c in layout.by()]
+    kept = [F.col("_n").alias("n"), item().alias("item")]
+    if measured:
+        before = layout.window().rowsBetween(Window.unboundedPreceding, -1)
+        last = lambda c: F.last(F.when(beat, c), ignorenulls=True).over(before)
+        rows = rows.withColumn("_at", F.when(beat, item()))
+        rows = rows.withColumn("_older", last(F.col("_at")))
+        older, here = F.col("_older"), F.col("_at")
+        rows = rows.withColumn("_pair", F.when(older.isNotNull(), pair_between(older, here)))
+        rows = rows.withColumn("_older", last(F.col("_pair")))
+        older, here = F.col("_older"), F.col("_pair")
+        rows = rows.withColumn("_change", F.when(older.isNotNull(), change_between(older, here)))
+        kept = [F.col("_n").alias("n"), F.col("_at").alias("item"), here.alias("pair"), F.col("_change").alias("change")]
     noted = rows.select(
         *key,
         F.explode(F.when(beat, F.array(run, run + 1)).otherwise(F.array(run))).alias("_run"),
         run.alias("_own"),
         F.when(own, F.struct("_n", where.alias("_wanted"), *out)).alias("_row"),
-        F.when(beat, F.struct(F.col("_n").alias("n"), item().alias("item"))).alias("_item"),
+        F.when(beat, F.struct(*kept)).alias("_item"),
     )
     gathered = noted.groupBy(*[f"_k_{c}" for c in layout.by()], "_run").agg(
         F.collect_list(F.when(F.col("_run") == F.col("_own"), F.col("_row"))).alias("_rows"),
@@ -128,8 +144,12 @@ def _with_arrays(
         near = lambda e: seen(e) & (e["item"]["us"] >= edge)
     else:
         near = seen
-    found = F.filter("_items", near)["item"]
-    return each.withColumn("history", F.when(F.col("_wanted"), found)).select(*out, "history")
+    each = each.withColumn("_found", F.when(F.col("_wanted"), F.filter("_items", near)))
+    found = F.col("_found")
+    added = {"history": found["item"]}
+    if measured:
+        added |= {"_pairs": found["pair"], "_changes": found["change"]}
+    return each.withColumns(added).select(*out, *added)
 
 
 def gate(warmup: int = S.WARMUP_HEARTBEATS) -> Column:
@@ -153,9 +173,9 @@ def enrich(
 ) -> DataFrame:
     """Online features of every event that reaches scoring, null for the rest."""
     scored = gate(warmup) == "scored"
-    rows = with_history(df, layout, items, window_s, where=scored, position=position)
+    rows = with_history(df, layout, items, window_s, where=scored, position=position, measured=True)
     rows = rows.withColumn("status", gate(warmup))
-    return add_history_features(rows, newest_first_funnel=newest_first_funnel).withColumn(
+    return add_history_features(rows, newest_first_funnel=newest_first_funnel, measured=True).withColumn(
         "heartbeat_count", F.when(F.col("history").isNotNull(), F.col("history_beats"))
     )
 

@@ -5,6 +5,7 @@ from helpers import same
 from pyspark.sql import functions as F
 
 from cartwake.functions import maps as M
+from cartwake.functions.history import add_history_features
 from cartwake.layout import PLAIN, SessionLayout, profile_sessions
 from cartwake.operators import historical as H
 from cartwake.operators import ingest as I
@@ -159,3 +160,16 @@ def test_long_profile_reads_two_columns(spark):
     df = long_instants(t.clicks)
     same(df, t.long_clicks.select("session_id", "ts_us"))
     assert "max_by" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pairs_are_measured_once_for_all_histories(skewed, hot_layout):
+    where = R.gate() == "scored"
+    for layout in (PLAIN, hot_layout):
+        rows = R.with_history(skewed, layout, items=30, where=where).withColumn("status", R.gate())
+        each = add_history_features(rows).withColumn(
+            "heartbeat_count", F.when(F.col("history").isNotNull(), F.col("history_beats")))
+        once = R.enrich(skewed, layout, items=30)
+        plan = once._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("zip_with(") < each._jdf.queryExecution().executedPlan().toString().count("zip_with(")
+        clear = lambda d: flat_windows(text_maps(d)).drop("history").filter("status = 'scored'")
+        same(clear(once), clear(each))
