@@ -20,21 +20,24 @@ ITEM = (
 )
 
 
-def item() -> Column:
-    """A heartbeat as it is kept in history, pointer in whole pixels."""
+def item(fields: tuple[str, ...] | None = None) -> Column:
+    """A heartbeat as it is kept in history, pointer in whole pixels; only ``fields`` if given."""
+    known = _fields()
+    return F.struct(*[known[f].alias(f) for f in fields or known])
+
+
+def _fields() -> dict[str, Column]:
     whole = lambda c: F.coalesce(F.col(c).cast("bigint"), F.lit(0).cast("bigint"))
-    return F.struct(
-        F.col("ts_us").alias("us"),
-        whole("mouse_x").alias("x"),
-        whole("mouse_y").alias("y"),
-        F.coalesce("cart_value", F.lit(0.0)).alias("value"),
-        F.coalesce("product_quantities", F.from_json(F.lit("{}"), S.QUANTITIES)).alias(
-            "quantities"
-        ),
-        F.coalesce("shipping_option_selected", F.lit(S.DEFAULT_SHIPPING)).alias("ship"),
-        whole("mouse_click_count").alias("clicks"),
-        F.coalesce("page", F.lit("cart")).alias("page"),
-    )
+    return {
+        "us": F.col("ts_us"),
+        "x": whole("mouse_x"),
+        "y": whole("mouse_y"),
+        "value": F.coalesce("cart_value", F.lit(0.0)),
+        "quantities": F.coalesce("product_quantities", F.from_json(F.lit("{}"), S.QUANTITIES)),
+        "ship": F.coalesce("shipping_option_selected", F.lit(S.DEFAULT_SHIPPING)),
+        "clicks": whole("mouse_click_count"),
+        "page": F.coalesce("page", F.lit("cart")),
+    }
 
 
 def _neighbours(a: Column, join) -> Column:

@@ -112,8 +112,9 @@ newest as (select * from seen qualify row_number() over (partition by event_id o
 )
 def _arrived_history(t: Tables) -> DataFrame:
     """History of each event as of its arrival, events up to 20 s late."""
-    rows = with_arrived_history(with_offers(late_clicks(t.carts)), t.late_layout)
-    us = F.transform("history", lambda h: h["us"])
+    late = with_offers(late_clicks(t.carts)).select("session_id", "event_id", "ts_us", "arrived_us", "event_type")
+    rows = with_arrived_history(late, t.late_layout, fields=("us",))
+    us = F.col("history")["us"]
     return rows.select(
         "event_id", "history_beats", "offer_state", F.array_min(us).alias("oldest_us"), F.array_max(us).alias("newest_us"),
         F.when(F.size(us) > 0, F.aggregate(us, F.lit(0).cast("bigint"), lambda a, x: a + x)).alias("sum_us"),

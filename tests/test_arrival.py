@@ -87,3 +87,21 @@ def test_no_task_holds_a_hot_session(spark):
 
 def test_no_rows(spark):
     assert A.with_arrived_history(clicks(spark, [("a", 1, 1, "heartbeat")]).where("event_id > 1")).count() == 0
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_history_of_chosen_fields_sends_no_others(spark, shuffled, split):
+    df = clicks(spark, shuffled)
+    layout = profile_sessions(df, hot_rows=100, segment_rows=30, fraction=1.0, order=("event_id",)) if split else A.BY_EVENT
+    narrow = df.select("session_id", "event_id", "ts_us", "event_type")
+    got = A.with_arrived_history(narrow, layout, 20, fields=("us",)).select("session_id", "event_id", "history_beats", "offer_state", "history")
+    assert got.schema["history"].dataType.simpleString() == "array<struct<us:bigint>>"
+    found = {(r[0], r[1]): (r[2], r[3], [h["us"] for h in r[4]]) for r in got.collect()}
+    assert found == brute(shuffled, 20)
+
+
+def test_lists_of_segments_hold_items_alone(spark):
+    tables = SplitTables(spark, SMALL)
+    plan = A.with_arrived_history(late_clicks(tables.carts), tables.late_layout)._jdf.queryExecution().executedPlan().toString()
+    merge = next(line for line in plan.split("\n") if "FlatMapGroupsInArrow" in line)
+    assert "event_timestamp" not in merge and "_late_item" in merge
