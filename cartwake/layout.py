@@ -149,9 +149,11 @@ class SessionLayout:
             .withColumn(SEG, F.col("_to"))
             .select(*part.columns)
         )
-        return part.withColumn(HALO, F.lit(False)).unionByName(
+        rows = part.withColumn(HALO, F.lit(False)).unionByName(
             halo.withColumn(HALO, F.lit(True))
         )
+        # One exchange for the windows over a segment and over any sequence in it.
+        return rows.repartition(self.key, SEG) if extra else rows
 
     def blocks(self, df: DataFrame, rows: int, position: str | None = None) -> DataFrame:
         """Like ``look_back``, from segments cut anew into blocks of equally many rows.
@@ -300,8 +302,10 @@ class SessionLayout:
         )
 
     def _attach(self, df: DataFrame, carry: DataFrame) -> DataFrame:
-        on = F.col(self.key).eqNullSafe(F.col("_ck")) & (F.col(SEG) == F.col("_cs"))
-        return df.join(carry, on, "left").drop("_ck", "_cs")
+        # A null-safe key would send all rows once more: their exchange is by the key itself.
+        key, other = F.col(self.key), F.col("_ck")
+        same = key.eqNullSafe(other) if any(k is None for k, _ in self.cuts) else key == other
+        return df.join(carry, same & (F.col(SEG) == F.col("_cs")), "left").drop("_ck", "_cs")
 
     # -- whole-session values ----------------------------------------------
     def totals(self, df: DataFrame, **aggs: Column) -> DataFrame:

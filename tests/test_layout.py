@@ -112,3 +112,20 @@ def test_plain_gold_shuffles_once(tables):
 
 def test_shuffle_invariance(skewed):
     same(sessions.gold(skewed.repartition(7)), sessions.gold(skewed))
+
+
+def test_carries_move_no_rows(skewed, hot_layout, tmp_path):
+    spark = skewed.sparkSession
+    skewed.write.parquet(str(tmp_path / "clicks"))
+    clicks = spark.read.parquet(str(tmp_path / "clicks"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = hot_layout.running_sum(clicks, position=F.lit(1))
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # The rows to their segments; the sums of segments to three places.
+    assert "SortMergeJoin" in plan
+    assert plan.count("Exchange hashpartitioning") == 4, plan
+    same(rows.drop(SEG), PLAIN.running_sum(skewed, position=F.lit(1)))
